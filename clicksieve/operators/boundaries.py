@@ -126,18 +126,17 @@ def window_boundaries(
     return leading.join(chosen, "stretch").groupBy("stretch").applyInPandas(walk, result)
 
 
-def mark_boundaries(
-    events: DataFrame,
-    window_seconds: int = WINDOW_SECONDS,
-    boundaries: DataFrame | None = None,
-) -> DataFrame:
-    """`events` with a boolean `boundary`.
+def boundary_lookup(events: DataFrame, window_seconds: int = WINDOW_SECONDS, begin: int | None = None) -> DataFrame:
+    """The boundaries, computed once, as a join side (seq, boundary).
 
     There is at most one boundary per `window_seconds` of time covered, so they
     are looked up by broadcast; should there be too many, the lookup is a
     shuffle join.
     """
-    if boundaries is None:
-        boundaries = settle(window_boundaries(events, window_seconds))
-    lookup = small_side(boundaries.select("seq", F.lit(True).alias("boundary")))
+    boundaries = settle(window_boundaries(events, window_seconds, begin))
+    return small_side(boundaries.select("seq", F.lit(True).alias("boundary")))
+
+
+def mark_boundaries(events: DataFrame, lookup: DataFrame) -> DataFrame:
+    """`events` with a boolean `boundary`."""
     return events.join(lookup, "seq", "left").withColumn("boundary", F.coalesce("boundary", F.lit(False)))

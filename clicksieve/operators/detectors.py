@@ -13,47 +13,57 @@ clicks with the same columns. `semantics` selects the rule:
     Hyperactive addresses only: as documented, with the ratio of clicks to
     displays as an integer division.
 
+The detectors can share `lookup` (see `boundary_lookup`) and `total_rows`, the
+number of events; `group_rows` is the most rows of one key that stay in one task.
+
 A user or address once found suspicious stays so under all of them. Events
 that are not displays count as clicks.
 """
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicksieve.functions.columns import grid_window, is_display
-from clicksieve.operators.boundaries import mark_boundaries
+from clicksieve.operators.boundaries import boundary_lookup, mark_boundaries
 from clicksieve.operators.running import first_time, last_value, running_sums
-from clicksieve.operators.skew import split_hot_keys
+from clicksieve.operators.skew import Split, split_hot_keys
 from clicksieve.schema import MIN_CLICKS, MIN_CTR, ORDERED_COLUMNS, QUICK_SECONDS, WINDOW_SECONDS
 
 
-def prepare(
+def split_and_bound(
     events: DataFrame,
+    key: str,
     semantics: str,
     window_seconds: int,
-    boundaries: DataFrame | None,
+    lookup: DataFrame | None,
+    total_rows: int | None,
+    group_rows: int | None,
     allowed: tuple[str, ...] = ("as_coded", "documented"),
-) -> DataFrame:
-    """Events with the column that bounds their state: `boundary` or `window`."""
+) -> Split:
+    """Events split by `key`, with the column that bounds their state: `boundary` or `window`."""
     if semantics not in allowed:
         raise ValueError(f"semantics must be one of {allowed}, not {semantics!r}")
-    if semantics == "as_coded":
-        return mark_boundaries(events, window_seconds, boundaries)
-    return events.withColumn("window", grid_window(window_seconds))
+    split = split_hot_keys(events, [key], total_rows, group_rows)
+    if semantics != "as_coded":
+        return replace(split, df=split.df.withColumn("window", grid_window(window_seconds)))
+    if lookup is None:
+        lookup = boundary_lookup(events, window_seconds)
+    return replace(split, df=mark_boundaries(split.df, lookup))
 
 
 def clicks_without_display(
     events: DataFrame,
     semantics: str = "as_coded",
     window_seconds: int = WINDOW_SECONDS,
-    boundaries: DataFrame | None = None,
+    lookup: DataFrame | None = None,
     total_rows: int | None = None,
     group_rows: int | None = None,
 ) -> DataFrame:
     """Pattern 1: clicks of a user with no display left to click on, and all later ones."""
-    df = prepare(events, semantics, window_seconds, boundaries)
+    split = split_and_bound(events, "uid", semantics, window_seconds, lookup, total_rows, group_rows)
     step = F.when(is_display(), 1).otherwise(-1).cast("long")
-    split = split_hot_keys(df, ["uid"], total_rows, group_rows)
     if semantics == "as_coded":
         df = running_sums(split, ["uid"], {"pending": step}, reset=F.col("boundary"))
     else:
@@ -68,7 +78,7 @@ def quick_clicks(
     semantics: str = "as_coded",
     window_seconds: int = WINDOW_SECONDS,
     threshold_seconds: int = QUICK_SECONDS,
-    boundaries: DataFrame | None = None,
+    lookup: DataFrame | None = None,
     total_rows: int | None = None,
     group_rows: int | None = None,
 ) -> DataFrame:
@@ -77,7 +87,7 @@ def quick_clicks(
     `as_coded` subtracts the click from the display, so it takes every click
     unless its display is at least `threshold_seconds` later.
     """
-    df = prepare(events, semantics, window_seconds, boundaries)
+    split = split_and_bound(events, "impression_id", semantics, window_seconds, lookup, total_rows, group_rows)
     shown_at = F.when(is_display(), F.col("timestamp"))
     if semantics == "as_coded":
         scope, cleared = ["impression_id"], F.col("boundary")
@@ -86,7 +96,6 @@ def quick_clicks(
         scope, cleared = ["impression_id", "window"], F.lit(False)
         delay = F.col("timestamp") - F.col("shown")
         quick = (delay >= 0) & (delay < threshold_seconds)
-    split = split_hot_keys(df, scope, total_rows, group_rows)
     df = last_value(split, scope, shown_at, cleared, "shown")
     return df.where(~is_display() & quick).select(*ORDERED_COLUMNS)
 
@@ -97,7 +106,7 @@ def hyperactive_ips(
     window_seconds: int = WINDOW_SECONDS,
     min_clicks: int = MIN_CLICKS,
     min_ctr: float = MIN_CTR,
-    boundaries: DataFrame | None = None,
+    lookup: DataFrame | None = None,
     total_rows: int | None = None,
     group_rows: int | None = None,
     keep_copy: bool = False,
@@ -108,8 +117,8 @@ def hyperactive_ips(
     always one, and emits a click twice if its address was suspicious before
     and the condition holds again. `keep_copy` adds the number of the emission.
     """
-    df = prepare(events, semantics, window_seconds, boundaries, ("as_coded", "documented", "separate_int"))
-    split = split_hot_keys(df, ["ip"], total_rows, group_rows)
+    readings = ("as_coded", "documented", "separate_int")
+    split = split_and_bound(events, "ip", semantics, window_seconds, lookup, total_rows, group_rows, readings)
     if semantics == "as_coded":
         df = running_sums(split, ["ip"], {"seen": F.lit(1).cast("long")}, reset=F.col("boundary"))
         hyperactive = ~is_display() & (F.col("seen") >= min_clicks)
@@ -141,12 +150,14 @@ def first_flagged(flagged: DataFrame, key: str) -> DataFrame:
 def key_segments(
     events: DataFrame,
     window_seconds: int = WINDOW_SECONDS,
-    boundaries: DataFrame | None = None,
+    lookup: DataFrame | None = None,
     total_rows: int | None = None,
     group_rows: int | None = None,
 ) -> DataFrame:
     """How often the state of an event's user, impression and address had been cleared."""
-    df = mark_boundaries(events, window_seconds, boundaries).select("seq", "uid", "impression_id", "ip", "boundary")
+    if lookup is None:
+        lookup = boundary_lookup(events, window_seconds)
+    df = mark_boundaries(events, lookup).select("seq", "uid", "impression_id", "ip", "boundary")
     for key, name in [("uid", "seg_uid"), ("impression_id", "seg_impression"), ("ip", "seg_ip")]:
         split = split_hot_keys(df, [key], total_rows, group_rows)
         df = running_sums(split, [key], {name: F.col("boundary").cast("long")}).drop(*split.columns)

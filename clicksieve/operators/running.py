@@ -14,6 +14,11 @@ def up_to_now(columns: list[str], order: list[str]):
     return Window.partitionBy(*columns).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def group_columns(split: Split, scope: list[str]) -> list[str]:
+    """Columns of one group; in an order whose sort also serves groups of the first key alone."""
+    return [scope[0], *split.columns, *scope[1:]]
+
+
 def running_sums(
     split: Split,
     scope: list[str],
@@ -28,17 +33,16 @@ def running_sums(
     share a `seq` as long as `order` tells them apart. Rows are shuffled by
     `together` where given, a column of `scope` that a later step groups by.
     """
-    columns = [*scope, *split.columns]
+    columns = group_columns(split, scope)
     window = up_to_now(columns, list(order))
 
     def local(df: DataFrame) -> DataFrame:
         if together:
             df = df.repartition(together, *split.columns)
-        for name, step in steps.items():
-            df = df.withColumn(name, F.sum(step).over(window))
+        df = df.withColumns({name: F.sum(step).over(window) for name, step in steps.items()})
         if reset is not None:
-            for name, step in steps.items():
-                df = df.withColumn(f"{name}_base", F.last(F.when(reset, F.col(name) - step), True).over(window))
+            base = {f"{name}_base": F.when(reset, F.col(name) - step) for name, step in steps.items()}
+            df = df.withColumns({name: F.last(value, True).over(window) for name, value in base.items()})
         return df
 
     def own(name: str) -> Column:
@@ -87,7 +91,7 @@ def carry(totals: DataFrame, scope: list[str], ranges: list[str], names: list[st
 
 def last_value(split: Split, scope: list[str], value: Column, cleared: Column, name: str) -> DataFrame:
     """Add the latest non-null `value` (a long) of `scope`, forgotten at rows where `cleared` holds."""
-    columns = [*scope, *split.columns]
+    columns = group_columns(split, scope)
     window = up_to_now(columns, ["seq"])
     mark = F.coalesce(value, F.when(cleared, F.lit(CLEARED)))
 

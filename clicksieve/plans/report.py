@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicksieve.functions.columns import percent
-from clicksieve.operators.boundaries import window_boundaries
+from clicksieve.operators.boundaries import boundary_lookup
 from clicksieve.operators.counts import label_patterns
 from clicksieve.operators.detectors import clicks_without_display, hyperactive_ips, quick_clicks
 from clicksieve.schema import CLICK, DISPLAY, EVENT_COLUMNS, PATTERN_1, PATTERN_2, PATTERN_3, WINDOW_SECONDS
-from clicksieve.session import settle
 
 
 @dataclass
@@ -47,7 +46,7 @@ def detect(
         "group_rows": group_rows,
     }
     if semantics == "as_coded":
-        shared["boundaries"] = settle(window_boundaries(events, window_seconds))
+        shared["lookup"] = boundary_lookup(events, window_seconds)
     return Detection(
         events,
         clicks_without_display(events, **shared),
