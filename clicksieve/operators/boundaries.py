@@ -11,7 +11,8 @@ boundary is simply the first row at or after `begin + window_seconds`. That chai
 is followed in parallel over long stretches of time: each stretch first works out
 where a chain that enters it would leave it, for the few rows at which one can
 enter; a short pass over these picks the true entries; then each stretch lists
-its boundaries. No task sees more than one stretch of seconds.
+its boundaries. If all rows together are no more than one stretch may have, one
+task follows the whole chain. No task ever sees more than one stretch of seconds.
 """
 
 import sys
@@ -42,21 +43,24 @@ def first_per_second(events: DataFrame, stretch_seconds: int) -> DataFrame:
     )
 
 
-def leading_seconds(seconds: DataFrame) -> DataFrame:
-    """The rows that arrive before every row of a later second."""
+def leading_in_stretch(seconds: DataFrame) -> DataFrame:
+    """The rows that arrive before every row of a later second of their stretch."""
     after = Window.partitionBy("stretch").orderBy(F.desc("timestamp")).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per stretch, a dozen for each year covered.
-    stretches_after = Window.orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
-    later_stretches = (
-        seconds.groupBy("stretch")
-        .agg(F.min("seq").alias("seq"))
-        .select("stretch", F.min("seq").over(stretches_after).alias("later_stretch"))
+    return (
+        seconds.withColumn("later", F.min("seq").over(after))
+        .where(F.col("later").isNull() | (F.col("seq") < F.col("later")))
+        .drop("later")
     )
-    earliest_later = F.least("later_second", "later_stretch")
+
+
+def leading_overall(leading: DataFrame) -> DataFrame:
+    """Of these, the rows that also arrive before every row of a later stretch."""
+    # One row per stretch, eight for each year covered.
+    after = Window.orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
+    later = leading.groupBy("stretch").agg(F.min("seq").alias("seq")).select("stretch", F.min("seq").over(after).alias("later"))
     return (
-        seconds.withColumn("later_second", F.min("seq").over(after))
-        .join(later_stretches, "stretch")
-        .where(earliest_later.isNull() | (F.col("seq") < earliest_later))
+        leading.join(later, "stretch")
+        .where(F.col("later").isNull() | (F.col("seq") < F.col("later")))
         .select("stretch", "timestamp", "seq")
     )
 
@@ -75,7 +79,9 @@ def window_boundaries(
     order = events.schema["seq"].dataType
     if begin is not None:
         events = events.where(F.col("timestamp") >= begin + window_seconds)
-    leading = leading_seconds(settle(first_per_second(events, stretch_seconds)))
+    leading = settle(leading_in_stretch(first_per_second(events, stretch_seconds)))
+    one_task = leading.count() <= stretch_seconds
+    leading = leading_overall(leading)
 
     def exits(rows: pd.DataFrame) -> pd.DataFrame:
         ts = np.sort(rows["timestamp"].to_numpy())
@@ -107,14 +113,17 @@ def window_boundaries(
         rows = rows.sort_values("timestamp", ignore_index=True)
         ts = rows["timestamp"].to_numpy()
         taken = []
-        i = int(np.searchsorted(ts, rows["entry"].iloc[0]))
+        i = 0 if one_task else int(np.searchsorted(ts, rows["entry"].iloc[0]))
         while i < len(ts):
             taken.append(i)
             i = int(np.searchsorted(ts, ts[i] + window_seconds))
-        if begin is None and rows["opens"].iloc[0]:
+        if begin is None and (one_task or rows["opens"].iloc[0]):
             taken = taken[1:]
         return rows.loc[taken, ["seq", "timestamp"]]
 
+    result = T.StructType([T.StructField("seq", order), T.StructField("timestamp", T.LongType())])
+    if one_task:
+        return leading.groupBy().applyInPandas(walk, result)
     # At most window_seconds + 1 rows per stretch reach the one-group pass.
     chosen = (
         leading.groupBy("stretch")
@@ -122,7 +131,6 @@ def window_boundaries(
         .groupBy()
         .applyInPandas(entries, "stretch long, entry long, opens boolean")
     )
-    result = T.StructType([T.StructField("seq", order), T.StructField("timestamp", T.LongType())])
     return leading.join(chosen, "stretch").groupBy("stretch").applyInPandas(walk, result)
 
 

@@ -123,10 +123,11 @@ def first_time(split: Split, df: DataFrame, key: str, condition: Column, name: s
     group = Window.partitionBy(key, *split.columns)
     if not split.any:
         return df.withColumn(name, F.min(found).over(group))
-    hot = settle(split.hot(df).where(condition).groupBy(key).agg(F.min("seq").alias("_first")))
+    # One row per split key: within the bound that `split_hot_keys` sets.
+    hot = split.hot(df).where(condition).groupBy(key).agg(F.min("seq").alias("_first"))
     return (
         df.withColumn(name, F.min(found).over(group))
-        .join(small_side(hot), key, "left")
+        .join(F.broadcast(hot), key, "left")
         .withColumn(name, F.when(F.col("range") == WHOLE, F.col(name)).otherwise(F.col("_first")))
         .drop("_first")
     )

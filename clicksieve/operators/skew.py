@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicksieve.session import settle, small_side
+from clicksieve.session import settle
 
 # A key with no more rows than this stays whole.
 GROUP_ROWS = 250_000
@@ -59,12 +59,13 @@ def split_hot_keys(
     limit = group_limit(total_rows, group_rows)
     if total_rows <= limit:
         return Split(df)
-    # No more than total_rows / limit rows, i.e. HOT_KEYS at the most.
+    # No more than total_rows / limit rows, i.e. HOT_KEYS at the most, and so
+    # always fit for a broadcast.
     hot = settle(df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys))
     if hot.isEmpty():
         return Split(df)
     cuts = cut_points(df, min(MAX_RANGES, -(-total_rows // limit)))
-    marked = df.join(small_side(hot.withColumn("is_hot", F.lit(True))), keys, "left")
+    marked = df.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), keys, "left")
     number = F.when(F.col("is_hot"), range_number(cuts, df.schema["seq"].dataType.simpleString()))
     return Split(marked.withColumn("range", number.otherwise(WHOLE)).drop("is_hot"), ["range"])
 

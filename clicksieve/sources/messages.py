@@ -28,19 +28,19 @@ def decode(messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ("
     """
     schema = T.StructType([*JSON_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
     text = F.col(value).cast("string")
-    parsed = messages.select(
-        *keep,
-        text.alias("value"),
-        F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("e"),
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    # A generator keeps Spark from parsing anew for every use of a field.
+    parsed = messages.select(*keep, text.alias("_text")).select(
+        *keep, "_text", F.inline(F.array(F.from_json("_text", schema, options)))
     )
-    complete = F.col("e").isNotNull() & F.col("e._corrupt").isNull()
+    complete = F.col("_corrupt").isNull()
     for name in JSON_FIELDS:
-        complete = complete & F.col(f"e.{name}").isNotNull()
+        complete = complete & F.col(name).isNotNull()
     return Decoded(
         events=parsed.where(complete).select(
-            *keep, *[F.col(f"e.{name}").alias(column) for name, column in JSON_FIELDS.items()]
+            *keep, *[F.col(name).alias(column) for name, column in JSON_FIELDS.items()]
         ),
-        rejected=parsed.where(~complete).select(*keep, "value"),
+        rejected=parsed.where(~complete).select(*keep, F.col("_text").alias("value")),
     )
 
 

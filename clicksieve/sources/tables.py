@@ -40,12 +40,12 @@ def click_events(spark: SparkSession, sf_dir: str, keep_other_types: bool = Fals
     return map_events(raw, keep_other_types)
 
 
-def click_events_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000, glob: str = "events.parquet") -> DataFrame:
+def click_events_stream(spark: SparkSession, folder: str, bytes_per_batch: str = "1g", glob: str = "events.parquet") -> DataFrame:
     """The same events as a file stream."""
     raw = (
         spark.readStream.schema(RAW_SCHEMA)
         .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxBytesPerTrigger", bytes_per_batch)
         .parquet(folder)
     )
     return map_events(raw)

@@ -16,18 +16,22 @@ OUTPUTS = {
 
 
 def parse_lines(lines: DataFrame, line: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Events of log lines; a line of another form gives no row."""
-
-    def field(n):
-        return F.regexp_extract(line, LINE_PATTERN, n)
-
-    return lines.where(F.col(line).rlike(LINE_PATTERN)).select(
+    """Events of log lines; a line of another form gives no row.
+
+    The pattern runs once per line: it leaves the five fields separated by line
+    breaks, which no line contains.
+    """
+    fields = F.split(F.regexp_replace(line, LINE_PATTERN, "$1\n$2\n$3\n$4\n$5"), "\n")
+    single = F.when(~F.contains(F.col(line), F.lit("\n")), fields)
+    parsed = lines.select(*keep, F.explode(F.array(single)).alias("field"))
+    number = F.when(F.col("field")[2] != "null", F.col("field")[2])
+    return parsed.where(F.size("field") == 5).select(
         *keep,
-        field(1).alias("event_type"),
-        field(2).alias("uid"),
-        F.when(field(3) != "null", field(3)).cast("long").alias("timestamp"),
-        field(4).alias("ip"),
-        field(5).alias("impression_id"),
+        F.col("field")[0].alias("event_type"),
+        F.col("field")[1].alias("uid"),
+        number.cast("long").alias("timestamp"),
+        F.col("field")[3].alias("ip"),
+        F.col("field")[4].alias("impression_id"),
     )
 
 

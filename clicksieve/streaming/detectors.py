@@ -1,9 +1,9 @@
 """The detectors on streams, with the state of each key in Spark's state store.
 
-`documented` runs directly on an event stream. `as_coded` needs to know the
-boundaries of the window all keys share, so it takes two steps: `stage` writes the
-events of each micro-batch marked with their boundaries, and the detectors read
-the staged table. `run_as_coded` does both for all events available.
+`documented` runs directly on an event stream (`detect_stream`). `as_coded` needs
+to know the boundaries of the window all keys share, so each micro-batch is first
+written out marked with its boundaries, and the detectors read the staged table
+(`detect_as_coded`).
 
 Within a micro-batch the events of a key are taken in order of `seq`; a later
 micro-batch counts as later arrival. One key's events of one micro-batch are
@@ -18,16 +18,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from clicksieve.functions.columns import event_time, grid_window
 from clicksieve.operators.boundaries import boundary_lookup, mark_boundaries
 from clicksieve.schema import (
     DISPLAY,
-    EVENT_COLUMNS,
     EVENT_SCHEMA,
     MIN_CLICKS,
     MIN_CTR,
@@ -38,7 +39,6 @@ from clicksieve.schema import (
     QUICK_SECONDS,
     WINDOW_SECONDS,
 )
-from clicksieve.session import settle
 from clicksieve.streaming.sinks import write_table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -248,58 +248,59 @@ def detect_stream(
     )
 
 
-def stage(events: DataFrame, folder: str, checkpoint: str, window_seconds: int = WINDOW_SECONDS) -> StreamingQuery:
-    """Write all events available as a table marked with the window boundaries.
+def stage(batch: DataFrame, batch_id: int, folder: str, window_seconds: int) -> None:
+    """Write a micro-batch marked with the window boundaries, then the opening time of its last window.
 
-    A micro-batch writes its events, then the opening time of the window it
-    ends in. A repeated micro-batch replaces both.
+    The opening time completes the batch: once it is there, a repeated
+    micro-batch finds its events written and leaves them alone.
     """
-
-    def one_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        begin = latest_begin(spark, folder, batch_id)
-        lookup = boundary_lookup(batch, window_seconds, begin)
-        marked = mark_boundaries(batch.select(*ORDERED_COLUMNS), lookup)
-        marked.write.mode("overwrite").parquet(f"{folder}/events/batch={batch_id}")
-        opened = spark.read.parquet(f"{folder}/events/batch={batch_id}")
-        last = F.max(F.when(F.col("boundary"), F.col("timestamp")))
-        first = F.min_by("timestamp", F.when(F.col("timestamp") > 0, F.col("seq")))
-        current = F.coalesce(last, F.lit(begin).cast("long"), first)
-        opened.agg(current.alias("begin")).write.mode("overwrite").parquet(f"{folder}/begin/batch={batch_id}")
-
-    return (
-        events.writeStream.foreachBatch(one_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def latest_begin(spark: SparkSession, folder: str, batch_id: int) -> int | None:
-    """Opening time of the window under way before micro-batch `batch_id`."""
-    if batch_id == 0:
+    spark = batch.sparkSession
+    if opening_time(spark, folder, batch_id) is not None:
+        return
+    begin = opening_time(spark, folder, batch_id - 1)
+    marked = mark_boundaries(batch.select(*ORDERED_COLUMNS), boundary_lookup(batch, window_seconds, begin))
+    marked.write.mode("overwrite").parquet(f"{folder}/events/batch={batch_id}")
+    written = spark.read.parquet(f"{folder}/events/batch={batch_id}")
+    last = F.max(F.when(F.col("boundary"), F.col("timestamp")))
+    first = F.min_by("timestamp", F.when(F.col("timestamp") > 0, F.col("seq")))
+    opened = F.coalesce(last, F.lit(begin).cast("long"), first, F.lit(0))
+    written.agg(opened.alias("begin")).write.mode("overwrite").parquet(f"{folder}/begin/batch={batch_id}")
+
+
+def opening_time(spark: SparkSession, folder: str, batch_id: int) -> int | None:
+    """When the last window of micro-batch `batch_id` opened; None if the batch is not complete."""
+    try:
+        row = spark.read.schema("begin long").parquet(f"{folder}/begin/batch={batch_id}").first()
+    except AnalysisException:
         return None
-    before = spark.read.schema("begin long").parquet(f"{folder}/begin/batch={batch_id - 1}")
-    return before.first()["begin"]
+    return row and row["begin"]
 
 
 def read_staged(spark: SparkSession, folder: str) -> DataFrame:
-    """The staged table as a stream; everything new is one micro-batch, as its parts have no order."""
-    schema = "seq bigint, event_type string, uid string, timestamp bigint, ip string, impression_id string, boundary boolean, batch bigint"
-    return spark.readStream.schema(schema).option("basePath", f"{folder}/events").parquet(f"{folder}/events")
+    """The staged table as a stream."""
+    fields = [*EVENT_SCHEMA.fields, StructField("boundary", BooleanType()), StructField("batch", LongType())]
+    return spark.readStream.schema(StructType(fields)).parquet(f"{folder}/events")
 
 
-def run_as_coded(
+def detect_as_coded(
     events: DataFrame, folder: str, outputs: dict[str, str], window_seconds: int = WINDOW_SECONDS
-) -> None:
-    """Stage all events available, then run the detectors on what is staged.
+) -> DataStreamWriter:
+    """The `as_coded` detectors on a stream; `outputs` maps patterns to folders for the flagged clicks.
 
-    Call it again for what has arrived since, also after a failure. The
-    detectors start only once staging has finished, so they never meet a half-written batch.
-    `outputs` maps patterns to folders for the flagged clicks.
+    Each micro-batch is staged and then taken up by the detectors, each a query
+    with a checkpoint of its own. They start once the staged batch is complete,
+    so a failure anywhere is made good by starting again.
     """
-    stage(events, f"{folder}/staged", f"{folder}/checkpoints/stage", window_seconds).awaitTermination()
-    for pattern, output in outputs.items():
-        flagged = detect_stream(read_staged(events.sparkSession, f"{folder}/staged"), pattern, "as_coded", window_seconds)
-        checkpoint = f"{folder}/checkpoints/{pattern.replace(' ', '_')}"
-        write_table(flagged, output, checkpoint, trigger=None).start().awaitTermination()
+    staged = f"{folder}/staged"
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        stage(batch, batch_id, staged, window_seconds)
+        queries = []
+        for pattern, output in outputs.items():
+            flagged = detect_stream(read_staged(batch.sparkSession, staged), pattern, "as_coded", window_seconds)
+            checkpoint = f"{folder}/checkpoints/{pattern.replace(' ', '_')}"
+            queries.append(write_table(flagged, output, checkpoint, trigger=None).start())
+        for query in queries:
+            query.awaitTermination()
+
+    return events.writeStream.foreachBatch(one_batch).option("checkpointLocation", f"{folder}/checkpoints/stage")
