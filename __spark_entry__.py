@@ -15,11 +15,12 @@ from clicksieve.functions.columns import event_json, event_line, event_time, hou
 from clicksieve.operators import counts, detectors
 from clicksieve.operators.boundaries import window_boundaries
 from clicksieve.plans import report
-from clicksieve.schema import CLICK, EVENT_COLUMNS, ORDERED_COLUMNS
+from clicksieve.schema import CLICK, ORDERED_COLUMNS, PATTERN_1, PATTERN_2, PATTERN_3
 from clicksieve.session import settle
 from clicksieve.sources.messages import decode
 from clicksieve.sources.tables import click_events
 from clicksieve.sources.textlog import parse_lines
+from clicksieve.streaming.replay import replay, replay_as_coded
 
 # The windows and thresholds at which the sparse test events give results for
 # the documented rules.
@@ -82,6 +83,11 @@ def fraud_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select(*ORDERED_COLUMNS).distinct().select("seq", event_json().alias("value"))
 
 
+def on_stream(pattern: str, **settings) -> Callable[[SparkSession, str], DataFrame]:
+    """A detector run as a streaming query over the events."""
+    return lambda spark, sf_dir: replay(spark, sf_dir, pattern, **settings)
+
+
 def on_events(query: Callable[..., DataFrame], **settings) -> Callable[[SparkSession, str], DataFrame]:
     """A query that takes the click events and nothing else."""
     return lambda spark, sf_dir: query(click_events(spark, sf_dir), **settings)
@@ -134,6 +140,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_lines": report_lines,
         "hour_bucket": hour_counts,
         "fraud_json": fraud_json,
+        "p1_documented_stream": on_stream(PATTERN_1, **documented),
+        "p2_documented_stream": on_stream(PATTERN_2, threshold_seconds=THRESHOLD, **documented),
+        "p3_documented_stream": on_stream(PATTERN_3, **documented),
+        "as_coded_stream": lambda spark, sf_dir: replay_as_coded(spark, sf_dir).select("pattern", *ORDERED_COLUMNS),
     }
 
 

@@ -30,8 +30,10 @@ from clicksieve.session import settle, small_side
 # Python workers get these functions by value and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Length of a stretch; also the largest number of rows a task holds at once.
-STRETCH_SECONDS = 1 << 22
+# Length of a stretch, and so the most rows a task holds at once. Some windows
+# have to fit, as a chain can enter at any second of the first one.
+STRETCH_SECONDS = 1 << 18
+STRETCH_WINDOWS = 32
 
 
 def first_per_second(events: DataFrame, stretch_seconds: int) -> DataFrame:
@@ -55,7 +57,7 @@ def leading_in_stretch(seconds: DataFrame) -> DataFrame:
 
 def leading_overall(leading: DataFrame) -> DataFrame:
     """Of these, the rows that also arrive before every row of a later stretch."""
-    # One row per stretch, eight for each year covered.
+    # One row per stretch, some hundred for each year covered.
     after = Window.orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
     later = leading.groupBy("stretch").agg(F.min("seq").alias("seq")).select("stretch", F.min("seq").over(after).alias("later"))
     return (
@@ -69,13 +71,15 @@ def window_boundaries(
     events: DataFrame,
     window_seconds: int = WINDOW_SECONDS,
     begin: int | None = None,
-    stretch_seconds: int = STRETCH_SECONDS,
+    stretch_seconds: int | None = None,
 ) -> DataFrame:
     """The boundary events as (seq, timestamp).
 
     `begin` is the opening timestamp of a window already under way. Without it
     the first event opens the first window and is no boundary itself.
     """
+    if stretch_seconds is None:
+        stretch_seconds = max(STRETCH_SECONDS, STRETCH_WINDOWS * window_seconds)
     order = events.schema["seq"].dataType
     if begin is not None:
         events = events.where(F.col("timestamp") >= begin + window_seconds)
@@ -126,7 +130,8 @@ def window_boundaries(
         return leading.groupBy().applyInPandas(walk, result)
     # At most window_seconds + 1 rows per stretch reach the one-group pass.
     chosen = (
-        leading.groupBy("stretch")
+        leading.select("stretch", "timestamp")
+        .groupBy("stretch")
         .applyInPandas(exits, "stretch long, entry long, resume long")
         .groupBy()
         .applyInPandas(entries, "stretch long, entry long, opens boolean")

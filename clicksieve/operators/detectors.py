@@ -157,8 +157,9 @@ def key_segments(
     """How often the state of an event's user, impression and address had been cleared."""
     if lookup is None:
         lookup = boundary_lookup(events, window_seconds)
+    total_rows = events.count() if total_rows is None else total_rows
     df = mark_boundaries(events, lookup).select("seq", "uid", "impression_id", "ip", "boundary")
     for key, name in [("uid", "seg_uid"), ("impression_id", "seg_impression"), ("ip", "seg_ip")]:
-        split = split_hot_keys(df, [key], total_rows, group_rows)
+        split = split_hot_keys(df, [key], total_rows, group_rows, source=events)
         df = running_sums(split, [key], {name: F.col("boundary").cast("long")}).drop(*split.columns)
     return df.select("seq", "seg_uid", "seg_impression", "seg_ip")

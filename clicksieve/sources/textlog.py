@@ -41,5 +41,7 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 def read_bucket(spark: SparkSession, root: str, output: str, bucket: str) -> DataFrame:
     """The events of one output in one hour, e.g. bucket 2021-07-08--16; other hours are not read."""
-    lines = spark.read.format("text").schema("value string, bucket string").load(f"{root}/{OUTPUTS[output]}")
-    return parse_lines(lines.where(F.col("bucket") == bucket))
+    lines = spark.read.text(f"{root}/{OUTPUTS[output]}")
+    # An output without a single line has no hourly folders.
+    in_hour = F.col("bucket") == bucket if "bucket" in lines.columns else F.lit(False)
+    return parse_lines(lines.where(in_hour))

@@ -13,7 +13,7 @@ detectors, which split large keys.
 """
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,6 @@ from clicksieve.functions.columns import event_time, grid_window
 from clicksieve.operators.boundaries import boundary_lookup, mark_boundaries
 from clicksieve.schema import (
     DISPLAY,
-    EVENT_SCHEMA,
     MIN_CLICKS,
     MIN_CTR,
     ORDERED_COLUMNS,
@@ -257,7 +256,8 @@ def stage(batch: DataFrame, batch_id: int, folder: str, window_seconds: int) ->
     spark = batch.sparkSession
     if opening_time(spark, folder, batch_id) is not None:
         return
-    begin = opening_time(spark, folder, batch_id - 1)
+    # Zero stands for no window opened yet.
+    begin = opening_time(spark, folder, batch_id - 1) or None
     marked = mark_boundaries(batch.select(*ORDERED_COLUMNS), boundary_lookup(batch, window_seconds, begin))
     marked.write.mode("overwrite").parquet(f"{folder}/events/batch={batch_id}")
     written = spark.read.parquet(f"{folder}/events/batch={batch_id}")
@@ -276,14 +276,19 @@ def opening_time(spark: SparkSession, folder: str, batch_id: int) -> int | None:
     return row and row["begin"]
 
 
-def read_staged(spark: SparkSession, folder: str) -> DataFrame:
-    """The staged table as a stream."""
-    fields = [*EVENT_SCHEMA.fields, StructField("boundary", BooleanType()), StructField("batch", LongType())]
+def read_staged(spark: SparkSession, folder: str, events: StructType) -> DataFrame:
+    """The staged table as a stream; `events` is the schema of the events in it."""
+    fields = [events[name] for name in ORDERED_COLUMNS]
+    fields += [StructField("boundary", BooleanType()), StructField("batch", LongType())]
     return spark.readStream.schema(StructType(fields)).parquet(f"{folder}/events")
 
 
 def detect_as_coded(
-    events: DataFrame, folder: str, outputs: dict[str, str], window_seconds: int = WINDOW_SECONDS
+    events: DataFrame,
+    folder: str,
+    outputs: dict[str, str],
+    window_seconds: int = WINDOW_SECONDS,
+    write: Callable[..., DataStreamWriter] = write_table,
 ) -> DataStreamWriter:
     """The `as_coded` detectors on a stream; `outputs` maps patterns to folders for the flagged clicks.
 
@@ -297,9 +302,10 @@ def detect_as_coded(
         stage(batch, batch_id, staged, window_seconds)
         queries = []
         for pattern, output in outputs.items():
-            flagged = detect_stream(read_staged(batch.sparkSession, staged), pattern, "as_coded", window_seconds)
+            marked = read_staged(batch.sparkSession, staged, batch.schema)
+            flagged = detect_stream(marked, pattern, "as_coded", window_seconds)
             checkpoint = f"{folder}/checkpoints/{pattern.replace(' ', '_')}"
-            queries.append(write_table(flagged, output, checkpoint, trigger=None).start())
+            queries.append(write(flagged, output, checkpoint, trigger=None).start())
         for query in queries:
             query.awaitTermination()
 

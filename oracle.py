@@ -179,4 +179,8 @@ select strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d--%H') as bucket
 select seq, '{{"eventType":"' || event_type || '","uid":"' || uid || '","timestamp":' || "timestamp"
   || ',"ip":"' || ip || '","impressionId":"' || impression_id || '"}}' as value
 from (select distinct seq, {FIVE} from flagged)""",
+        "p1_documented_stream": p1_doc,
+        "p2_documented_stream": p2_doc,
+        "p3_documented_stream": p3_doc,
+        "as_coded_stream": f"{ALL} select pattern, seq, {FIVE} from flagged",
     }

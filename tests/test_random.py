@@ -47,7 +47,6 @@ def tens(flagged):
 @pytest.mark.parametrize("stretch", [None, 50, 700, 5000])
 def test_boundaries(case, stretch):
     rows, events = case
-    stretch = stretch or boundaries.STRETCH_SECONDS
     expected = sorted(10 * (i + 1) for i in brute.boundaries(rows, WINDOW))
     assert len(expected) > 5
     assert seqs(boundaries.window_boundaries(events, WINDOW, stretch_seconds=stretch)) == expected
