@@ -41,10 +41,10 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    whole = event_json()
-    broken = F.substring(whole, 1, 20)
-    value = F.when(F.col("seq") % 10 == 0, broken).otherwise(whole)
-    decoded = decode(click_events(spark, sf_dir).select("seq", value.alias("value")))
+    """All events as messages, those of errors with text in front that is no JSON."""
+    message = F.when(F.col("event_type") == "error", F.concat(F.lit("error: "), event_json())).otherwise(event_json())
+    events = click_events(spark, sf_dir, keep_other_types=True)
+    decoded = decode(events.select("seq", message.alias("value")))
     return (
         decoded.events.select(F.lit(1).alias("good"))
         .unionByName(decoded.rejected.select(F.lit(0).alias("good")))

@@ -29,9 +29,10 @@ def running_sums(
 ) -> DataFrame:
     """Add one running sum per entry of `steps`, over `scope` in `order`.
 
-    A row for which `reset` holds starts its sums from zero. Several rows may
-    share a `seq` as long as `order` tells them apart. Rows are shuffled by
-    `together` where given, a column of `scope` that a later step groups by.
+    A row for which `reset` holds starts its sums from zero. Without resets
+    several rows may share a `seq` as long as `order` tells them apart. Rows are
+    shuffled by `together` where given, a column of `scope` that a later step
+    groups by.
     """
     columns = group_columns(split, scope)
     window = up_to_now(columns, list(order))
@@ -55,16 +56,17 @@ def running_sums(
         df = local(split.df)
         return df.select(*split.df.columns, *[own(name).alias(name) for name in steps])
 
-    if reset is None:
-        totals = split.hot().groupBy(*columns).agg(
-            *[F.sum(step).alias(name) for name, step in steps.items()], F.lit(0).alias("resets")
-        )
-    else:
-        latest = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-        totals = local(split.hot()).groupBy(*columns).agg(
-            *[F.max_by(own(name), latest).alias(name) for name in steps],
-            F.max(reset.cast("int")).alias("resets"),
-        )
+    counted, since, resets = split.hot(), F.lit(True), F.lit(0)
+    if reset is not None:
+        # No more rows than boundaries.
+        last_reset = settle(counted.where(reset).groupBy(*columns).agg(F.max("seq").alias("_reset")))
+        counted = counted.join(small_side(last_reset), columns, "left")
+        since = F.col("_reset").isNull() | (F.col("seq") >= F.col("_reset"))
+        resets = F.max(F.col("_reset").isNotNull().cast("int"))
+    totals = counted.groupBy(*columns).agg(
+        *[F.sum(F.when(since, step).otherwise(0)).alias(name) for name, step in steps.items()],
+        resets.alias("resets"),
+    )
     carried = settle(carry(totals, scope, split.columns, list(steps)))
     df = local(split.df).join(small_side(carried), columns, "left")
 
@@ -123,7 +125,7 @@ def first_time(split: Split, df: DataFrame, key: str, condition: Column, name: s
     group = Window.partitionBy(key, *split.columns)
     if not split.any:
         return df.withColumn(name, F.min(found).over(group))
-    # One row per split key: within the bound that `split_hot_keys` sets.
+    # One row per split key, and `split_hot_keys` bounds these.
     hot = split.hot(df).where(condition).groupBy(key).agg(F.min("seq").alias("_first"))
     return (
         df.withColumn(name, F.min(found).over(group))

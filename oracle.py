@@ -122,8 +122,8 @@ from ev group by 1, 2"""
 select case when event_type = 'display' then 'display' else 'click' end as role, count(*) as n from ev group by 1""",
         "event_time": f"""with {EV} select seq, make_timestamp("timestamp" * 1000000) as event_time from ev""",
         "json_decode": five,
-        "json_malformed": f"""with {EV}
-select count(*) filter (seq % 10 <> 0) as decoded, count(*) filter (seq % 10 = 0) as rejected from ev""",
+        "json_malformed": f"""with {events_cte("")}
+select count(*) filter (event_type <> 'error') as decoded, count(*) filter (event_type = 'error') as rejected from ev""",
         "event_to_text": f"""with {EV}
 select seq, 'Event{{eventType=''' || event_type || ''', uid=''' || uid || ''', timestamp=' || "timestamp"
   || ', ip=''' || ip || ''', impressionId=''' || impression_id || '''}}' as line from ev""",
