@@ -55,9 +55,10 @@ class KeyedDetector(StatefulProcessor):
     # Names of the numbers kept per window.
     numbers: tuple[str, ...] = ()
 
-    def __init__(self, semantics: str, window_seconds: int, **settings):
+    def __init__(self, semantics: str, window_seconds: int, forgets: bool, **settings):
         self.semantics = semantics
         self.window_seconds = window_seconds
+        self.forgets = forgets
         self.settings = settings
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -77,7 +78,7 @@ class KeyedDetector(StatefulProcessor):
         before = {p: self.load(p) for p in np.unique(part)}
         copies, after = self.judge(df["timestamp"].to_numpy(), display, part, before)
         self.save(after)
-        if self.semantics != "as_coded":
+        if self.forgets:
             self.forget(timerValues)
         yield df.loc[np.repeat(df.index.to_numpy(), copies), ORDERED_COLUMNS]
 
@@ -237,6 +238,7 @@ def detect_stream(
         statefulProcessor=processor(
             semantics,
             window_seconds,
+            delay is not None,
             threshold_seconds=threshold_seconds,
             min_clicks=min_clicks,
             min_ctr=min_ctr,

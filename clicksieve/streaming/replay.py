@@ -11,6 +11,18 @@ from clicksieve.streaming.detectors import DETECTORS, detect_as_coded, detect_st
 from clicksieve.streaming.sinks import write_table
 
 
+def replay_session(spark: SparkSession) -> SparkSession:
+    """A session with one state partition per core; streams do not merge small partitions by themselves."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return session
+
+
+def flagged_table(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(EVENT_SCHEMA).parquet(folder).select(*ORDERED_COLUMNS)
+
+
 def finish(writer: DataStreamWriter) -> None:
     writer.start().awaitTermination()
 
@@ -18,18 +30,17 @@ def finish(writer: DataStreamWriter) -> None:
 def replay(spark: SparkSession, sf_dir: str, pattern: str, **settings) -> DataFrame:
     """Flagged clicks of one detector."""
     work = new_run_folder(spark, "replay")
-    flagged = detect_stream(click_events_stream(spark, sf_dir), pattern, **settings)
+    flagged = detect_stream(click_events_stream(replay_session(spark), sf_dir), pattern, **settings)
     finish(write_table(flagged, f"{work}/flagged", f"{work}/checkpoint", trigger=None))
-    return spark.read.schema(EVENT_SCHEMA).parquet(f"{work}/flagged").select(*ORDERED_COLUMNS)
+    return flagged_table(spark, f"{work}/flagged")
 
 
 def replay_as_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged clicks of all detectors with the label of the detector."""
     work = new_run_folder(spark, "replay")
     outputs = {pattern: f"{work}/{pattern.replace(' ', '_')}" for pattern in DETECTORS}
-    finish(detect_as_coded(click_events_stream(spark, sf_dir), work, outputs).trigger(availableNow=True))
+    finish(detect_as_coded(click_events_stream(replay_session(spark), sf_dir), work, outputs).trigger(availableNow=True))
     tables = [
-        spark.read.schema(EVENT_SCHEMA).parquet(folder).withColumn("pattern", F.lit(pattern))
-        for pattern, folder in outputs.items()
+        flagged_table(spark, folder).withColumn("pattern", F.lit(pattern)) for pattern, folder in outputs.items()
     ]
     return tables[0].unionByName(tables[1]).unionByName(tables[2])

@@ -13,6 +13,8 @@ def spark(tmp_path_factory):
         "local[4]",
         {
             "spark.sql.shuffle.partitions": "2",
+            # Compiling code takes longer than the few rows here do without.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

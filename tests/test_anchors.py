@@ -1,0 +1,40 @@
+"""Row counts on the middle-sized tables, worked out separately by a sequential model."""
+
+import pytest
+
+from clicksieve.operators import detectors
+from clicksieve.operators.boundaries import window_boundaries
+from clicksieve.plans import report
+from clicksieve.sources.tables import click_events
+
+DAY = 86400
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return click_events(spark, "/root/testdata/sf0.01")
+
+
+def test_as_coded(events):
+    found = report.detect(events)
+    assert window_boundaries(events).count() == 1061
+    counts = report.flagged_counts(found).first()
+    assert (counts["n_1"], counts["n_2"], counts["n_3"], counts["n_invalid"]) == (1860, 310, 474, 1914)
+    assert found.p3.select("seq").distinct().count() == 410
+    assert round(report.ctr(events).first()["ctr"], 4) == 1.0121
+    assert round(report.ctr_after_fraud(events, report.flagged_counts(found)).first()["ctr"], 4) == 0.0464
+
+
+@pytest.mark.parametrize(
+    ("window", "threshold", "expected"),
+    [(1800, 2, (2005, 0, 0, 0)), (7 * DAY, 12 * 3600, (1877, 320, 59, 59)), (30 * DAY, 3600, (1701, 44, 913, 743))],
+)
+def test_grid_windows(events, window, threshold, expected):
+    shared = {"window_seconds": window, "total_rows": 3988}
+    found = (
+        detectors.clicks_without_display(events, "documented", **shared),
+        detectors.quick_clicks(events, "documented", threshold_seconds=threshold, **shared),
+        detectors.hyperactive_ips(events, "documented", **shared),
+        detectors.hyperactive_ips(events, "separate_int", **shared),
+    )
+    assert tuple(df.count() for df in found) == expected
