@@ -14,6 +14,7 @@ detectors, which split large keys.
 
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pandas as pd
@@ -302,13 +303,13 @@ def detect_as_coded(
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         stage(batch, batch_id, staged, window_seconds)
-        queries = []
-        for pattern, output in outputs.items():
-            marked = read_staged(batch.sparkSession, staged, batch.schema)
-            flagged = detect_stream(marked, pattern, "as_coded", window_seconds)
-            checkpoint = f"{folder}/checkpoints/{pattern.replace(' ', '_')}"
-            queries.append(write(flagged, output, checkpoint, trigger=None).start())
-        for query in queries:
-            query.awaitTermination()
+        # Whatever fails, every query that was started has ended on leaving.
+        with ExitStack() as running:
+            for pattern, output in outputs.items():
+                marked = read_staged(batch.sparkSession, staged, batch.schema)
+                flagged = detect_stream(marked, pattern, "as_coded", window_seconds)
+                checkpoint = f"{folder}/checkpoints/{pattern.replace(' ', '_')}"
+                query = write(flagged, output, checkpoint, trigger=None).start()
+                running.callback(query.awaitTermination)
 
     return events.writeStream.foreachBatch(one_batch).option("checkpointLocation", f"{folder}/checkpoints/stage")

@@ -89,6 +89,29 @@ def test_as_coded(spark, feed, tmp_path):
     assert all(seqs(df) for df in (expected.p1, expected.p2, expected.p3))
 
 
+def test_as_coded_after_failures(spark, feed, tmp_path):
+    """A run that breaks before or among the detectors is made good by the next one."""
+    outputs = {pattern: str(tmp_path / pattern[-1]) for pattern in BATCH}
+
+    def attempt(write):
+        run(detect_as_coded(feed.stream(), str(tmp_path / "work"), outputs, WINDOW, write).trigger(availableNow=True))
+
+    for broken in (PATTERN_1, PATTERN_3):
+
+        def breaking(flagged, output, *args, **kwargs):
+            if output == outputs[broken]:
+                raise RuntimeError("lost")
+            return sinks.write_table(flagged, output, *args, **kwargs)
+
+        feed.send(75)
+        with pytest.raises(Exception, match="lost"):
+            attempt(breaking)
+        attempt(sinks.write_table)
+    expected = report.detect(feed.table(), window_seconds=WINDOW)
+    for pattern, batch in zip(outputs, (expected.p1, expected.p2, expected.p3)):
+        assert seqs(flagged(spark, outputs[pattern])) == seqs(batch), pattern
+
+
 def test_windows_behind_the_watermark_are_forgotten(spark, tmp_path):
     rows = [("display", "A", 1000 + i, "ip", "x") for i in range(3)]
     rows += [("display", "A", 100_000, "ip", "x"), ("click", "A", 100_001, "ip", "x"), ("click", "A", 100_002, "ip", "x")]
