@@ -59,7 +59,8 @@ def leading_overall(leading: DataFrame) -> DataFrame:
     """Of these, the rows that also arrive before every row of a later stretch."""
     # One row per stretch, some hundred for each year covered.
     after = Window.orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
-    later = leading.groupBy("stretch").agg(F.min("seq").alias("seq")).select("stretch", F.min("seq").over(after).alias("later"))
+    first = leading.groupBy("stretch").agg(F.min("seq").alias("seq"))
+    later = first.select("stretch", F.min("seq").over(after).alias("later"))
     return (
         leading.join(later, "stretch")
         .where(F.col("later").isNull() | (F.col("seq") < F.col("later")))

@@ -121,7 +121,7 @@ def hyperactive_ips(
     split = split_and_bound(events, "ip", semantics, window_seconds, lookup, total_rows, group_rows, readings)
     if semantics == "as_coded":
         df = running_sums(split, ["ip"], {"seen": F.lit(1).cast("long")}, reset=F.col("boundary"))
-        hyperactive = ~is_display() & (F.col("seen") >= min_clicks)
+        hyperactive = ~is_display() & (F.col("seen") >= min_clicks) & F.lit(min_ctr <= 1)
     else:
         steps = {"clicks": (~is_display()).cast("long"), "displays": is_display().cast("long")}
         df = running_sums(split, ["ip", "window"], steps, together="ip")

@@ -40,7 +40,9 @@ def click_events(spark: SparkSession, sf_dir: str, keep_other_types: bool = Fals
     return map_events(raw, keep_other_types)
 
 
-def click_events_stream(spark: SparkSession, folder: str, bytes_per_batch: int = 1 << 30, glob: str = "events.parquet") -> DataFrame:
+def click_events_stream(
+    spark: SparkSession, folder: str, bytes_per_batch: int = 1 << 30, glob: str = "events.parquet"
+) -> DataFrame:
     """The same events as a file stream."""
     raw = (
         spark.readStream.schema(RAW_SCHEMA)

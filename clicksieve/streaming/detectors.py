@@ -189,7 +189,7 @@ class ClickCounts(KeyedDetector):
         clicks, final_clicks = running_sum((~display).astype(int), part, before, 0)
         displays, final_displays = running_sum(display.astype(int), part, before, 1)
         if self.semantics == "as_coded":
-            hit = ~display & (clicks + displays >= self.settings["min_clicks"])
+            hit = ~display & (clicks + displays >= self.settings["min_clicks"]) & (self.settings["min_ctr"] <= 1)
         else:
             shown = np.maximum(displays, 1)
             ratio = clicks / shown if self.semantics == "documented" else clicks // shown

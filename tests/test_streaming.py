@@ -178,7 +178,7 @@ def test_messages_to_files(spark, tmp_path):
     run(sinks.write_strings(messages.topic_strings(lines, "clicks"), str(tmp_path / "raw"), str(tmp_path / "cp1")))
     assert spark.read.text(str(tmp_path / "raw")).count() == 2
     decoded = messages.decode(lines, keep=())
-    run(decoded.rejected.writeStream.format("text").option("path", str(tmp_path / "bad")).option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True))
+    run(sinks.write_strings(decoded.rejected, str(tmp_path / "bad"), str(tmp_path / "cp2")))
     assert [r[0] for r in spark.read.text(str(tmp_path / "bad")).collect()] == ["broken"]
 
 
