@@ -83,6 +83,16 @@ def fraud_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select(*ORDERED_COLUMNS).distinct().select("seq", event_json().alias("value"))
 
 
+def in_utc(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query in a session set to UTC: the times of the tables have no zone."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return query(spark, sf_dir)
+
+    return run
+
+
 def on_stream(pattern: str, **settings) -> Callable[[SparkSession, str], DataFrame]:
     """A detector run as a streaming query over the events."""
     return lambda spark, sf_dir: replay(spark, sf_dir, pattern, **settings)
@@ -96,7 +106,7 @@ def on_events(query: Callable[..., DataFrame], **settings) -> Callable[[SparkSes
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     p1, p2, p3 = detectors.clicks_without_display, detectors.quick_clicks, detectors.hyperactive_ips
     documented = {"semantics": "documented", "window_seconds": WINDOW}
-    return {
+    by_name = {
         "project_event": on_events(lambda ev: ev.select(*ORDERED_COLUMNS)),
         "filter_clicks": on_events(lambda ev: ev.where(F.col("event_type") == CLICK).select(*ORDERED_COLUMNS)),
         "split_types": lambda spark, sf_dir: click_events(spark, sf_dir, keep_other_types=True)
@@ -145,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_documented_stream": on_stream(PATTERN_3, **documented),
         "as_coded_stream": lambda spark, sf_dir: replay_as_coded(spark, sf_dir).select("pattern", *ORDERED_COLUMNS),
     }
+    return {name: in_utc(query) for name, query in by_name.items()}
 
 
 def oracle_sql() -> dict[str, str]:
