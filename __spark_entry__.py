@@ -22,6 +22,20 @@ from clicksieve.sources.tables import click_events
 from clicksieve.sources.textlog import parse_lines
 from clicksieve.streaming.replay import replay, replay_as_coded
 
+# The text operators may be left out as a whole; anything else missing is an error.
+try:
+    from clicksieve.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name != "clicksieve.llm":
+        raise
+    llm = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "clicksieve.llm"):
+        raise
+    corpus_pipeline = None
+
 # The windows and thresholds at which the sparse test events give results for
 # the documented rules.
 WINDOW = 7 * 86400
@@ -155,8 +169,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_documented_stream": on_stream(PATTERN_3, **documented),
         "as_coded_stream": lambda spark, sf_dir: replay_as_coded(spark, sf_dir).select("pattern", *ORDERED_COLUMNS),
     }
+    if llm:
+        by_name |= llm.queries()
+    if corpus_pipeline:
+        by_name["pipeline"] = corpus_pipeline.run
     return {name: in_utc(query) for name, query in by_name.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql(WINDOW, THRESHOLD)
+    found = oracle.oracle_sql(WINDOW, THRESHOLD)
+    if llm:
+        found |= llm.oracle_sql()
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
