@@ -5,10 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicksieve.llm import html_extraction, quality_rules, sharding, simhash, token_counts
+from clicksieve.llm import (
+    byte_bpe,
+    decontamination,
+    html_extraction,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash,
+    token_counts,
+)
 from clicksieve.llm.common import read_table
 from clicksieve.session import new_run_folder
 
@@ -16,10 +26,25 @@ from clicksieve.session import new_run_folder
 TOKEN_LIMIT = 1024
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(read_table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.Ranks(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(read_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -33,6 +58,23 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     # A cache of its own: every text of the table is a miss the first time.
@@ -46,6 +88,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(read_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_extraction.extract_pages(read_table(spark, sf_dir, "pages"))
     return pages.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -53,10 +101,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_simhash": op2_simhash,
+        "op3_byte_bpe": op3_byte_bpe,
         "op4_sharding": op4_sharding,
+        "op5_secret_scan": op5_secret_scan,
         "op7_token_counts": op7_token_counts,
         "op8_quality_rules": op8_quality_rules,
+        "op9_quality_classifier": op9_quality_classifier,
         "op10_html_extraction": op10_html_extraction,
     }
 
