@@ -12,6 +12,7 @@ from clicksieve.llm import (
     byte_bpe,
     decontamination,
     html_extraction,
+    language_id,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -75,6 +76,14 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by all their evidence, and documents by text and source."""
+    documents = read_table(spark, sf_dir, "documents")
+    model = language_id.learn_text(documents)
+    pages = language_id.identify(language_id.page_evidence(read_table(spark, sf_dir, "pages")), model)
+    return pages.unionByName(language_id.identify(language_id.document_evidence(documents), model))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     # A cache of its own: every text of the table is a miss the first time.
@@ -106,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_byte_bpe": op3_byte_bpe,
         "op4_sharding": op4_sharding,
         "op5_secret_scan": op5_secret_scan,
+        "op6_language_id": op6_language_id,
         "op7_token_counts": op7_token_counts,
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
