@@ -13,8 +13,8 @@ documents are never shuffled. A pair is tiled only if the tokens of the item
 that lie in seeds, which bound what tiles can cover, reach the threshold.
 
 Results in special cases: null and empty documents match nothing; items of fewer
-tokens than MIN_MATCH must occur whole; items without tokens match nothing; of
-equal items, equal documents and repeated rows each gives its own row; of equally
+tokens than MIN_MATCH, which any text may hold by chance, match only documents of
+the same tokens; items without tokens match nothing; of equal items, equal documents and repeated rows each gives its own row; of equally
 long matches the first in the item, then in the document, is marked; an empty
 table gives no rows; other columns are not looked at.
 """
@@ -36,7 +36,7 @@ MIN_COVERAGE = 0.5
 BLOCK_BYTES = 16 << 20
 
 _TOKEN = re.compile(r"\w+")
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE, _WRAP = 0x9E3779B97F4A7C15, 1 << 64
 
 HIT = "array<struct<item_id: long, n_tokens: int, covered: int, coverage: double, tiles: array<struct<item_at: int, doc_at: int, length: int>>>>"
 
@@ -51,13 +51,12 @@ def _windows(codes: np.ndarray, free: np.ndarray, length: int) -> tuple[np.ndarr
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     # Horner's rule over doubling lengths gives all windows in a few passes.
     hashes, done, power = codes, 1, _BASE
-    bits = bin(length)[3:]
-    for bit in bits:
-        hashes = hashes[: len(hashes) - done] * power + hashes[done:]
-        done, power = done * 2, power * power
+    for bit in bin(length)[3:]:
+        hashes = hashes[: len(hashes) - done] * np.uint64(power) + hashes[done:]
+        done, power = done * 2, power * power % _WRAP
         if bit == "1":
-            hashes = hashes[: len(hashes) - 1] * _BASE + codes[done : done + len(hashes) - 1]
-            done, power = done + 1, power * _BASE
+            hashes = hashes[: len(hashes) - 1] * np.uint64(_BASE) + codes[done : done + len(hashes) - 1]
+            done, power = done + 1, power * _BASE % _WRAP
     taken = np.concatenate([[0], np.cumsum(~free)])
     at = np.flatnonzero(taken[length:] == taken[:-length])
     return at, hashes[at]
@@ -87,7 +86,7 @@ def _longest(item: np.ndarray, doc: np.ndarray, free_item: np.ndarray, free_doc:
 def tile(item: np.ndarray, doc: np.ndarray, min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
     """Tiles (item_at, doc_at, length) of two rows of token codes, the longest first."""
     free_item, free_doc = np.ones(len(item), bool), np.ones(len(doc), bool)
-    found, length = [], max(min(len(item), len(doc)), 1)
+    found, length = [], max(min(len(item), len(doc)), min_match)
     while True:
         best = _longest(item, doc, free_item, free_doc, length)
         if best:
@@ -146,6 +145,8 @@ class Block:
             item_id, item, n = self.items[index]
             if len(in_seeds[index]) < self.min_coverage * len(item):
                 continue
+            if n < self.min_match and len(doc) != len(item):
+                continue
             tiles = tile(item, doc, n)
             covered = sum(t[2] for t in tiles)
             if covered >= self.min_coverage * len(item):
