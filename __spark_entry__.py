@@ -11,16 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle
-from clicksieve.functions.columns import event_json, event_line, event_time, hour_bucket, role
+from clicksieve.functions.columns import event_json, event_line, hour_bucket, role, utc_time
 from clicksieve.operators import counts, detectors
 from clicksieve.operators.boundaries import window_boundaries
-from clicksieve.plans import report
-from clicksieve.schema import CLICK, ORDERED_COLUMNS, PATTERN_1, PATTERN_2, PATTERN_3
-from clicksieve.session import settle
+from clicksieve.plans import job, report
+from clicksieve.schema import CLICK, DISPLAY, ORDERED_COLUMNS, PATTERN_1, PATTERN_2, PATTERN_3
+from clicksieve.session import new_run_folder
+from clicksieve.sources import messages
 from clicksieve.sources.messages import decode
 from clicksieve.sources.tables import click_events
-from clicksieve.sources.textlog import parse_lines
-from clicksieve.streaming.replay import replay, replay_as_coded
+from clicksieve.sources.textlog import parse_lines, read_bucket, read_log
+from clicksieve.streaming import sinks
+from clicksieve.streaming.replay import finish, in_pieces, replay
 
 # The text operators may be left out as a whole; anything else missing is an error.
 try:
@@ -40,6 +42,8 @@ except ModuleNotFoundError as missing:
 # the documented rules.
 WINDOW = 7 * 86400
 THRESHOLD = 12 * 3600
+# The window at which the two readings of pattern 3 differ.
+IP_WINDOW = 30 * 86400
 # A limit so low that keys of the test events are split.
 SPLIT_ROWS = 20
 
@@ -54,21 +58,107 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(messages).events
 
 
+def damaged_messages(events: DataFrame) -> DataFrame:
+    """Events as messages; those of errors are no JSON, have a wrong type, or lack a field, in turn."""
+    text = event_json()
+    damaged = (
+        F.when(F.col("seq") % 3 == 0, F.concat(F.lit("error: "), text))
+        .when(F.col("seq") % 3 == 1, F.regexp_replace(text, r'"timestamp":(\d+)', '"timestamp":"$1"'))
+        .otherwise(F.regexp_replace(text, r'"uid":"[^"]*",', ""))
+    )
+    return events.select("seq", F.when(F.col("event_type") == "error", damaged).otherwise(text).alias("value"))
+
+
 def json_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as messages, those of errors with text in front that is no JSON."""
-    message = F.when(F.col("event_type") == "error", F.concat(F.lit("error: "), event_json())).otherwise(event_json())
+    decoded = decode(damaged_messages(click_events(spark, sf_dir, keep_other_types=True)))
+    return decoded.parsed.agg(
+        F.count_if("good").alias("decoded"), F.count_if(~F.col("good")).alias("rejected")
+    )
+
+
+def kafka_records(events: DataFrame) -> DataFrame:
+    """Events laid out as the records of two topics of four partitions."""
+    return events.select(
+        F.when(F.col("event_type") == DISPLAY, "displays").otherwise("clicks").alias("topic"),
+        F.pmod(F.col("uid").cast("int"), F.lit(4)).alias("partition"),
+        F.col("seq").alias("offset"),
+        F.timestamp_seconds("timestamp").alias("timestamp"),
+        F.col("uid").cast("binary").alias("key"),
+        event_json().cast("binary").alias("value"),
+    )
+
+
+def kafka_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = messages.record_events(kafka_records(click_events(spark, sf_dir))).events
+    return events.withColumn("seq", F.col("seq").cast("string"))
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_run_folder(spark, "json")
+    click_events(spark, sf_dir).select(event_json()).write.text(folder)
+    return messages.named_topic(messages.json_line_events(spark, folder).events)
+
+
+def log_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first hour of the log, read back from its folder."""
+    folder = new_run_folder(spark, "log")
+    events = click_events(spark, sf_dir)
+    sinks.save_log(events, f"{folder}/all")
+    return read_bucket(spark, folder, "all", events.agg(F.min(hour_bucket())).first()[0]).events
+
+
+def log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events through the log sink of a stream, three micro-batches, read back."""
+    folder = new_run_folder(spark, "sink")
+    for stream in in_pieces(click_events(spark, sf_dir), f"{folder}/in"):
+        finish(sinks.write_log(stream, folder=f"{folder}/all", checkpoint=f"{folder}/checkpoint", trigger=None))
+    return read_log(spark, f"{folder}/all").events
+
+
+def raw_to_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of one topic through a stream into text files, read back."""
+    folder = new_run_folder(spark, "raw")
+    for stream in in_pieces(click_events(spark, sf_dir), f"{folder}/in"):
+        strings = messages.topic_strings(kafka_records(stream), "clicks")
+        finish(sinks.write_strings(strings, f"{folder}/clicks", f"{folder}/checkpoint"))
+    return spark.read.schema("value string").text(f"{folder}/clicks")
+
+
+def window_starts(counted: DataFrame) -> DataFrame:
+    return counted.withColumn("window_start", utc_time(F.unix_seconds("window_start")))
+
+
+def tumbling_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windowed counts of a stream in update mode, the last count of each window."""
+    folder = new_run_folder(spark, "tumbling")
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+
+    for stream in in_pieces(click_events(spark, sf_dir), f"{folder}/in"):
+        # Events of this table come in no order of time: none is late.
+        counted = counts.tumbling_counts(stream, delay="100000 days")
+        finish(counted.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", f"{folder}/checkpoint"))
+    rows = spark.read.parquet(f"{folder}/out").groupBy("window_start", "event_type")
+    return window_starts(rows.agg(F.max_by("n", "batch").alias("n")))
+
+
+def job_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals of the whole application, run over all messages in three micro-batches."""
+    folder = new_run_folder(spark, "job")
     events = click_events(spark, sf_dir, keep_other_types=True)
-    decoded = decode(events.select("seq", message.alias("value")))
-    return (
-        decoded.events.select(F.lit(1).alias("good"))
-        .unionByName(decoded.rejected.select(F.lit(0).alias("good")))
-        .agg(F.count_if(F.col("good") == 1).alias("decoded"), F.count_if(F.col("good") == 0).alias("rejected"))
+    for stream in in_pieces(events, f"{folder}/in"):
+        job.run_job(decode(damaged_messages(stream)), f"{folder}/out", trigger=None)
+    rejected = job.read_rejected(spark, f"{folder}/out").agg(F.count("*").alias("n"))
+    none = F.lit(None).cast("string")
+    return job.read_totals(spark, f"{folder}/out").unionByName(
+        rejected.select(none.alias("pattern"), F.lit("rejected").alias("event_type"), "n")
     )
 
 
 def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = click_events(spark, sf_dir).select("seq", event_line().alias("value"))
-    return parse_lines(lines, keep=("seq",))
+    return parse_lines(lines, keep=("seq",)).events
 
 
 def hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +168,7 @@ def hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pattern_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = report.detect(click_events(spark, sf_dir)).labelled()
     narrow = labelled.select("seq", "pattern", "event_type", F.coalesce("copy", F.lit(1)).alias("copy"))
-    return counts.running_pattern_counts(settle(narrow))
+    return counts.running_pattern_counts(narrow)
 
 
 def ctr_after_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +177,11 @@ def ctr_after_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
     return after.select("n_displays", "n_clicks", "n_invalid", "ctr")
 
 
+def report_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = click_events(spark, sf_dir)
+    return report.report_numbers(events, report.detect(events))
+
+
 def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = click_events(spark, sf_dir)
     return report.report_lines(events, report.detect(events))
@@ -97,19 +192,9 @@ def fraud_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select(*ORDERED_COLUMNS).distinct().select("seq", event_json().alias("value"))
 
 
-def in_utc(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """The query in a session set to UTC: the times of the tables have no zone."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return query(spark, sf_dir)
-
-    return run
-
-
-def on_stream(pattern: str, **settings) -> Callable[[SparkSession, str], DataFrame]:
+def on_stream(pattern: str, **rules) -> Callable[[SparkSession, str], DataFrame]:
     """A detector run as a streaming query over the events."""
-    return lambda spark, sf_dir: replay(spark, sf_dir, pattern, **settings)
+    return lambda spark, sf_dir: replay(spark, sf_dir, (pattern,), **rules).drop("pattern")
 
 
 def on_events(query: Callable[..., DataFrame], **settings) -> Callable[[SparkSession, str], DataFrame]:
@@ -120,6 +205,7 @@ def on_events(query: Callable[..., DataFrame], **settings) -> Callable[[SparkSes
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     p1, p2, p3 = detectors.clicks_without_display, detectors.quick_clicks, detectors.hyperactive_ips
     documented = {"semantics": "documented", "window_seconds": WINDOW}
+    by_address = {"semantics": "documented", "window_seconds": IP_WINDOW}
     by_name = {
         "project_event": on_events(lambda ev: ev.select(*ORDERED_COLUMNS)),
         "filter_clicks": on_events(lambda ev: ev.where(F.col("event_type") == CLICK).select(*ORDERED_COLUMNS)),
@@ -127,7 +213,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         .groupBy(role().alias("role"))
         .agg(F.count("*").alias("n")),
         "event_time": on_events(
-            lambda ev: ev.select("seq", event_time().cast("timestamp_ntz").alias("event_time"))
+            lambda ev: ev.select("seq", utc_time(F.col("timestamp")).alias("event_time"))
         ),
         "json_decode": json_decode,
         "json_malformed": json_malformed,
@@ -140,13 +226,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_as_coded": on_events(p3),
         "p1_documented": on_events(p1, **documented),
         "p2_documented": on_events(p2, threshold_seconds=THRESHOLD, **documented),
-        "p3_documented": on_events(p3, **documented),
-        "p3_separate_int": on_events(p3, semantics="separate_int", window_seconds=WINDOW),
+        "p3_documented": on_events(p3, **by_address),
+        "p3_separate_int": on_events(p3, semantics="separate_int", window_seconds=IP_WINDOW),
         "p1_as_coded_split": on_events(p1, group_rows=SPLIT_ROWS),
         "p2_as_coded_split": on_events(p2, group_rows=1),
         "p3_as_coded_split": on_events(p3, group_rows=SPLIT_ROWS),
         "p1_documented_split": on_events(p1, group_rows=SPLIT_ROWS, **documented),
-        "p3_documented_split": on_events(p3, group_rows=SPLIT_ROWS, **documented),
+        "p3_documented_split": on_events(p3, group_rows=SPLIT_ROWS, **by_address),
         "blacklist_uid": on_events(lambda ev: detectors.first_flagged(p1(ev), "uid")),
         "blacklist_ip": on_events(lambda ev: detectors.first_flagged(p3(ev), "ip")),
         "running_counts": on_events(counts.running_counts),
@@ -154,9 +240,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "type_totals": on_events(counts.type_totals),
         "pattern_totals": on_events(lambda ev: counts.pattern_totals(report.detect(ev).labelled())),
         "pattern_running": pattern_running,
-        "tumbling_counts": on_events(
-            lambda ev: counts.tumbling_counts(ev).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-        ),
+        "tumbling_counts": on_events(lambda ev: window_starts(counts.tumbling_counts(ev))),
+        "tumbling_counts_stream": tumbling_counts_stream,
         "fraud_union_all": on_events(lambda ev: report.detect(ev).union_all()),
         "fraud_distinct": on_events(lambda ev: report.detect(ev).distinct()),
         "ctr": on_events(report.ctr),
@@ -166,18 +251,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fraud_json": fraud_json,
         "p1_documented_stream": on_stream(PATTERN_1, **documented),
         "p2_documented_stream": on_stream(PATTERN_2, threshold_seconds=THRESHOLD, **documented),
-        "p3_documented_stream": on_stream(PATTERN_3, **documented),
-        "as_coded_stream": lambda spark, sf_dir: replay_as_coded(spark, sf_dir).select("pattern", *ORDERED_COLUMNS),
+        "p3_documented_stream": on_stream(PATTERN_3, **by_address),
+        "as_coded_stream": lambda spark, sf_dir: replay(spark, sf_dir).select("pattern", *ORDERED_COLUMNS),
+        "kafka_frame": kafka_frame,
+        "topic_strings": on_events(lambda ev: messages.topic_strings(kafka_records(ev), "clicks")),
+        "record_lines": on_events(lambda ev: messages.record_lines(kafka_records(ev))),
+        "json_lines": json_lines,
+        "log_hour": log_hour,
+        "log_sink": log_sink,
+        "raw_to_files": raw_to_files,
+        "job_totals": job_totals,
+        "report_numbers": report_numbers,
     }
     if llm:
         by_name |= llm.queries()
     if corpus_pipeline:
         by_name["pipeline"] = corpus_pipeline.run
-    return {name: in_utc(query) for name, query in by_name.items()}
+    return by_name
 
 
 def oracle_sql() -> dict[str, str]:
-    found = oracle.oracle_sql(WINDOW, THRESHOLD)
+    found = oracle.oracle_sql(WINDOW, THRESHOLD, IP_WINDOW)
     if llm:
         found |= llm.oracle_sql()
     if corpus_pipeline and corpus_pipeline.ORACLE_SQL:

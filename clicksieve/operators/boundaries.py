@@ -11,8 +11,7 @@ boundary is simply the first row at or after `begin + window_seconds`. That chai
 is followed in parallel over long stretches of time: each stretch first works out
 where a chain that enters it would leave it, for the few rows at which one can
 enter; a short pass over these picks the true entries; then each stretch lists
-its boundaries. If all rows together are no more than one stretch may have, one
-task follows the whole chain. No task ever sees more than one stretch of seconds.
+its boundaries. No task ever sees more than one stretch of seconds.
 """
 
 import sys
@@ -84,9 +83,7 @@ def window_boundaries(
     order = events.schema["seq"].dataType
     if begin is not None:
         events = events.where(F.col("timestamp") >= begin + window_seconds)
-    leading = settle(leading_in_stretch(first_per_second(events, stretch_seconds)))
-    one_task = leading.count() <= stretch_seconds
-    leading = leading_overall(leading)
+    leading = leading_overall(settle(leading_in_stretch(first_per_second(events, stretch_seconds))))
 
     def exits(rows: pd.DataFrame) -> pd.DataFrame:
         ts = np.sort(rows["timestamp"].to_numpy())
@@ -118,17 +115,15 @@ def window_boundaries(
         rows = rows.sort_values("timestamp", ignore_index=True)
         ts = rows["timestamp"].to_numpy()
         taken = []
-        i = 0 if one_task else int(np.searchsorted(ts, rows["entry"].iloc[0]))
+        i = int(np.searchsorted(ts, rows["entry"].iloc[0]))
         while i < len(ts):
             taken.append(i)
             i = int(np.searchsorted(ts, ts[i] + window_seconds))
-        if begin is None and (one_task or rows["opens"].iloc[0]):
+        if begin is None and rows["opens"].iloc[0]:
             taken = taken[1:]
         return rows.loc[taken, ["seq", "timestamp"]]
 
     result = T.StructType([T.StructField("seq", order), T.StructField("timestamp", T.LongType())])
-    if one_task:
-        return leading.groupBy().applyInPandas(walk, result)
     # At most window_seconds + 1 rows per stretch reach the one-group pass.
     chosen = (
         leading.select("stretch", "timestamp")

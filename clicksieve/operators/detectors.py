@@ -22,7 +22,7 @@ that are not displays count as clicks.
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicksieve.functions.columns import grid_window, is_display
@@ -53,6 +53,74 @@ def split_and_bound(
     return replace(split, df=mark_boundaries(split.df, lookup))
 
 
+def carried(df: DataFrame, name: str, step: Column) -> Column:
+    """The step of an event, or the number that a row of carried state brings along."""
+    return F.coalesce(F.col(name), step) if name in df.columns else step
+
+
+def known(df: DataFrame) -> Column:
+    """Whether a row is carried state that says its key is suspicious already."""
+    return F.coalesce("known", F.lit(False)) if "known" in df.columns else F.lit(False)
+
+
+def judge_pending(split: Split, semantics: str) -> DataFrame:
+    """Pattern 1: adds the `pending` displays of the user and `suspicious_from`."""
+    steps = {"pending": carried(split.df, "n1", F.when(is_display(), 1).otherwise(-1).cast("long"))}
+    if semantics == "as_coded":
+        df = running_sums(split, ["uid"], steps, reset=F.col("boundary"))
+    else:
+        df = running_sums(split, ["uid", "window"], steps, together="uid")
+    df = df.withColumn("hit", ~is_display() & (F.col("pending") < 0))
+    return first_time(split, df, "uid", F.col("hit") | known(df), "suspicious_from")
+
+
+def judge_quick(split: Split, semantics: str, threshold_seconds: int) -> DataFrame:
+    """Pattern 2: adds when the impression was last `shown`, and whether the event is `quick`."""
+    shown_at = F.when(is_display(), F.col("timestamp"))
+    if semantics == "as_coded":
+        scope, cleared = ["impression_id"], F.col("boundary")
+        quick = F.col("shown") - F.col("timestamp") < threshold_seconds
+    else:
+        scope, cleared = ["impression_id", "window"], F.lit(False)
+        delay = F.col("timestamp") - F.col("shown")
+        quick = (delay >= 0) & (delay < threshold_seconds)
+    return last_value(split, scope, shown_at, cleared, "shown").withColumn("quick", ~is_display() & quick)
+
+
+def judge_hyperactive(split: Split, semantics: str, min_clicks: int, min_ctr: float) -> DataFrame:
+    """Pattern 3: adds the counts of the address, whether they make a `hit`, and `suspicious_from`."""
+    if semantics == "as_coded":
+        df = running_sums(split, ["ip"], {"seen": carried(split.df, "n1", F.lit(1).cast("long"))}, reset=F.col("boundary"))
+        hit = ~is_display() & (F.col("seen") >= min_clicks) & F.lit(min_ctr <= 1)
+    else:
+        steps = {
+            "clicks": carried(split.df, "n1", (~is_display()).cast("long")),
+            "displays": carried(split.df, "n2", is_display().cast("long")),
+        }
+        df = running_sums(split, ["ip", "window"], steps, together="ip")
+        if semantics == "documented":
+            ratio = F.try_divide(F.col("clicks").cast("double"), F.col("displays").cast("double"))
+        else:
+            ratio = F.expr("if(displays = 0, null, clicks div displays)")
+        hit = ~is_display() & F.coalesce((F.col("clicks") >= min_clicks) & (ratio >= min_ctr), F.lit(False))
+    df = df.withColumn("hit", hit)
+    return first_time(split, df, "ip", F.col("hit") | known(df), "suspicious_from")
+
+
+def since_suspicious(df: DataFrame) -> DataFrame:
+    return df.where(~is_display() & (F.col("seq") >= F.col("suspicious_from")))
+
+
+def emissions(judged: DataFrame, semantics: str) -> DataFrame:
+    """The flagged clicks of pattern 3, with the number of the emission as `copy`."""
+    flagged = since_suspicious(judged)
+    if semantics != "as_coded":
+        return flagged.withColumn("copy", F.lit(1))
+    before = (F.col("seq") > F.col("suspicious_from")).cast("int")
+    # A known address below the count gives one row, so there is always at least one.
+    return flagged.withColumn("copy", F.explode(F.sequence(F.lit(1), before + F.col("hit").cast("int"))))
+
+
 def clicks_without_display(
     events: DataFrame,
     semantics: str = "as_coded",
@@ -63,14 +131,7 @@ def clicks_without_display(
 ) -> DataFrame:
     """Pattern 1: clicks of a user with no display left to click on, and all later ones."""
     split = split_and_bound(events, "uid", semantics, window_seconds, lookup, total_rows, group_rows)
-    step = F.when(is_display(), 1).otherwise(-1).cast("long")
-    if semantics == "as_coded":
-        df = running_sums(split, ["uid"], {"pending": step}, reset=F.col("boundary"))
-    else:
-        df = running_sums(split, ["uid", "window"], {"pending": step}, together="uid")
-    missing = ~is_display() & (F.col("pending") < 0)
-    df = first_time(split, df, "uid", missing, "suspicious_from")
-    return df.where(~is_display() & (F.col("seq") >= F.col("suspicious_from"))).select(*ORDERED_COLUMNS)
+    return since_suspicious(judge_pending(split, semantics)).select(*ORDERED_COLUMNS)
 
 
 def quick_clicks(
@@ -88,16 +149,7 @@ def quick_clicks(
     unless its display is at least `threshold_seconds` later.
     """
     split = split_and_bound(events, "impression_id", semantics, window_seconds, lookup, total_rows, group_rows)
-    shown_at = F.when(is_display(), F.col("timestamp"))
-    if semantics == "as_coded":
-        scope, cleared = ["impression_id"], F.col("boundary")
-        quick = F.col("shown") - F.col("timestamp") < threshold_seconds
-    else:
-        scope, cleared = ["impression_id", "window"], F.lit(False)
-        delay = F.col("timestamp") - F.col("shown")
-        quick = (delay >= 0) & (delay < threshold_seconds)
-    df = last_value(split, scope, shown_at, cleared, "shown")
-    return df.where(~is_display() & quick).select(*ORDERED_COLUMNS)
+    return judge_quick(split, semantics, threshold_seconds).where("quick").select(*ORDERED_COLUMNS)
 
 
 def hyperactive_ips(
@@ -119,27 +171,8 @@ def hyperactive_ips(
     """
     readings = ("as_coded", "documented", "separate_int")
     split = split_and_bound(events, "ip", semantics, window_seconds, lookup, total_rows, group_rows, readings)
-    if semantics == "as_coded":
-        df = running_sums(split, ["ip"], {"seen": F.lit(1).cast("long")}, reset=F.col("boundary"))
-        hyperactive = ~is_display() & (F.col("seen") >= min_clicks) & F.lit(min_ctr <= 1)
-    else:
-        steps = {"clicks": (~is_display()).cast("long"), "displays": is_display().cast("long")}
-        df = running_sums(split, ["ip", "window"], steps, together="ip")
-        if semantics == "documented":
-            ratio = F.try_divide(F.col("clicks").cast("double"), F.col("displays").cast("double"))
-        else:
-            ratio = F.expr("if(displays = 0, null, clicks div displays)")
-        enough = F.coalesce((F.col("clicks") >= min_clicks) & (ratio >= min_ctr), F.lit(False))
-        hyperactive = ~is_display() & enough
-    df = first_time(split, df.withColumn("hyperactive", hyperactive), "ip", F.col("hyperactive"), "suspicious_from")
-    columns = [*ORDERED_COLUMNS, "copy"] if keep_copy else ORDERED_COLUMNS
-    flagged = df.where(~is_display() & (F.col("seq") >= F.col("suspicious_from")))
-    if semantics == "as_coded":
-        known = (F.col("seq") > F.col("suspicious_from")).cast("int")
-        copies = F.sequence(F.lit(1), known + F.col("hyperactive").cast("int"))
-        # A known address below the count gives one row, so there is always at least one.
-        return flagged.withColumn("copy", F.explode(copies)).select(*columns)
-    return flagged.withColumn("copy", F.lit(1)).select(*columns)
+    judged = judge_hyperactive(split, semantics, min_clicks, min_ctr)
+    return emissions(judged, semantics).select(*ORDERED_COLUMNS, *(["copy"] if keep_copy else []))
 
 
 def first_flagged(flagged: DataFrame, key: str) -> DataFrame:

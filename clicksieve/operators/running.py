@@ -126,7 +126,8 @@ def first_time(split: Split, df: DataFrame, key: str, condition: Column, name: s
     if not split.any:
         return df.withColumn(name, F.min(found).over(group))
     # One row per split key, and `split_hot_keys` bounds these.
-    hot = split.hot(df).where(condition).groupBy(key).agg(F.min("seq").alias("_first"))
+    # The condition stands inside the aggregate: so the exchange of `df` is used again.
+    hot = df.groupBy(key).agg(F.min(F.when(F.col("range") != WHOLE, found)).alias("_first")).where("_first is not null")
     return (
         df.withColumn(name, F.min(found).over(group))
         .join(F.broadcast(hot), key, "left")

@@ -16,9 +16,9 @@ from clicksieve.session import settle
 
 # A key with no more rows than this stays whole.
 GROUP_ROWS = 500_000
-# At most this many keys are above the limit, whatever the data size.
+# At most this many keys are above the limit, and at most this many ranges are
+# cut, whatever the data size: beyond 5 * 10^10 rows the limit grows.
 HOT_KEYS = 100_000
-MAX_RANGES = 8192
 # Rows sampled of a key at the limit, and of a range to be cut off.
 SAMPLED_KEY_ROWS = 2000
 SAMPLED_RANGE_ROWS = 100
@@ -70,7 +70,7 @@ def split_hot_keys(
     hot = settle(frequent_keys(source, keys, limit))
     if hot.isEmpty():
         return Split(df)
-    cuts = cut_points(source, min(MAX_RANGES, -(-total_rows // limit)), total_rows)
+    cuts = cut_points(source, -(-total_rows // limit), total_rows)
     # At most 2 * HOT_KEYS rows, see `frequent_keys`.
     marked = df.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), keys, "left")
     number = F.when(F.col("is_hot"), range_number(cuts, df.schema["seq"].dataType.simpleString()))

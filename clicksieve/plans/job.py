@@ -1,64 +1,92 @@
-"""The whole application: events in, four logs and running totals out, and a report on an hour of them."""
+"""The whole application: messages in, four logs and running totals out, and a report on an hour of them.
+
+One query reads the source. Each micro-batch is written out once, and the log
+of all events, the rejected messages, the detectors' logs and the totals are all
+made from that, so they cover the same events however often it is restarted.
+"""
+
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clicksieve.operators.counts import label_patterns, pattern_totals, type_totals
+from clicksieve.operators.counts import pattern_totals, type_totals
 from clicksieve.plans.report import Detection, report_lines
-from clicksieve.schema import PATTERN_1, PATTERN_2, PATTERN_3, WINDOW_SECONDS
-from clicksieve.sources.textlog import OUTPUTS, parse_lines, read_bucket
-from clicksieve.streaming.detectors import detect_as_coded, detect_stream
-from clicksieve.streaming.sinks import ROLL_INTERVAL, print_counts, triggered, write_log
+from clicksieve.session import path_exists, remove_path
+from clicksieve.sources.messages import Decoded
+from clicksieve.sources.textlog import OUTPUTS, read_bucket
+from clicksieve.streaming.detectors import PATTERNS, Rules, detect_stream
+from clicksieve.streaming.sinks import ROLL_INTERVAL, save_log, triggered
 
-PATTERNS = (PATTERN_1, PATTERN_2, PATTERN_3)
+TOTALS = "pattern string, event_type string, n long"
 
 
 def run_job(
-    events: DataFrame,
+    source: DataFrame | Decoded,
     folder: str,
-    semantics: str = "as_coded",
-    window_seconds: int = WINDOW_SECONDS,
+    rules: Rules | None = None,
     trigger: str | None = ROLL_INTERVAL,
-) -> list[StreamingQuery]:
-    """Start the queries on a stream of events and return them.
+) -> StreamingQuery:
+    """Start the query on a stream of events, or of decoded messages, and return it.
 
-    With `trigger=None` they run over what is available and have ended on return.
+    With `trigger=None` it runs over what is available and has ended on return.
+    Every micro-batch takes part in all outputs, so `trigger` is both how often
+    detectors run and how often files are closed.
     """
-    work = f"{folder}/work"
+    decoded = isinstance(source, Decoded)
+    rows = source.parsed if decoded else source
     outputs = {pattern: f"{folder}/{OUTPUTS[pattern]}" for pattern in PATTERNS}
-    writers = [
-        write_log(events, f"{folder}/{OUTPUTS['all']}", f"{work}/checkpoints/all", trigger),
-        print_counts(type_totals(events), f"{work}/checkpoints/totals", trigger),
-    ]
-    if semantics == "as_coded":
-        writers.append(triggered(detect_as_coded(events, work, outputs, window_seconds, write_log), trigger))
-    else:
-        for pattern, output in outputs.items():
-            flagged = detect_stream(events, pattern, semantics, window_seconds)
-            writers.append(write_log(flagged, output, f"{work}/checkpoints/{pattern.replace(' ', '_')}", trigger))
-    queries = [writer.start() for writer in writers]
-    if trigger is None:
-        for query in queries:
-            query.awaitTermination()
-    flagged = flagged_streams(events.sparkSession, outputs)
-    queries.append(print_counts(pattern_totals(flagged), f"{work}/checkpoints/flagged", trigger).start())
+
+    def also(staged: DataFrame, batch_id: int) -> None:
+        events = staged
+        if decoded:
+            rejected = staged.where("not good").select("seq", "value")
+            rejected.write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch_id}")
+            events = staged.where("good")
+        save_log(events, f"{folder}/{OUTPUTS['all']}", batch_id)
+
+    def totals(staged: DataFrame, flagged: dict[str, DataFrame], batch_id: int) -> None:
+        add_totals(staged, flagged, f"{folder}/totals", batch_id)
+
+    writer = detect_stream(rows, f"{folder}/work", outputs, rules, save_log, also, totals, "good" if decoded else None)
+    query = triggered(writer, trigger).start()
     if trigger is None:
-        queries[-1].awaitTermination()
-    return queries
+        query.awaitTermination()
+    return query
+
+
+def add_totals(events: DataFrame, flagged: dict[str, DataFrame], folder: str, batch_id: int) -> None:
+    """Write the totals up to and including a micro-batch; those before the last but one go."""
+    spark = events.sparkSession
+    none = F.lit(None).cast("string")
+    labelled = [f.withColumn("pattern", F.lit(p)) for p, f in flagged.items()]
+    now = type_totals(events).select(none.alias("pattern"), "event_type", "n")
+    for one in labelled:
+        now = now.unionByName(pattern_totals(one).select("pattern", "event_type", "n"))
+    if batch_id > 0:
+        now = now.unionByName(spark.read.schema(TOTALS).parquet(f"{folder}/batch={batch_id - 1}"))
+    whole = now.groupBy("pattern", "event_type").agg(F.sum("n").alias("n"))
+    whole.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+    remove_path(spark, f"{folder}/batch={batch_id - 2}")
+
+
+def read_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The totals after the last micro-batch: events per type, and flagged clicks per pattern and type."""
+    root = f"{folder}/totals"
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], TOTALS)
+    rows = spark.read.schema(f"{TOTALS}, batch long").parquet(root)
+    return rows.where(F.col("batch") == rows.agg(F.max("batch")).first()[0]).select("pattern", "event_type", "n")
 
 
-def flagged_streams(spark: SparkSession, outputs: dict[str, str]) -> DataFrame:
-    """The logs of the detectors as one labelled stream."""
-    streams = []
-    for folder in outputs.values():
-        # The folder has to be there before its first line is.
-        spark.createDataFrame([], "value string").write.mode("append").text(folder)
-        streams.append(parse_lines(spark.readStream.schema("value string, bucket string").format("text").load(folder)))
-    return label_patterns(*streams)
+def read_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages that are no events, as they came."""
+    return spark.read.parquet(f"{folder}/rejected").select("seq", "value")
 
 
 def hour_report(spark: SparkSession, folder: str, bucket: str) -> DataFrame:
     """The report on one hour of the outputs, e.g. bucket 2021-07-08--16."""
-    events = read_bucket(spark, folder, "all", bucket)
-    flagged = [read_bucket(spark, folder, pattern, bucket) for pattern in PATTERNS]
+    events = read_bucket(spark, folder, "all", bucket).events
+    flagged = [read_bucket(spark, folder, pattern, bucket).events for pattern in PATTERNS]
     return report_lines(events, Detection(events, *flagged))

@@ -93,16 +93,22 @@ def ctr_after_fraud(events: DataFrame, flagged: DataFrame) -> DataFrame:
     )
 
 
+def report_numbers(events: DataFrame, detection: Detection) -> DataFrame:
+    """The numbers of the report in one row."""
+    numbers = ctr_after_fraud(events, flagged_counts(detection))
+    return numbers.withColumnRenamed("ctr", "ctr_after").withColumn("ctr_before", ratio(F.col("n_clicks")))
+
+
 def report_lines(events: DataFrame, detection: Detection) -> DataFrame:
     """The report as numbered sentences."""
-    numbers = ctr_after_fraud(events, flagged_counts(detection))
+    numbers = report_numbers(events, detection)
     # The sentences of the report.
     sentences = [
-        F.format_string("The click-through-rate equals %s.", percent(ratio(F.col("n_clicks")))),
+        F.format_string("The click-through-rate equals %s.", percent(F.col("ctr_before"))),
         F.format_string(
             "%d clicks have been detected as fraudulent out of %d clicks.", F.col("n_invalid"), F.col("n_clicks")
         ),
-        F.format_string("The click-through-rate equals %s.", percent(F.col("ctr"))),
+        F.format_string("The click-through-rate equals %s.", percent(F.col("ctr_after"))),
         F.format_string(
             "The pattern that detects clicks without corresponding displays flagged %d clicks.", F.col("n_1")
         ),

@@ -1,14 +1,14 @@
 """Session settings, and the shared folder that intermediate tables go to."""
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows a broadcast side may have. The rows concerned are a few longs and one
-# key wide, so this is some tens of MB per executor.
-BROADCAST_ROWS = 1_000_000
+# Bytes a broadcast side may have.
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(
@@ -35,13 +35,16 @@ def shared_folder(spark: SparkSession) -> str:
     and executors are one process; a cluster has to name its folder.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    one_process = context.master.startswith("local") and not context.master.startswith("local-cluster")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        folder = context.getCheckpointDir()
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-            folder = tempfile.mkdtemp(prefix="clicksieve-")
+        if not one_process:
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        folder = tempfile.mkdtemp(prefix="clicksieve-")
+    if not one_process and "://" not in folder and not re.match(r"\w+:/", folder):
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+        if default.startswith("file:"):
+            raise RuntimeError(f"spark.checkpoint.dir is {folder}, which is local to each machine; name its file system")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -52,17 +55,42 @@ def new_run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named, named.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    named, files = _file_system(spark, path)
+    return files.exists(named)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all that is in it, if it is there."""
+    named, files = _file_system(spark, path)
+    files.delete(named, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute `df` once into the shared folder and read it from there afterwards."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a settled join side for broadcast if it has at most `limit` rows.
+def measured_bytes(df: DataFrame) -> int:
+    """The bytes of all rows: those of texts, and 16 for every other value."""
+    wide = [
+        F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 if f.dataType.typeName() in ("string", "binary") else F.lit(16)
+        for f in df.schema
+    ]
+    return df.agg(F.coalesce(F.sum(sum(wide[1:], wide[0])), F.lit(0))).first()[0]
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a settled join side for broadcast if it has at most `limit` bytes.
 
     A larger one is returned as it is and joins by shuffle.
     """
-    if df.limit(limit + 1).count() <= limit:
+    if measured_bytes(df) <= limit:
         return F.broadcast(df)
     return df

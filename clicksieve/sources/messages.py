@@ -1,12 +1,14 @@
 """JSON messages: decoding, Kafka topics and JSON-line files."""
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicksieve.schema import JSON_FIELDS, JSON_SCHEMA
+from clicksieve.functions.columns import has_time
+from clicksieve.schema import EVENT_COLUMNS, JSON_FIELDS, JSON_SCHEMA
 
 # Topic names.
 TOPICS = ("clicks", "displays")
@@ -15,16 +17,27 @@ FRAUD_TOPIC = "fraud_clicks"
 
 @dataclass
 class Decoded:
-    events: DataFrame
-    rejected: DataFrame
+    """Parsed rows: the five fields, what was kept, the text as `value`, and whether it is `good`."""
+
+    parsed: DataFrame
+    keep: tuple[str, ...]
+
+    @property
+    def events(self) -> DataFrame:
+        return self.parsed.where("good").select(*self.keep, *EVENT_COLUMNS)
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self.parsed.where("not good").select(*self.keep, "value")
 
 
 def decode(messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ("seq",)) -> Decoded:
-    """Split messages into events and rejected rows.
+    """Parse messages once; events and rejected rows are told apart by a flag.
 
-    Rejected is what does not parse, has a value of the wrong type, or lacks
-    one of the five fields. Works alike on batch and streaming frames; both
-    results keep the columns named in `keep`.
+    Rejected is what does not parse, has a value of the wrong type, lacks one of
+    the five fields, or has seconds that are no time between the years 1 and
+    9999. Works alike on batch and streaming frames; results keep the columns
+    named in `keep`.
     """
     schema = T.StructType([*JSON_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
     text = F.col(value).cast("string")
@@ -33,27 +46,31 @@ def decode(messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ("
     parsed = messages.select(*keep, text.alias("_text")).select(
         *keep, "_text", F.inline(F.array(F.from_json("_text", schema, options)))
     )
-    complete = F.col("_corrupt").isNull()
+    good = F.col("_corrupt").isNull() & F.coalesce(has_time(), F.lit(False))
     for name in JSON_FIELDS:
-        complete = complete & F.col(name).isNotNull()
-    return Decoded(
-        events=parsed.where(complete).select(
-            *keep, *[F.col(name).alias(column) for name, column in JSON_FIELDS.items()]
-        ),
-        rejected=parsed.where(~complete).select(*keep, F.col("_text").alias("value")),
-    )
+        good = good & F.col(name).isNotNull()
+    fields = [F.col(name).alias(column) for name, column in JSON_FIELDS.items()]
+    return Decoded(parsed.select(*keep, *fields, F.col("_text").alias("value"), good.alias("good")), keep)
 
 
-def arrival_order() -> Column:
-    """One sortable number from a Kafka record's timestamp, partition and offset.
+def arrival_order(topics: tuple[str, ...] = TOPICS) -> Column:
+    """One sortable number from a Kafka record's timestamp, topic, partition and offset.
 
-    Thirteen digits of milliseconds, five of partition, nineteen of offset.
+    Fourteen digits of milliseconds, one for the topic (its place in `topics`,
+    of which there are nine at most), five of partition, eighteen of offset.
+    Records of other topics have no number.
     """
-    return F.expr(
-        """cast(unix_millis(timestamp) as decimal(38,0)) * cast('1000000000000000000000000' as decimal(25,0))
-           + cast(partition as decimal(38,0)) * cast('10000000000000000000' as decimal(20,0))
-           + cast(offset as decimal(38,0))"""
-    ).cast("decimal(38,0)")
+    if len(topics) > 9:
+        raise ValueError("no more than nine topics")
+    place = F.array_position(F.array(*[F.lit(t) for t in topics]), F.col("topic"))
+    topic = F.when(place > 0, place).cast("decimal(38,0)")
+
+    def times(number: Column, digits: int) -> Column:
+        return number * F.lit(Decimal(10**digits)).cast(f"decimal({digits + 1},0)")
+
+    millis = F.unix_millis(F.col("timestamp").cast("timestamp")).cast("decimal(14,0)")
+    seq = times(millis, 24) + times(topic.cast("decimal(1,0)"), 23) + times(F.col("partition").cast("decimal(5,0)"), 18)
+    return (seq + F.col("offset").cast("decimal(18,0)")).cast("decimal(38,0)")
 
 
 def kafka_records(
@@ -76,9 +93,9 @@ def kafka_records(
     )
 
 
-def record_events(records: DataFrame) -> Decoded:
+def record_events(records: DataFrame, topics: tuple[str, ...] = TOPICS) -> Decoded:
     """Events of Kafka records, in arrival order."""
-    return decode(records.select(arrival_order().alias("seq"), "value"))
+    return decode(records.select(arrival_order(topics).alias("seq"), "value"))
 
 
 def topic_strings(records: DataFrame, topic: str) -> DataFrame:
@@ -89,6 +106,7 @@ def topic_strings(records: DataFrame, topic: str) -> DataFrame:
 def record_lines(records: DataFrame) -> DataFrame:
     """One line per record that shows offset, key and value."""
     return records.select(
+        # Fixed value: the format of a record's line.
         F.format_string(
             "offset = %d, key = %s, value = %s",
             F.col("offset"),
@@ -98,9 +116,11 @@ def record_lines(records: DataFrame) -> DataFrame:
     )
 
 
-def json_line_events(spark: SparkSession, path: str) -> DataFrame:
-    """Events from JSON-line files; the event type is named `topic` here."""
-    renamed = {**JSON_FIELDS, "eventType": "topic"}
-    return spark.read.schema(JSON_SCHEMA).json(path).select(
-        *[F.col(name).alias(column) for name, column in renamed.items()]
-    )
+def json_line_events(spark: SparkSession, path: str) -> Decoded:
+    """Events from JSON-line files, and the lines that are none."""
+    return decode(spark.read.text(path), keep=())
+
+
+def named_topic(events: DataFrame) -> DataFrame:
+    """Events as the reader of JSON lines shows them: the event type is named `topic`."""
+    return events.withColumnRenamed("event_type", "topic")

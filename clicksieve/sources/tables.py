@@ -29,25 +29,17 @@ def map_events(raw: DataFrame, keep_other_types: bool = False) -> DataFrame:
         .otherwise(F.col("event_type"))
         .alias("event_type"),
         F.col("user_id").cast("string").alias("uid"),
-        F.expr("unix_seconds(cast(ts as timestamp))").alias("timestamp"),
+        # Times of the table have no zone; they are taken as UTC whatever the session's zone.
+        F.expr(
+            "datediff(cast(ts as date), date'1970-01-01') * 86400L + hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
+        ).alias("timestamp"),
         F.concat(F.lit("10.0.0."), F.get_json_object("props", "$.k")).alias("ip"),
-        F.concat(F.col("user_id"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("impression_id"),
+        F.concat(F.col("user_id"), F.expr("'-' || replace(cast(cast(ts as date) as string), '-', '')")).alias(
+            "impression_id"
+        ),
     )
 
 
 def click_events(spark: SparkSession, sf_dir: str, keep_other_types: bool = False) -> DataFrame:
     raw = spark.read.schema(RAW_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     return map_events(raw, keep_other_types)
-
-
-def click_events_stream(
-    spark: SparkSession, folder: str, bytes_per_batch: int = 1 << 30, glob: str = "events.parquet"
-) -> DataFrame:
-    """The same events as a file stream."""
-    raw = (
-        spark.readStream.schema(RAW_SCHEMA)
-        .option("pathGlobFilter", glob)
-        .option("maxBytesPerTrigger", bytes_per_batch)
-        .parquet(folder)
-    )
-    return map_events(raw)

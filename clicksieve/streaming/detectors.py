@@ -1,33 +1,35 @@
-"""The detectors on streams, with the state of each key in Spark's state store.
-
-`documented` runs directly on an event stream (`detect_stream`). `as_coded` needs
-to know the boundaries of the window all keys share, so each micro-batch is first
-written out marked with its boundaries, and the detectors read the staged table
-(`detect_as_coded`).
-
-Within a micro-batch the events of a key are taken in order of `seq`; a later
-micro-batch counts as later arrival. One key's events of one micro-batch are
-handled together, so the source should bound the size of a micro-batch
-(`maxFilesPerTrigger`, `maxOffsetsPerTrigger`). For history use the batch
-detectors, which split large keys.
+"""The detectors on streams, with state carried from micro-batch to micro-batch in tables.
+
+Every micro-batch is written out once and then judged by the code of the batch
+detectors: what a key brings along (running numbers of its windows, and whether
+it is suspicious for good) goes in front of its events as a row of its own. What
+the micro-batch has changed is appended to a state table; readers take the
+latest version of each key. When the appended versions outgrow the last
+snapshot, a new snapshot is written, so the effort is in proportion to the keys
+touched, and what is no longer needed is removed.
+
+Within a micro-batch events are taken in order of `seq`; a later micro-batch
+counts as later arrival. Large keys of a micro-batch are split as in batch runs.
+
+A micro-batch is complete once its mark is written. One that failed is repeated
+from the start: everything it writes replaces what the failed attempt left. A
+micro-batch whose predecessor has no mark raises, as its state is unknown.
 """
 
-import sys
-from collections.abc import Callable, Iterator
-from contextlib import ExitStack
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import types as T
 from pyspark.sql.streaming.readwriter import DataStreamWriter
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from clicksieve.functions.columns import event_time, grid_window
+from clicksieve.functions.columns import grid_window
 from clicksieve.operators.boundaries import boundary_lookup, mark_boundaries
+from clicksieve.operators.detectors import emissions, judge_hyperactive, judge_pending, judge_quick, since_suspicious
+from clicksieve.operators.skew import Split, split_hot_keys
 from clicksieve.schema import (
     DISPLAY,
     MIN_CLICKS,
@@ -39,277 +41,286 @@ from clicksieve.schema import (
     QUICK_SECONDS,
     WINDOW_SECONDS,
 )
-from clicksieve.streaming.sinks import write_table
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class KeyedDetector(StatefulProcessor):
-    """State of one key: some numbers per window, and whether the key is suspicious for good.
-
-    Under `as_coded` there is one window, number 0, whose numbers are dropped
-    at a boundary event of the key.
-    """
-
-    # Names of the numbers kept per window.
-    numbers: tuple[str, ...] = ()
-
-    def __init__(self, semantics: str, window_seconds: int, forgets: bool, **settings):
-        self.semantics = semantics
-        self.window_seconds = window_seconds
-        self.forgets = forgets
-        self.settings = settings
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        value = StructType([StructField(name, LongType()) for name in self.numbers])
-        self.windows = handle.getMapState("windows", StructType([StructField("window", LongType())]), value)
-        self.suspicious = handle.getValueState("suspicious", StructType([StructField("since", LongType())]))
-
-    def close(self) -> None:
-        pass
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        df = pd.concat(rows)
-        df = df.sort_values([c for c in ("batch", "seq") if c in df.columns], ignore_index=True)
-        display = (df["event_type"] == DISPLAY).to_numpy()
-        # Consecutive parts that share state: windows, or what lies between boundaries.
-        part = (df["boundary"].cumsum() if self.semantics == "as_coded" else df["window"]).to_numpy()
-        before = {p: self.load(p) for p in np.unique(part)}
-        copies, after = self.judge(df["timestamp"].to_numpy(), display, part, before)
-        self.save(after)
-        if self.forgets:
-            self.forget(timerValues)
-        yield df.loc[np.repeat(df.index.to_numpy(), copies), ORDERED_COLUMNS]
-
-    def load(self, part: int) -> tuple | None:
-        """The numbers a part starts from; what follows a boundary starts anew."""
-        if self.semantics == "as_coded" and part > 0:
-            return None
-        key = (int(part),)
-        return self.windows.getValue(key) if self.windows.containsKey(key) else None
-
-    def save(self, after: dict[int, tuple | None]) -> None:
-        if self.semantics == "as_coded":
-            after = {0: after[max(after)]}
-        for part, numbers in after.items():
-            if numbers is not None:
-                self.windows.updateValue((int(part),), tuple(int(n) for n in numbers))
-            elif self.windows.containsKey((int(part),)):
-                self.windows.removeKey((int(part),))
-
-    def forget(self, timerValues) -> None:
-        """Drop the windows no event can reach any more."""
-        watermark = timerValues.getCurrentWatermarkInMs()
-        if watermark > 0:
-            over = [w for (w,) in self.windows.keys() if (w + 1) * self.window_seconds * 1000 <= watermark]
-            for window in over:
-                self.windows.removeKey((window,))
-
-    def stays_suspicious(self, hit: np.ndarray) -> np.ndarray:
-        """Whether the key was suspicious before each event; `hit` makes it so from then on."""
-        known = self.suspicious.exists()
-        if hit.any() and not known:
-            self.suspicious.update((1,))
-        seen = np.logical_or.accumulate(hit)
-        return np.append(known, seen[:-1] | known)
-
-    def judge(self, ts, display, part, before) -> tuple[np.ndarray, dict]:
-        """How often each event is emitted, and the numbers after each part."""
-        raise NotImplementedError
-
-
-def by_part(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A stable order by part, and where each part begins and ends in it."""
-    order = np.argsort(part, kind="stable")
-    starts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1]))
-    return order, starts, np.append(starts[1:], len(part))
-
-
-def running_sum(step: np.ndarray, part: np.ndarray, before: dict, at: int) -> tuple[np.ndarray, dict]:
-    """Running sums within each part on top of number `at` of `before`, and the final ones."""
-    order, starts, ends = by_part(part)
-    total = np.cumsum(step[order])
-    out = np.empty(len(step), dtype=np.int64)
-    final = {}
-    for start, end in zip(starts, ends):
-        label = part[order[start]]
-        base = before[label][at] if before[label] is not None else 0
-        own = total[start:end] - (total[start - 1] if start else 0) + base
-        out[order[start:end]] = own
-        final[label] = own[-1]
-    return out, final
-
-
-class PendingDisplays(KeyedDetector):
-    """Pattern 1, keyed by user."""
-
-    numbers = ("pending",)
-
-    def judge(self, ts, display, part, before):
-        pending, final = running_sum(np.where(display, 1, -1), part, before, 0)
-        hit = ~display & (pending < 0)
-        flagged = ~display & (hit | self.stays_suspicious(hit))
-        return flagged.astype(int), {p: (n,) for p, n in final.items()}
-
-
-class LastDisplay(KeyedDetector):
-    """Pattern 2, keyed by impression."""
-
-    numbers = ("shown",)
-
-    def judge(self, ts, display, part, before):
-        threshold = self.settings["threshold_seconds"]
-        copies = np.zeros(len(ts), dtype=int)
-        final = {}
-        order, starts, ends = by_part(part)
-        for start, end in zip(starts, ends):
-            rows = order[start:end]
-            label = part[rows[0]]
-            shown = pd.Series(np.where(display[rows], ts[rows], np.nan)).ffill()
-            if before[label] is not None:
-                shown = shown.fillna(before[label][0])
-            shown = shown.to_numpy()
-            if self.semantics == "as_coded":
-                quick = shown - ts[rows] < threshold
-            else:
-                quick = (ts[rows] - shown >= 0) & (ts[rows] - shown < threshold)
-            copies[rows] = ~display[rows] & quick
-            final[label] = None if np.isnan(shown[-1]) else (shown[-1],)
-        return copies, final
-
-
-class ClickCounts(KeyedDetector):
-    """Pattern 3, keyed by address."""
-
-    numbers = ("clicks", "displays")
-
-    def judge(self, ts, display, part, before):
-        clicks, final_clicks = running_sum((~display).astype(int), part, before, 0)
-        displays, final_displays = running_sum(display.astype(int), part, before, 1)
-        if self.semantics == "as_coded":
-            hit = ~display & (clicks + displays >= self.settings["min_clicks"]) & (self.settings["min_ctr"] <= 1)
-        else:
-            shown = np.maximum(displays, 1)
-            ratio = clicks / shown if self.semantics == "documented" else clicks // shown
-            enough = (clicks >= self.settings["min_clicks"]) & (displays > 0)
-            hit = ~display & enough & (ratio >= self.settings["min_ctr"])
-        before_hit = self.stays_suspicious(hit)
-        if self.semantics == "as_coded":
-            copies = np.where(display, 0, hit.astype(int) + before_hit)
+from clicksieve.session import path_exists, remove_path
+from clicksieve.streaming.sinks import save_table
+
+PATTERNS = {PATTERN_1: "uid", PATTERN_2: "impression_id", PATTERN_3: "ip"}
+READINGS = {PATTERN_1: ("as_coded", "documented"), PATTERN_2: ("as_coded", "documented"), PATTERN_3: ("as_coded", "documented", "separate_int")}
+
+# The window of the row that says its key is suspicious for good.
+KNOWN = -(1 << 62)
+# A snapshot is due after this many versions, or once they hold more rows than
+# the last snapshot and this many.
+VERSIONS = 32
+VERSION_ROWS = 1_000_000
+
+STATE = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("window", T.LongType()),
+        T.StructField("n1", T.LongType()),
+        T.StructField("n2", T.LongType()),
+        T.StructField("known", T.BooleanType()),
+    ]
+)
+VERSIONED = T.StructType([*STATE.fields, T.StructField("batch", T.IntegerType())])
+MARK = "begin long, watermark long, bases map<string, long>, base_rows map<string, long>, version_rows map<string, long>"
+
+Save = Callable[[DataFrame, str, int], None]
+
+
+@dataclass
+class Rules:
+    """How the detectors judge."""
+
+    semantics: str = "as_coded"
+    window_seconds: int = WINDOW_SECONDS
+    threshold_seconds: int = QUICK_SECONDS
+    min_clicks: int = MIN_CLICKS
+    min_ctr: float = MIN_CTR
+    # Seconds after which the windows of `documented` are forgotten; events of
+    # forgotten windows are not judged. None: never.
+    delay_seconds: int | None = None
+    group_rows: int | None = None
+
+    def judge(self, pattern: str, split: Split) -> DataFrame:
+        if self.semantics not in READINGS[pattern]:
+            raise ValueError(f"semantics must be one of {READINGS[pattern]}, not {self.semantics!r}")
+        if pattern == PATTERN_1:
+            return judge_pending(split, self.semantics)
+        if pattern == PATTERN_2:
+            return judge_quick(split, self.semantics, self.threshold_seconds)
+        return judge_hyperactive(split, self.semantics, self.min_clicks, self.min_ctr)
+
+    def flagged(self, pattern: str, judged: DataFrame) -> DataFrame:
+        if pattern == PATTERN_1:
+            judged = since_suspicious(judged)
+        elif pattern == PATTERN_2:
+            judged = judged.where("quick")
         else:
-            copies = (~display & (hit | before_hit)).astype(int)
-        return copies, {p: (final_clicks[p], final_displays[p]) for p in final_clicks}
-
-
-DETECTORS = {
-    PATTERN_1: (PendingDisplays, "uid"),
-    PATTERN_2: (LastDisplay, "impression_id"),
-    PATTERN_3: (ClickCounts, "ip"),
-}
-
-
-def detect_stream(
-    events: DataFrame,
-    pattern: str,
-    semantics: str = "documented",
-    window_seconds: int = WINDOW_SECONDS,
-    threshold_seconds: int = QUICK_SECONDS,
-    min_clicks: int = MIN_CLICKS,
-    min_ctr: float = MIN_CTR,
-    delay: str | None = None,
+            judged = emissions(judged, self.semantics)
+        return judged.select(*ORDERED_COLUMNS)
+
+    def numbers(self, pattern: str) -> tuple[Column, Column]:
+        """What a window has come to after an event."""
+        none = F.lit(0).cast("long")
+        if pattern == PATTERN_1:
+            return F.col("pending"), none
+        if pattern == PATTERN_2:
+            return F.col("shown"), none
+        return (F.col("seen"), none) if self.semantics == "as_coded" else (F.col("clicks"), F.col("displays"))
+
+
+@dataclass
+class Mark:
+    """What a complete micro-batch hands on."""
+
+    # When the last window opened; 0 before the first one did.
+    begin: int = 0
+    watermark: int = 0
+    # For each pattern: the micro-batch of the last snapshot, its rows, and the rows of versions since.
+    bases: dict[str, int] = field(default_factory=dict)
+    base_rows: dict[str, int] = field(default_factory=dict)
+    version_rows: dict[str, int] = field(default_factory=dict)
+
+
+class Carried:
+    """The tables a stream keeps between micro-batches, below one folder."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def mark_path(self, batch_id: int) -> str:
+        return f"{self.folder}/marks/batch={batch_id}"
+
+    def staged_path(self, batch_id: int) -> str:
+        return f"{self.folder}/staged/batch={batch_id}"
+
+    def state_path(self, pattern: str, batch_id: int) -> str:
+        return f"{self.folder}/state/{pattern.replace(' ', '_')}/batch={batch_id}"
+
+    def complete(self, batch_id: int) -> bool:
+        return path_exists(self.spark, f"{self.mark_path(batch_id)}/_SUCCESS")
+
+    def mark(self, batch_id: int) -> Mark:
+        if batch_id < 0:
+            return Mark()
+        if not self.complete(batch_id):
+            raise RuntimeError(f"micro-batch {batch_id} has not been completed in {self.folder}")
+        row = self.spark.read.schema(MARK).parquet(self.mark_path(batch_id)).first()
+        return Mark(**row.asDict())
+
+    def write_mark(self, batch_id: int, mark: Mark) -> None:
+        row = (mark.begin, mark.watermark, mark.bases, mark.base_rows, mark.version_rows)
+        self.spark.createDataFrame([row], MARK).coalesce(1).write.mode("overwrite").parquet(self.mark_path(batch_id))
+
+    def state(self, pattern: str, base: int, batch_id: int) -> DataFrame:
+        """All versions from the snapshot of micro-batch `base` to before `batch_id`."""
+        paths = [self.state_path(pattern, b) for b in range(base, batch_id)]
+        if not paths:
+            return self.spark.createDataFrame([], VERSIONED)
+        root = paths[0].rsplit("/", 1)[0]
+        return self.spark.read.schema(VERSIONED).option("basePath", root).parquet(*paths)
+
+
+def latest(state: DataFrame) -> DataFrame:
+    """The last version of every key and window."""
+    row = F.max_by(F.struct("n1", "n2", "known"), "batch").alias("row")
+    return state.groupBy("key", "window").agg(row).select("key", "window", "row.*")
+
+
+def carried_rows(state: DataFrame, pattern: str, events: DataFrame, first_seq) -> DataFrame:
+    """State as rows in front of the events: displays at an order number before all of them."""
+    key = PATTERNS[pattern]
+    order = events.schema["seq"].dataType
+    columns = {c: F.lit(None).cast(events.schema[c].dataType) for c in ORDERED_COLUMNS}
+    columns |= {"seq": F.lit(first_seq).cast(order) - 1, "event_type": F.lit(DISPLAY), key: F.col("key")}
+    if pattern == PATTERN_2:
+        columns["timestamp"] = F.col("n1")
+    return state.select(
+        *[column.cast(events.schema[c].dataType).alias(c) for c, column in columns.items()],
+        F.lit(False).alias("boundary"), "window", "n1", "n2", "known", F.lit(False).alias("real"),
+    )
+
+
+def judge_batch(
+    rules: Rules, pattern: str, events: DataFrame, state: DataFrame, total_rows: int, first_seq
 ) -> DataFrame:
-    """Flagged clicks of a stream: of events, or of staged events for `as_coded`.
-
-    With a `delay` the windows the watermark has passed are forgotten and events
-    later than that are dropped by Spark; without, neither happens.
-    """
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    processor, key = DETECTORS[pattern]
-    if semantics == "as_coded":
-        delay = None
-    else:
-        events = events.withColumn("window", grid_window(window_seconds))
-    if delay is not None:
-        events = events.withColumn("event_time", event_time()).withWatermark("event_time", delay)
-    fields = {f.name: f for f in events.schema}
-    return events.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor(
-            semantics,
-            window_seconds,
-            delay is not None,
-            threshold_seconds=threshold_seconds,
-            min_clicks=min_clicks,
-            min_ctr=min_ctr,
-        ),
-        outputStructType=StructType([fields[name] for name in ORDERED_COLUMNS]),
-        outputMode="Append",
-        timeMode="None" if delay is None else "EventTime",
+    """The events (with boundary and window) of a micro-batch and the state they start from, judged."""
+    key = PATTERNS[pattern]
+    touched = state.join(events.select(F.col(key).alias("key")).distinct(), "key", "left_semi")
+    none = F.lit(None).cast("long")
+    rows = events.select(
+        *ORDERED_COLUMNS, "boundary", "window", none.alias("n1"), none.alias("n2"), F.lit(False).alias("known"), F.lit(True).alias("real")
+    ).unionByName(carried_rows(latest(touched), pattern, events, first_seq))
+    return rules.judge(pattern, split_hot_keys(rows, [key], total_rows, rules.group_rows, source=events))
+
+
+def changes(rules: Rules, pattern: str, judged: DataFrame) -> DataFrame:
+    """The state rows that a judged micro-batch has changed."""
+    key = PATTERNS[pattern]
+    n1, n2 = rules.numbers(pattern)
+    numbers = (
+        judged.groupBy(F.col(key).alias("key"), "window")
+        .agg(F.max_by(n1, "seq").cast("long").alias("n1"), F.max_by(n2, "seq").cast("long").alias("n2"), F.bool_or("real").alias("real"))
+        .where("real")
+        .select("key", "window", "n1", "n2", F.lit(False).alias("known"))
     )
+    if pattern == PATTERN_2:
+        return numbers
+    zero = F.lit(0).cast("long")
+    suspicious = (
+        judged.groupBy(F.col(key).alias("key"))
+        .agg(F.bool_or("hit").alias("hit"), F.bool_or("known").alias("known"))
+        .where("hit and not known")
+        .select("key", F.lit(KNOWN).cast("long").alias("window"), zero.alias("n1"), zero.alias("n2"), F.lit(True).alias("known"))
+    )
+    return numbers.unionByName(suspicious)
 
 
-def stage(batch: DataFrame, batch_id: int, folder: str, window_seconds: int) -> None:
-    """Write a micro-batch marked with the window boundaries, then the opening time of its last window.
-
-    The opening time completes the batch: once it is there, a repeated
-    micro-batch finds its events written and leaves them alone.
+def advance(
+    batch: DataFrame,
+    batch_id: int,
+    folder: str,
+    outputs: dict[str, str],
+    rules: Rules,
+    save: Save,
+    also: Callable[[DataFrame, int], None] | None = None,
+    totals: Callable[[DataFrame, dict[str, DataFrame], int], None] | None = None,
+    good: str | None = None,
+) -> None:
+    """Take one micro-batch through the detectors of `outputs`, a folder for each pattern.
+
+    `also` is called with the rows as they were written out; `totals` with the
+    events and the flagged clicks of each pattern. Where `good` names a column,
+    only rows for which it holds are events.
     """
     spark = batch.sparkSession
-    if opening_time(spark, folder, batch_id) is not None:
+    kept = Carried(spark, folder)
+    if kept.complete(batch_id):
         return
-    # Zero stands for no window opened yet.
-    begin = opening_time(spark, folder, batch_id - 1) or None
-    marked = mark_boundaries(batch.select(*ORDERED_COLUMNS), boundary_lookup(batch, window_seconds, begin))
-    marked.write.mode("overwrite").parquet(f"{folder}/events/batch={batch_id}")
-    written = spark.read.parquet(f"{folder}/events/batch={batch_id}")
-    last = F.max(F.when(F.col("boundary"), F.col("timestamp")))
-    first = F.min_by("timestamp", F.when(F.col("timestamp") > 0, F.col("seq")))
-    opened = F.coalesce(last, F.lit(begin).cast("long"), first, F.lit(0))
-    written.agg(opened.alias("begin")).write.mode("overwrite").parquet(f"{folder}/begin/batch={batch_id}")
-
-
-def opening_time(spark: SparkSession, folder: str, batch_id: int) -> int | None:
-    """When the last window of micro-batch `batch_id` opened; None if the batch is not complete."""
-    try:
-        row = spark.read.schema("begin long").parquet(f"{folder}/begin/batch={batch_id}").first()
-    except AnalysisException:
-        return None
-    return row and row["begin"]
-
-
-def read_staged(spark: SparkSession, folder: str, events: StructType) -> DataFrame:
-    """The staged table as a stream; `events` is the schema of the events in it."""
-    fields = [events[name] for name in ORDERED_COLUMNS]
-    fields += [StructField("boundary", BooleanType()), StructField("batch", LongType())]
-    return spark.readStream.schema(StructType(fields)).parquet(f"{folder}/events")
-
-
-def detect_as_coded(
+    before = kept.mark(batch_id - 1)
+    batch.write.mode("overwrite").parquet(kept.staged_path(batch_id))
+    staged = spark.read.schema(batch.schema).parquet(kept.staged_path(batch_id))
+    if also:
+        also(staged, batch_id)
+    events = (staged.where(good) if good else staged).select(*ORDERED_COLUMNS)
+    mark = Mark(before.begin, before.watermark, dict(before.bases), dict(before.base_rows), dict(before.version_rows))
+    numbers = events.agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"), F.max("timestamp").alias("last")).first()
+    if numbers["n"]:
+        if rules.semantics == "as_coded":
+            lookup = boundary_lookup(events, rules.window_seconds, before.begin or None)
+            bounded = mark_boundaries(events, lookup).withColumn("window", F.lit(0).cast("long"))
+            last = F.max(F.when(F.col("boundary"), F.col("timestamp")))
+            first = F.min_by("timestamp", F.when(F.col("timestamp") > 0, F.col("seq")))
+            opened = F.coalesce(last, F.lit(before.begin or None).cast("long"), first, F.lit(0))
+            mark.begin = bounded.agg(opened.alias("begin")).first()["begin"]
+        else:
+            bounded = events.withColumns({"boundary": F.lit(False), "window": grid_window(rules.window_seconds)})
+            if rules.delay_seconds is not None:
+                bounded = bounded.where((F.col("window") + 1) * rules.window_seconds > before.watermark)
+                mark.watermark = max(before.watermark, numbers["last"] - rules.delay_seconds)
+    flagged, judgements = {}, []
+    for pattern, output in outputs.items():
+        state = kept.state(pattern, before.bases.get(pattern, 0), batch_id)
+        path = kept.state_path(pattern, batch_id)
+        if not numbers["n"]:
+            spark.createDataFrame([], STATE).write.mode("overwrite").parquet(path)
+            continue
+        judged = judge_batch(rules, pattern, bounded, state, numbers["n"], numbers["first_seq"]).persist()
+        judgements.append(judged)
+        flagged[pattern] = rules.flagged(pattern, judged)
+        save(flagged[pattern], output, batch_id)
+        changed = changes(rules, pattern, judged)
+        snapshot = snapshot_due(mark, pattern, batch_id)
+        if snapshot:
+            # The changes are the last version of all.
+            whole = latest(state.unionByName(changed.withColumn("batch", F.lit(batch_id))))
+            over = (F.col("window") != KNOWN) & ((F.col("window") + 1) * rules.window_seconds <= mark.watermark)
+            changed = whole.where(~over) if rules.semantics != "as_coded" else whole
+        changed.write.mode("overwrite").parquet(path)
+        n = spark.read.schema(STATE).parquet(path).count()
+        if snapshot:
+            mark.bases[pattern], mark.base_rows[pattern], mark.version_rows[pattern] = batch_id, n, 0
+        else:
+            mark.version_rows[pattern] = mark.version_rows.get(pattern, 0) + n
+    if totals:
+        totals(events, flagged, batch_id)
+    for judged in judgements:
+        judged.unpersist()
+    kept.write_mark(batch_id, mark)
+    # The mark of this micro-batch makes all this superfluous.
+    remove_path(spark, kept.staged_path(batch_id))
+    remove_path(spark, kept.mark_path(batch_id - 2))
+    for pattern in outputs:
+        for b in range(before.bases.get(pattern, 0), mark.bases.get(pattern, 0)):
+            remove_path(spark, kept.state_path(pattern, b))
+
+
+def snapshot_due(mark: Mark, pattern: str, batch_id: int) -> bool:
+    versions = batch_id - mark.bases.get(pattern, 0)
+    outgrown = mark.version_rows.get(pattern, 0) > mark.base_rows.get(pattern, 0) + VERSION_ROWS
+    return versions >= VERSIONS or outgrown
+
+
+def detect_stream(
     events: DataFrame,
     folder: str,
     outputs: dict[str, str],
-    window_seconds: int = WINDOW_SECONDS,
-    write: Callable[..., DataStreamWriter] = write_table,
+    rules: Rules | None = None,
+    save: Save = save_table,
+    also: Callable[[DataFrame, int], None] | None = None,
+    totals: Callable[[DataFrame, dict[str, DataFrame], int], None] | None = None,
+    good: str | None = None,
 ) -> DataStreamWriter:
-    """The `as_coded` detectors on a stream; `outputs` maps patterns to folders for the flagged clicks.
+    """The detectors of `outputs` (pattern: folder for its flagged clicks) on a stream of events.
 
-    Each micro-batch is staged and then taken up by the detectors, each a query
-    with a checkpoint of its own. They start once the staged batch is complete,
-    so a failure anywhere is made good by starting again.
+    One query reads the stream, so all outputs cover the same events. See
+    `advance` for `also`, `totals` and `good`.
     """
-    staged = f"{folder}/staged"
+    rules = rules or Rules()
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        stage(batch, batch_id, staged, window_seconds)
-        # Whatever fails, every query that was started has ended on leaving.
-        with ExitStack() as running:
-            for pattern, output in outputs.items():
-                marked = read_staged(batch.sparkSession, staged, batch.schema)
-                flagged = detect_stream(marked, pattern, "as_coded", window_seconds)
-                checkpoint = f"{folder}/checkpoints/{pattern.replace(' ', '_')}"
-                query = write(flagged, output, checkpoint, trigger=None).start()
-                running.callback(query.awaitTermination)
-
-    return events.writeStream.foreachBatch(one_batch).option("checkpointLocation", f"{folder}/checkpoints/stage")
+        advance(batch, batch_id, f"{folder}/carried", outputs, rules, save, also, totals, good)
+
+    return events.writeStream.foreachBatch(one_batch).option("checkpointLocation", f"{folder}/checkpoint")

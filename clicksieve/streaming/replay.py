@@ -1,22 +1,34 @@
 """Whole tables run through the streaming detectors, with the result as a table."""
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from clicksieve.operators.skew import cut_points
 from clicksieve.schema import EVENT_SCHEMA, ORDERED_COLUMNS
 from clicksieve.session import new_run_folder
-from clicksieve.sources.tables import click_events_stream
-from clicksieve.streaming.detectors import DETECTORS, detect_as_coded, detect_stream
-from clicksieve.streaming.sinks import write_table
+from clicksieve.sources.tables import click_events
+from clicksieve.streaming.detectors import PATTERNS, Rules, detect_stream
+
+# Micro-batches that a replay takes.
+PIECES = 3
+
 
+def in_pieces(events: DataFrame, folder: str, pieces: int = PIECES) -> Iterator[DataFrame]:
+    """The events as a stream that grows piece by piece, in arrival order.
 
-def replay_session(spark: SparkSession) -> SparkSession:
-    """A session with one state partition per core; streams do not merge small partitions by themselves."""
-    session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    return session
+    Each time the stream is handed out one more piece has come; a query that is
+    run over it then, from its checkpoint, takes the piece as one micro-batch.
+    """
+    cuts = cut_points(events, pieces, events.count())
+    seq = F.col("seq")
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        piece = events if low is None else events.where(seq >= low)
+        piece = piece if high is None else piece.where(seq < high)
+        piece.select(*ORDERED_COLUMNS).write.mode("append").parquet(folder)
+        yield events.sparkSession.readStream.schema(EVENT_SCHEMA).parquet(folder)
 
 
 def flagged_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,23 +36,17 @@ def flagged_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def finish(writer: DataStreamWriter) -> None:
-    writer.start().awaitTermination()
-
-
-def replay(spark: SparkSession, sf_dir: str, pattern: str, **settings) -> DataFrame:
-    """Flagged clicks of one detector."""
-    work = new_run_folder(spark, "replay")
-    flagged = detect_stream(click_events_stream(replay_session(spark), sf_dir), pattern, **settings)
-    finish(write_table(flagged, f"{work}/flagged", f"{work}/checkpoint", trigger=None))
-    return flagged_table(spark, f"{work}/flagged")
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def replay_as_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagged clicks of all detectors with the label of the detector."""
+def replay(spark: SparkSession, sf_dir: str, patterns: tuple[str, ...] = tuple(PATTERNS), **rules) -> DataFrame:
+    """Flagged clicks of detectors with the label of the detector."""
     work = new_run_folder(spark, "replay")
-    outputs = {pattern: f"{work}/{pattern.replace(' ', '_')}" for pattern in DETECTORS}
-    finish(detect_as_coded(click_events_stream(replay_session(spark), sf_dir), work, outputs).trigger(availableNow=True))
-    tables = [
-        flagged_table(spark, folder).withColumn("pattern", F.lit(pattern)) for pattern, folder in outputs.items()
-    ]
-    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+    outputs = {pattern: f"{work}/{pattern.replace(' ', '_')}" for pattern in patterns}
+    for stream in in_pieces(click_events(spark, sf_dir), f"{work}/in"):
+        finish(detect_stream(stream, work, outputs, Rules(**rules)))
+    tables = [flagged_table(spark, folder).withColumn("pattern", F.lit(p)) for p, folder in outputs.items()]
+    found = tables[0]
+    for table in tables[1:]:
+        found = found.unionByName(table)
+    return found

@@ -1,4 +1,12 @@
-"""Sinks: hourly folders of log lines or Parquet, console, Kafka."""
+"""Sinks: hourly folders of log lines or Parquet, console, Kafka.
+
+What a micro-batch writes into hourly folders stands in a folder of its own
+below them (`bucket=.../batch=...`) and replaces what a failed attempt left. Rows
+are brought together by hour first, so an hour gets one file from a micro-batch
+unless it is large.
+"""
+
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +18,8 @@ from clicksieve.sources.messages import FRAUD_TOPIC
 
 # Fixed value: how often an output file is closed.
 ROLL_INTERVAL = "15 minutes"
+# Rows a file holds at most, about 1 GiB of log lines.
+FILE_ROWS = 10_000_000
 
 
 def triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
@@ -22,45 +32,40 @@ def log_lines(events: DataFrame) -> DataFrame:
     return events.select(event_line().alias("value"), hour_bucket().alias("bucket"))
 
 
-def write_log(
-    events: DataFrame,
-    folder: str,
-    checkpoint: str,
-    trigger: str | None = ROLL_INTERVAL,
-    lines_per_file: int = 10_000_000,
-) -> DataStreamWriter:
-    """A stream of events into hourly folders of log lines.
-
-    A file is closed with its trigger or after `lines_per_file`, about 1 GiB.
-    """
-    writer = (
-        log_lines(events)
-        .writeStream.format("text")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", lines_per_file)
-        .partitionBy("bucket")
+def save_by_hour(rows: DataFrame, folder: str, batch_id: int, form: str) -> None:
+    """Rows with a `bucket` into hourly folders; a second call for a batch replaces the first."""
+    (
+        rows.withColumn("batch", F.lit(batch_id))
+        # Adaptive execution splits an hour that is too large for a task and joins small ones.
+        .hint("rebalance", F.col("bucket"))
+        .write.format(form)
+        .partitionBy("bucket", "batch")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", FILE_ROWS)
+        .mode("overwrite")
+        .save(folder)
     )
-    return triggered(writer, trigger)
 
 
-def write_table(
-    events: DataFrame, folder: str, checkpoint: str, trigger: str | None = ROLL_INTERVAL
-) -> DataStreamWriter:
-    """A stream of events into hourly folders of Parquet."""
-    writer = (
-        events.withColumn("bucket", hour_bucket())
-        .writeStream.format("parquet")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("bucket")
-    )
-    return triggered(writer, trigger)
+def save_log(events: DataFrame, folder: str, batch_id: int = 0) -> None:
+    """A batch of events into hourly folders of log lines."""
+    save_by_hour(log_lines(events), folder, batch_id, "text")
 
 
-def save_log(events: DataFrame, folder: str) -> None:
-    """A batch of events into hourly folders of log lines."""
-    log_lines(events).write.partitionBy("bucket").mode("append").text(folder)
+def save_table(events: DataFrame, folder: str, batch_id: int = 0) -> None:
+    """A batch of events into hourly folders of Parquet."""
+    save_by_hour(events.withColumn("bucket", hour_bucket()), folder, batch_id, "parquet")
+
+
+def save_stream(events: DataFrame, save, folder: str, checkpoint: str, trigger: str | None) -> DataStreamWriter:
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        save(batch, folder, batch_id)
+
+    return triggered(events.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint), trigger)
+
+
+write_log = partial(save_stream, save=save_log)
+write_table = partial(save_stream, save=save_table)
 
 
 def write_strings(strings: DataFrame, folder: str, checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
@@ -74,12 +79,15 @@ def write_strings(strings: DataFrame, folder: str, checkpoint: str, trigger: str
     return triggered(writer, trigger)
 
 
-def print_counts(totals: DataFrame, checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
-    """Changed totals on the console after every micro-batch."""
+def print_counts(
+    totals: DataFrame, checkpoint: str, trigger: str | None = None, rows: int = 100_000
+) -> DataStreamWriter:
+    """Changed totals on the console after every micro-batch, `rows` of them at most."""
     writer = (
         totals.writeStream.outputMode("update")
         .format("console")
         .option("truncate", "false")
+        .option("numRows", rows)
         .option("checkpointLocation", checkpoint)
     )
     return triggered(writer, trigger)

@@ -16,15 +16,21 @@ def events_cte(types: str = "where event_type in ('view', 'click')") -> str:
 
 EV = events_cte()
 
+JSON = """'{"eventType":"' || event_type || '","uid":"' || uid || '","timestamp":' || "timestamp"
+  || ',"ip":"' || ip || '","impressionId":"' || impression_id || '"}'"""
+HOUR = """strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d--%H')"""
+
 # Boundaries of the data-anchored window and events marked with them.
-MARKED = f"""{EV},
-sec as (select "timestamp" as ts, min(seq) as seq from ev group by 1),
+BOUNDED = """sec as (select "timestamp" as ts, min(seq) as seq from ev group by 1),
 b(seq, ts) as (
   select min(seq), arg_min("timestamp", seq) from ev
   union all
   select min(sec.seq), arg_min(sec.ts, sec.seq) from b join sec on sec.ts >= b.ts + 1800 group by b.seq),
 hits as (select seq, ts from b where seq <> (select min(seq) from ev)),
 m as (select ev.*, case when hits.seq is null then 0 else 1 end as hit from ev left join hits on hits.seq = ev.seq)"""
+MARKED = f"{EV},\n{BOUNDED}"
+# The same over all messages that decode.
+JOB = events_cte("where event_type <> 'error'") + f",\n{BOUNDED}"
 
 P1 = """p1_a as (select *, sum(hit) over (partition by uid order by seq) as seg from m),
 p1_b as (select *, sum(case when event_type = 'display' then 1 else -1 end)
@@ -101,14 +107,14 @@ per as (select count(*) filter (pattern = 'Pattern 1') as n_1, count(*) filter (
                count(*) filter (pattern = 'Pattern 3') as n_3 from flagged)"""
 
 
-def oracle_sql(window: int, threshold: int) -> dict[str, str]:
+def oracle_sql(window: int, threshold: int, ip_window: int) -> dict[str, str]:
     p1 = f"with recursive {MARKED}, {P1} select seq, {FIVE} from p1"
     p2 = f"with recursive {MARKED}, {P2} select seq, {FIVE} from p2"
     p3 = f"with recursive {MARKED}, {P3} select seq, {FIVE} from p3"
     p1_doc = p1_documented(window)
     p2_doc = p2_documented(window, threshold)
-    p3_doc = p3_grid(window, REAL_RATIO)
-    p3_int = p3_grid(window, INT_RATIO)
+    p3_doc = p3_grid(ip_window, REAL_RATIO)
+    p3_int = p3_grid(ip_window, INT_RATIO)
     five = f"with {EV} select seq, {FIVE} from ev"
     totals = f"with {EV} select event_type, count(*) as n from ev group by 1"
     tumbling = f"""with {EV}
@@ -183,4 +189,28 @@ from (select distinct seq, {FIVE} from flagged)""",
         "p2_documented_stream": p2_doc,
         "p3_documented_stream": p3_doc,
         "as_coded_stream": f"{ALL} select pattern, seq, {FIVE} from flagged",
+        "tumbling_counts_stream": tumbling,
+        "kafka_frame": f"""with {EV}
+select cast("timestamp"::hugeint * 1000 * {10**24}::hugeint
+            + (case when event_type = 'display' then 2 else 1 end)::hugeint * {10**23}::hugeint
+            + (uid::bigint % 4)::hugeint * {10**18}::hugeint + seq as varchar) as seq, {FIVE} from ev""",
+        "topic_strings": f"with {EV} select {JSON} as value from ev where event_type <> 'display'",
+        "record_lines": f"""with {EV}
+select 'offset = ' || seq || ', key = ' || uid || ', value = ' || {JSON} as line from ev""",
+        "json_lines": f"""with {EV} select event_type as topic, uid, "timestamp", ip, impression_id from ev""",
+        "log_hour": f"""with {EV} select {FIVE} from ev where {HOUR} = (select min({HOUR}) from ev)""",
+        "log_sink": f"with {EV} select {FIVE} from ev",
+        "raw_to_files": f"with {EV} select {JSON} as value from ev where event_type <> 'display'",
+        "job_totals": f"""with recursive {JOB},
+{P1},
+{P2},
+{P3},
+flagged as (select 'Pattern 1' as pattern, event_type from p1 union all select 'Pattern 2', event_type from p2
+  union all select 'Pattern 3', event_type from p3)
+select pattern, event_type, count(*) as n from flagged group by 1, 2
+union all select null, event_type, count(*) from ev group by 2
+union all select null, 'rejected', count(*) from events where event_type = 'error'""",
+        "report_numbers": f"""{AFTER}
+select n_displays, n_clicks, n_invalid, n_1, n_2, n_3, n_clicks::double / nullif(n_displays, 0)::double as ctr_before,
+       (n_clicks - n_invalid)::double / nullif(n_displays, 0)::double as ctr_after from cnt, inv, per""",
     }

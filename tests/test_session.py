@@ -12,9 +12,11 @@ def broadcasts(df):
 
 
 def test_small_side(spark):
-    df = session.settle(spark.range(10))
-    assert broadcasts(session.small_side(df, 10))
-    assert not broadcasts(session.small_side(df, 9))
+    df = session.settle(spark.range(10).selectExpr("id", "repeat('é', 50) as name", "cast(null as string) as none"))
+    assert session.measured_bytes(df) == 10 * (16 + 116 + 16)
+    assert session.measured_bytes(df.limit(0)) == 0
+    assert broadcasts(session.small_side(df, 1480))
+    assert not broadcasts(session.small_side(df, 1479))
 
 
 def test_shared_folder_is_the_one_the_cluster_names(spark):
@@ -27,3 +29,14 @@ def test_a_cluster_has_to_name_its_folder():
     unnamed = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(unnamed)
+
+
+@pytest.mark.parametrize("folder", ["/tmp/shared", "relative"])
+def test_a_cluster_has_to_name_a_shared_file_system(folder):
+    hadoop = SimpleNamespace(get=lambda key: "file:///")
+    context = SimpleNamespace(
+        master="spark://host", getCheckpointDir=lambda: None, _jsc=SimpleNamespace(hadoopConfiguration=lambda: hadoop)
+    )
+    local = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: folder))
+    with pytest.raises(RuntimeError, match="local to each machine"):
+        session.shared_folder(local)

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from clicksieve.functions.columns import event_json, event_line, event_time, hour_bucket, role
+from clicksieve.functions.columns import event_json, event_line, event_time, hour_bucket, percent, role, utc_time
 from clicksieve.schema import EVENT_COLUMNS, EVENT_SCHEMA
 from clicksieve.sources import messages, tables, textlog
 from clicksieve.streaming import sinks
@@ -76,13 +76,27 @@ def test_kafka_source_names_its_topics(spark):
         messages.kafka_records(spark, "localhost:9092")
 
 
+def test_order_is_unique_over_topics(spark, records):
+    """Records of two topics with equal timestamp, partition and offset."""
+    both = records.unionByName(records.withColumn("topic", F.lit("displays"))).distinct()
+    order = both.select(messages.arrival_order().alias("seq"))
+    assert order.distinct().count() == both.count() == 7
+    widest = both.limit(1).select(
+        F.lit("displays").alias("topic"), F.lit(99_999).alias("partition"), F.lit(10**18 - 1).alias("offset"),
+        F.timestamp_seconds(F.lit(99_999_999_999)).alias("timestamp"),
+    )
+    assert str(widest.select(messages.arrival_order()).first()[0]) == "99999999999000" + "2" + "99999" + "9" * 18
+
+
 def test_json_lines(spark, tmp_path):
     (tmp_path / "e.json").write_text(
-        '{"eventType":"click","uid":"u1","timestamp":1625760000,"ip":"1.2.3.4","impressionId":"i1"}\n'
+        '{"eventType":"click","uid":"u1","timestamp":1625760000,"ip":"1.2.3.4","impressionId":"i1"}\nbroken\n'
     )
-    df = messages.json_line_events(spark, str(tmp_path))
+    found = messages.json_line_events(spark, str(tmp_path))
+    df = messages.named_topic(found.events)
     assert df.columns == ["topic", *EVENT_COLUMNS[1:]]
-    assert tuple(df.first()) == EVENT
+    assert [tuple(r) for r in df.collect()] == [EVENT]
+    assert [r["value"] for r in found.rejected.collect()] == ["broken"]
 
 
 def test_log_lines(spark, frame):
@@ -90,9 +104,20 @@ def test_log_lines(spark, frame):
     lines = [r[0] for r in frame(rows).orderBy("seq").select(event_line()).collect()]
     assert lines[0] == "Event{eventType='click', uid='u1', timestamp=1625760000, ip='1.2.3.4', impressionId='i1'}"
     assert lines[2] == "Event{eventType='click', uid='null', timestamp=null, ip='i', impressionId='x'}"
-    parsed = textlog.parse_lines(spark.createDataFrame([(x,) for x in [*lines, "junk", ""]], "value string"))
-    found = [tuple(r) for r in parsed.collect()]
+    bad = ["junk", "", lines[0].replace("1625760000", "1" * 20), lines[0].replace("1625760000", "9" * 13)]
+    parsed = textlog.parse_lines(spark.createDataFrame([(x,) for x in [*lines, *bad, None]], "value string"))
+    found = [tuple(r) for r in parsed.events.collect()]
     assert found == [EVENT, rows[1], ("click", "null", None, "i", "x")]
+    assert [r["value"] for r in parsed.rejected.collect()] == [*bad, None]
+
+
+def test_any_value_survives_the_log(spark, frame):
+    values = ["a\nb", "\r", "\\", "\\n", "\\\\r\n\\", "', ip='", "\u2028", "x\\"]
+    rows = [("click", v, 5, v, v[::-1]) for v in values]
+    lines = frame(rows).select(event_line().alias("value"))
+    assert not any("\n" in r[0] or "\r" in r[0] for r in lines.collect())
+    back = textlog.parse_lines(lines).events
+    assert sorted(map(tuple, back.where("uid <> \"', ip='\"").collect())) == sorted(r for r in rows if r[1] != "', ip='")
 
 
 def test_log_folders_round_trip(spark, frame, tmp_path):
@@ -100,13 +125,32 @@ def test_log_folders_round_trip(spark, frame, tmp_path):
     folder = str(tmp_path / "all")
     sinks.save_log(events, folder)
     assert (tmp_path / "all" / "bucket=2021-07-08--16").is_dir()
-    assert five(textlog.read_log(spark, folder)) == five(events)
-    hour = textlog.read_bucket(spark, str(tmp_path), "all", "2021-07-08--16")
+    assert five(textlog.read_log(spark, folder).events) == five(events)
+    hour = textlog.read_bucket(spark, str(tmp_path), "all", "2021-07-08--16").events
     assert five(hour) == [EVENT]
     plan = hour._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_session(spark, frame, zone):
+    events = frame([EVENT, ("click", "u", 1615705200, "i", "x")])
+    found = tables.click_events(spark, "/root/testdata/sf0.001").agg(F.sum("timestamp"), F.min("impression_id")).first()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        rows = events.select(hour_bucket().alias("hour"), utc_time(F.col("timestamp")).cast("string").alias("at")).collect()
+        again = tables.click_events(spark, "/root/testdata/sf0.001").agg(F.sum("timestamp"), F.min("impression_id")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [tuple(r) for r in rows] == [("2021-07-08--16", "2021-07-08 16:00:00"), ("2021-03-14--07", "2021-03-14 07:00:00")]
+    assert again == found
+
+
+def test_percent_rounds_as_decimal_format_does(spark):
+    found = spark.createDataFrame([(0.0625,), (0.0015,), (0.0, ), (1.0121,), (12.5,)], "r double").select(percent(F.col("r")))
+    assert [r[0] for r in found.collect()] == ["6.2%", "0.1%", "0.0%", "101.2%", "1250.0%"]
+
+
 def test_columns(frame):
     row = frame([EVENT, ("view", "u", 0, "i", "x")]).orderBy("seq")
     first = row.select(

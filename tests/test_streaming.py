@@ -10,7 +10,7 @@ from clicksieve.plans import report
 from clicksieve.schema import EVENT_COLUMNS, EVENT_SCHEMA, ORDERED_COLUMNS, PATTERN_1, PATTERN_2, PATTERN_3
 from clicksieve.sources import messages, textlog
 from clicksieve.streaming import sinks
-from clicksieve.streaming.detectors import detect_as_coded, detect_stream
+from clicksieve.streaming.detectors import Carried, Rules, advance, detect_stream
 from conftest import seqs
 from test_random import trace
 
@@ -51,76 +51,105 @@ def run(writer):
 
 
 def flagged(spark, folder):
-    schema = EVENT_SCHEMA
-    return spark.read.schema(schema).parquet(folder)
+    return spark.read.schema(EVENT_SCHEMA).parquet(folder)
 
 
-@pytest.mark.parametrize("pattern", [PATTERN_1, PATTERN_2, PATTERN_3])
-def test_documented(spark, feed, tmp_path, pattern):
-    limits = {"threshold_seconds": QUICK} if pattern == PATTERN_2 else {}
-    limits |= {"min_clicks": 4} if pattern == PATTERN_3 else {}
-    for n in (40, 60, 50):
-        feed.send(n)
-        # Every run is a restart from the checkpoint.
-        found = detect_stream(feed.stream(), pattern, window_seconds=3 * WINDOW, **limits)
-        run(sinks.write_table(found, str(tmp_path / "out"), str(tmp_path / "cp"), None))
-        expected = BATCH[pattern](feed.table(), "documented", 3 * WINDOW, **limits)
-        assert seqs(flagged(spark, str(tmp_path / "out"))) == seqs(expected)
-    assert seqs(expected)
+def detect(feed, tmp_path, rules, patterns=tuple(BATCH), **more):
+    outputs = {pattern: str(tmp_path / pattern[-1]) for pattern in patterns}
+    run(detect_stream(feed.stream(), str(tmp_path / "work"), outputs, rules, **more).trigger(availableNow=True))
+    return outputs
 
 
-def test_separate_int(spark, feed, tmp_path):
-    feed.send(150)
-    limits = {"min_clicks": 4, "min_ctr": 0.8}
-    found = detect_stream(feed.stream(), PATTERN_3, "separate_int", 3 * WINDOW, **limits)
-    run(sinks.write_table(found, str(tmp_path / "out"), str(tmp_path / "cp"), None))
-    expected = detectors.hyperactive_ips(feed.table(), "separate_int", 3 * WINDOW, **limits)
-    assert seqs(flagged(spark, str(tmp_path / "out"))) == seqs(expected) != []
+def judged(pattern, events, rules):
+    limits = {PATTERN_1: {}, PATTERN_2: {"threshold_seconds": rules.threshold_seconds}}
+    limits[PATTERN_3] = {"min_clicks": rules.min_clicks, "min_ctr": rules.min_ctr}
+    return BATCH[pattern](events, rules.semantics, rules.window_seconds, **limits[pattern])
+
+
+RULES = {
+    "as_coded": Rules(window_seconds=WINDOW),
+    "documented": Rules("documented", 3 * WINDOW, QUICK, 4),
+    "split": Rules("documented", 3 * WINDOW, QUICK, 4, group_rows=6),
+    "as_coded split": Rules(window_seconds=WINDOW, group_rows=6),
+}
+
+
+@pytest.mark.parametrize("name", RULES)
+def test_detectors(spark, feed, tmp_path, name, monkeypatch):
+    """Several micro-batches, each a restart from the checkpoint, with snapshots of the state between."""
+    monkeypatch.setattr("clicksieve.streaming.detectors.VERSIONS", 2)
+    rules = RULES[name]
+    for n in (30, 1, 49, 70):
+        feed.send(n)
+        outputs = detect(feed, tmp_path, rules)
+        for pattern, folder in outputs.items():
+            assert seqs(flagged(spark, folder)) == seqs(judged(pattern, feed.table(), rules)), pattern
+    assert all(seqs(judged(pattern, feed.table(), rules)) for pattern in outputs)
+    # What has been consumed is gone; so are versions before the last snapshot.
+    kept = tmp_path / "work" / "carried"
+    assert not any((kept / "staged").iterdir())
+    assert len(list((kept / "marks").glob("batch=*"))) == 2
+    assert len(list((kept / "state" / "Pattern_1").glob("batch=*"))) <= 3
 
 
-def test_as_coded(spark, feed, tmp_path):
-    outputs = {pattern: str(tmp_path / pattern[-1]) for pattern in BATCH}
-    for n in (30, 50, 70):
+def test_separate_int(spark, feed, tmp_path):
+    rules = Rules("separate_int", 3 * WINDOW, min_clicks=4, min_ctr=0.8)
+    for n in (80, 70):
         feed.send(n)
-        run(detect_as_coded(feed.stream(), str(tmp_path / "work"), outputs, WINDOW).trigger(availableNow=True))
-        expected = report.detect(feed.table(), window_seconds=WINDOW)
-        for pattern, batch in zip(outputs, (expected.p1, expected.p2, expected.p3)):
-            assert seqs(flagged(spark, outputs[pattern])) == seqs(batch), pattern
-    assert all(seqs(df) for df in (expected.p1, expected.p2, expected.p3))
+        outputs = detect(feed, tmp_path, rules, (PATTERN_3,))
+    expected = judged(PATTERN_3, feed.table(), rules)
+    assert seqs(flagged(spark, outputs[PATTERN_3])) == seqs(expected) != []
+    with pytest.raises(Exception, match="semantics"):
+        detect(feed_of(feed, 1), tmp_path / "other", rules, (PATTERN_1,))
 
 
-def test_as_coded_after_failures(spark, feed, tmp_path):
-    """A run that breaks before or among the detectors is made good by the next one."""
-    outputs = {pattern: str(tmp_path / pattern[-1]) for pattern in BATCH}
+def feed_of(feed, n):
+    other = Feed(feed.spark, feed.folder + "-other", [r[1:] for r in feed.rows])
+    other.send(n)
+    return other
 
-    def attempt(write):
-        run(detect_as_coded(feed.stream(), str(tmp_path / "work"), outputs, WINDOW, write).trigger(availableNow=True))
 
+def test_failures_are_made_good(spark, feed, tmp_path):
+    """A run that breaks among the detectors is repeated without loss or repetition."""
+    rules = RULES["as_coded"]
     for broken in (PATTERN_1, PATTERN_3):
 
-        def breaking(flagged, output, *args, **kwargs):
-            if output == outputs[broken]:
+        def breaking(found, output, batch_id):
+            sinks.save_table(found, output, batch_id)
+            if output.endswith(broken[-1]):
                 raise RuntimeError("lost")
-            return sinks.write_table(flagged, output, *args, **kwargs)
 
         feed.send(75)
         with pytest.raises(Exception, match="lost"):
-            attempt(breaking)
-        attempt(sinks.write_table)
-    expected = report.detect(feed.table(), window_seconds=WINDOW)
-    for pattern, batch in zip(outputs, (expected.p1, expected.p2, expected.p3)):
-        assert seqs(flagged(spark, outputs[pattern])) == seqs(batch), pattern
+            detect(feed, tmp_path, rules, save=breaking)
+        outputs = detect(feed, tmp_path, rules)
+    for pattern, folder in outputs.items():
+        assert seqs(flagged(spark, folder)) == seqs(judged(pattern, feed.table(), rules)), pattern
 
 
-def test_windows_behind_the_watermark_are_forgotten(spark, tmp_path):
+def test_a_lost_predecessor_raises(spark, feed, tmp_path):
+    feed.send(40)
+    with pytest.raises(RuntimeError, match="micro-batch 4 has not been completed"):
+        advance(feed.table(), 5, str(tmp_path / "work"), {}, Rules(), sinks.save_table)
+    advance(feed.table(), 0, str(tmp_path / "work"), {}, Rules(), sinks.save_table)
+    assert Carried(spark, str(tmp_path / "work")).mark(0).begin > 0
+    # A micro-batch that is complete is left alone.
+    advance(feed.table().limit(0), 0, str(tmp_path / "work"), {}, Rules(), sinks.save_table)
+
+
+def test_windows_behind_the_watermark_are_forgotten(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("clicksieve.streaming.detectors.VERSIONS", 1)
     rows = [("display", "A", 1000 + i, "ip", "x") for i in range(3)]
     rows += [("display", "A", 100_000, "ip", "x"), ("click", "A", 100_001, "ip", "x"), ("click", "A", 100_002, "ip", "x")]
+    rows += [("click", "A", 1001, "ip", "x")]  # of a forgotten window: not judged
     feed = Feed(spark, tmp_path / "in", rows)
-    for n in (3, 1, 2):
+    rules = Rules("documented", WINDOW, delay_seconds=600)
+    for n in (3, 1, 2, 1):
         feed.send(n)
-        found = detect_stream(feed.stream(), PATTERN_1, window_seconds=WINDOW, delay="10 minutes")
-        query = run(sinks.write_table(found, str(tmp_path / "out"), str(tmp_path / "cp"), None))
-    assert seqs(flagged(spark, str(tmp_path / "out"))) == [6]
+        outputs = detect(feed, tmp_path, rules, (PATTERN_1,))
+    assert seqs(flagged(spark, outputs[PATTERN_1])) == [6]
+    windows = spark.read.parquet(str(tmp_path / "work/carried/state/Pattern_1")).where("window >= 0")
+    assert [r[0] for r in windows.select("window").distinct().collect()] == [100_000 // WINDOW]
 
 
 def test_running_totals_in_update_mode(spark, feed, tmp_path):
@@ -139,9 +168,8 @@ def test_running_totals_in_update_mode(spark, feed, tmp_path):
 
 def test_pattern_totals_of_flagged_streams(spark, feed, tmp_path):
     feed.send(150)
-    outputs = {pattern: str(tmp_path / pattern[-1]) for pattern in BATCH}
-    run(detect_as_coded(feed.stream(), str(tmp_path / "work"), outputs, WINDOW).trigger(availableNow=True))
-    streams = [spark.readStream.schema(EVENT_SCHEMA).parquet(folder) for folder in outputs.values()]
+    outputs = detect(feed, tmp_path, RULES["as_coded"])
+    streams = [spark.readStream.schema(EVENT_SCHEMA).parquet(f"{folder}/bucket=*/batch=*") for folder in outputs.values()]
     totals = counts.pattern_totals(counts.label_patterns(*streams))
     run(totals.writeStream.outputMode("complete").format("memory").queryName("totals").trigger(availableNow=True))
     expected = counts.pattern_totals(report.detect(feed.table(), window_seconds=WINDOW).labelled())
@@ -162,13 +190,14 @@ def test_tumbling_counts(spark, feed, tmp_path):
 
 def test_log_sink(spark, feed, tmp_path):
     feed.send(80)
-    run(sinks.write_log(feed.stream(), str(tmp_path / "all"), str(tmp_path / "cp"), None))
+    run(sinks.write_log(feed.stream(), folder=str(tmp_path / "all"), checkpoint=str(tmp_path / "cp"), trigger=None))
     feed.send(70)
-    run(sinks.write_log(feed.stream(), str(tmp_path / "all"), str(tmp_path / "cp"), None))
-    back = textlog.read_log(spark, str(tmp_path / "all"))
+    run(sinks.write_log(feed.stream(), folder=str(tmp_path / "all"), checkpoint=str(tmp_path / "cp"), trigger=None))
+    back = textlog.read_log(spark, str(tmp_path / "all")).events
     assert sorted(map(tuple, back.collect())) == sorted(r[1:] for r in feed.rows)
+    assert all(len(list(b.glob("*.txt"))) == 1 for b in (tmp_path / "all").glob("bucket=*/batch=*"))
     bucket = sorted(p.name for p in (tmp_path / "all").glob("bucket=*"))[0].removeprefix("bucket=")
-    assert textlog.read_bucket(spark, str(tmp_path), "all", bucket).count() > 0
+    assert textlog.read_bucket(spark, str(tmp_path), "all", bucket).events.count() > 0
 
 
 def test_messages_to_files(spark, tmp_path):
@@ -196,7 +225,8 @@ def test_console_and_message_frames(feed, tmp_path):
 
 def test_roll_interval(feed, tmp_path):
     feed.send(1)
-    query = sinks.write_log(feed.stream(), str(tmp_path / "all"), str(tmp_path / "cp")).start()
+    writer = sinks.write_log(feed.stream(), folder=str(tmp_path / "all"), checkpoint=str(tmp_path / "cp"), trigger=sinks.ROLL_INTERVAL)
+    query = writer.start()
     while not query.recentProgress:
         time.sleep(0.1)
     query.stop()
