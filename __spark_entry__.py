@@ -173,18 +173,16 @@ def pattern_running(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ctr_after_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = click_events(spark, sf_dir)
-    after = report.ctr_after_fraud(events, report.flagged_counts(report.detect(events)))
+    after = report.ctr_after_fraud(report.detect(events))
     return after.select("n_displays", "n_clicks", "n_invalid", "ctr")
 
 
 def report_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = click_events(spark, sf_dir)
-    return report.report_numbers(events, report.detect(events))
+    return report.report_numbers(report.detect(click_events(spark, sf_dir)))
 
 
 def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = click_events(spark, sf_dir)
-    return report.report_lines(events, report.detect(events))
+    return report.report_lines(report.detect(click_events(spark, sf_dir)))
 
 
 def fraud_json(spark: SparkSession, sf_dir: str) -> DataFrame:

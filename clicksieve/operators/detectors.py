@@ -13,8 +13,8 @@ clicks with the same columns. `semantics` selects the rule:
     Hyperactive addresses only: as documented, with the ratio of clicks to
     displays as an integer division.
 
-The detectors can share `lookup` (see `boundary_lookup`) and `total_rows`, the
-number of events; `group_rows` is the most rows of one key that stay in one task.
+The detectors can share `lookup` (see `boundary_lookup`), `hot` (see `hot_keys`)
+and `total_rows`, the number of events; `group_rows` is the most rows of one key that stay in one task.
 
 A user or address once found suspicious stays so under all of them. Events
 that are not displays count as clicks.
@@ -40,12 +40,13 @@ def split_and_bound(
     lookup: DataFrame | None,
     total_rows: int | None,
     group_rows: int | None,
+    hot: dict[str, DataFrame | None] | None = None,
     allowed: tuple[str, ...] = ("as_coded", "documented"),
 ) -> Split:
     """Events split by `key`, with the column that bounds their state: `boundary` or `window`."""
     if semantics not in allowed:
         raise ValueError(f"semantics must be one of {allowed}, not {semantics!r}")
-    split = split_hot_keys(events, [key], total_rows, group_rows)
+    split = split_hot_keys(events, [key], total_rows, group_rows, hot=hot)
     if semantics != "as_coded":
         return replace(split, df=split.df.withColumn("window", grid_window(window_seconds)))
     if lookup is None:
@@ -128,9 +129,10 @@ def clicks_without_display(
     lookup: DataFrame | None = None,
     total_rows: int | None = None,
     group_rows: int | None = None,
+    hot: dict[str, DataFrame | None] | None = None,
 ) -> DataFrame:
     """Pattern 1: clicks of a user with no display left to click on, and all later ones."""
-    split = split_and_bound(events, "uid", semantics, window_seconds, lookup, total_rows, group_rows)
+    split = split_and_bound(events, "uid", semantics, window_seconds, lookup, total_rows, group_rows, hot)
     return since_suspicious(judge_pending(split, semantics)).select(*ORDERED_COLUMNS)
 
 
@@ -142,13 +144,14 @@ def quick_clicks(
     lookup: DataFrame | None = None,
     total_rows: int | None = None,
     group_rows: int | None = None,
+    hot: dict[str, DataFrame | None] | None = None,
 ) -> DataFrame:
     """Pattern 2: clicks too close to the last display of their impression.
 
     `as_coded` subtracts the click from the display, so it takes every click
     unless its display is at least `threshold_seconds` later.
     """
-    split = split_and_bound(events, "impression_id", semantics, window_seconds, lookup, total_rows, group_rows)
+    split = split_and_bound(events, "impression_id", semantics, window_seconds, lookup, total_rows, group_rows, hot)
     return judge_quick(split, semantics, threshold_seconds).where("quick").select(*ORDERED_COLUMNS)
 
 
@@ -161,6 +164,7 @@ def hyperactive_ips(
     lookup: DataFrame | None = None,
     total_rows: int | None = None,
     group_rows: int | None = None,
+    hot: dict[str, DataFrame | None] | None = None,
     keep_copy: bool = False,
 ) -> DataFrame:
     """Pattern 3: clicks of an address that clicks too much, and all its later ones.
@@ -170,7 +174,7 @@ def hyperactive_ips(
     and the condition holds again. `keep_copy` adds the number of the emission.
     """
     readings = ("as_coded", "documented", "separate_int")
-    split = split_and_bound(events, "ip", semantics, window_seconds, lookup, total_rows, group_rows, readings)
+    split = split_and_bound(events, "ip", semantics, window_seconds, lookup, total_rows, group_rows, hot, readings)
     judged = judge_hyperactive(split, semantics, min_clicks, min_ctr)
     return emissions(judged, semantics).select(*ORDERED_COLUMNS, *(["copy"] if keep_copy else []))
 

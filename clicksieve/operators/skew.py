@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicksieve.session import settle
+from clicksieve.session import settle, small_side
 
 # A key with no more rows than this stays whole.
 GROUP_ROWS = 500_000
@@ -56,10 +56,13 @@ def split_hot_keys(
     total_rows: int | None = None,
     group_rows: int | None = None,
     source: DataFrame | None = None,
+    hot: dict[str, DataFrame | None] | None = None,
 ) -> Split:
     """Add a `range` column if some key has more than `group_rows` rows.
 
-    `source` is a frame with the same keys and `seq` that is cheaper to compute.
+    `source` is a frame with the same keys and `seq` that is cheaper to compute;
+    `hot` has the split keys of single columns, where `hot_keys` has found them
+    already.
     """
     source = df if source is None else source
     if total_rows is None:
@@ -67,16 +70,33 @@ def split_hot_keys(
     limit = group_limit(total_rows, group_rows)
     if total_rows <= limit:
         return Split(df)
-    hot = settle(frequent_keys(source, keys, limit))
-    if hot.isEmpty():
+    if hot is not None and len(keys) == 1:
+        found = hot[keys[0]]
+    else:
+        found = settle(frequent_keys(source, keys, limit))
+        found = None if found.isEmpty() else found
+    if found is None:
         return Split(df)
     cuts = cut_points(source, -(-total_rows // limit), total_rows)
     # At most 2 * HOT_KEYS rows, see `frequent_keys`.
-    marked = df.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), keys, "left")
+    marked = df.join(small_side(found.withColumn("is_hot", F.lit(True))), keys, "left")
     number = F.when(F.col("is_hot"), range_number(cuts, df.schema["seq"].dataType.simpleString()))
     return Split(marked.withColumn("range", number.otherwise(WHOLE)).drop("is_hot"), ["range"])
 
 
+def hot_keys(
+    df: DataFrame, columns: list[str], total_rows: int, group_rows: int | None = None
+) -> dict[str, DataFrame | None]:
+    """For each of some text columns its keys to be split, None where there is none; in one pass."""
+    limit = group_limit(total_rows, group_rows)
+    if total_rows <= limit:
+        return dict.fromkeys(columns)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("key")) for c in columns])
+    found = settle(frequent_keys(df.select(F.inline(pairs)), ["column", "key"], limit))
+    present = {row["column"] for row in found.select("column").distinct().collect()}
+    return {c: found.where(F.col("column") == c).select(F.col("key").alias(c)) if c in present else None for c in columns}
+
+
 def frequent_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     """The keys with more than `limit` rows, and maybe some with more than half as many.
 

@@ -89,4 +89,4 @@ def hour_report(spark: SparkSession, folder: str, bucket: str) -> DataFrame:
     """The report on one hour of the outputs, e.g. bucket 2021-07-08--16."""
     events = read_bucket(spark, folder, "all", bucket).events
     flagged = [read_bucket(spark, folder, pattern, bucket).events for pattern in PATTERNS]
-    return report_lines(events, Detection(events, *flagged))
+    return report_lines(Detection(events, *flagged))

@@ -2,13 +2,14 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from clicksieve.functions.columns import percent
 from clicksieve.operators.boundaries import boundary_lookup
 from clicksieve.operators.counts import label_patterns
 from clicksieve.operators.detectors import clicks_without_display, hyperactive_ips, quick_clicks
+from clicksieve.operators.skew import hot_keys
 from clicksieve.schema import CLICK, DISPLAY, EVENT_COLUMNS, PATTERN_1, PATTERN_2, PATTERN_3, WINDOW_SECONDS
 
 
@@ -18,6 +19,8 @@ class Detection:
     p1: DataFrame
     p2: DataFrame
     p3: DataFrame
+    # Displays and clicks of `events`, where they have been counted already.
+    counted: Row | None = None
 
     def labelled(self) -> DataFrame:
         return label_patterns(self.p1, self.p2, self.p3)
@@ -38,12 +41,14 @@ def detect(
     window_seconds: int = WINDOW_SECONDS,
     group_rows: int | None = None,
 ) -> Detection:
-    """Run the three detectors; they share the window boundaries and the row count."""
+    """Run the three detectors; they share one pass for counts, one for hot keys, and the window boundaries."""
+    counted = type_counts(events).first()
     shared = {
         "semantics": semantics,
         "window_seconds": window_seconds,
-        "total_rows": events.count(),
+        "total_rows": counted["n"],
         "group_rows": group_rows,
+        "hot": hot_keys(events, ["uid", "impression_id", "ip"], counted["n"], group_rows),
     }
     if semantics == "as_coded":
         shared["lookup"] = boundary_lookup(events, window_seconds)
@@ -52,6 +57,7 @@ def detect(
         clicks_without_display(events, **shared),
         quick_clicks(events, **shared),
         hyperactive_ips(events, keep_copy=True, **shared),
+        counted,
     )
 
 
@@ -59,6 +65,7 @@ def type_counts(events: DataFrame) -> DataFrame:
     return events.agg(
         F.count_if(F.col("event_type") == DISPLAY).alias("n_displays"),
         F.count_if(F.col("event_type") == CLICK).alias("n_clicks"),
+        F.count("*").alias("n"),
     )
 
 
@@ -68,7 +75,7 @@ def ratio(clicks: Column) -> Column:
 
 def ctr(events: DataFrame) -> DataFrame:
     """Clicks per display; null without displays."""
-    return type_counts(events).withColumn("ctr", ratio(F.col("n_clicks")))
+    return type_counts(events).drop("n").withColumn("ctr", ratio(F.col("n_clicks")))
 
 
 def flagged_counts(detection: Detection) -> DataFrame:
@@ -85,23 +92,25 @@ def flagged_counts(detection: Detection) -> DataFrame:
     )
 
 
-def ctr_after_fraud(events: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Clicks per display once the clicks counted by `n_invalid` of `flagged` are taken off."""
-    both = type_counts(events).unionByName(flagged, allowMissingColumns=True)
-    return both.agg(*[F.max(name).alias(name) for name in both.columns]).withColumn(
-        "ctr", ratio(F.col("n_clicks") - F.col("n_invalid"))
-    )
+def ctr_after_fraud(detection: Detection) -> DataFrame:
+    """Clicks per display once the flagged clicks are taken off, with the counts it is made of."""
+    flagged, counted = flagged_counts(detection), detection.counted
+    if counted is None:
+        counted = type_counts(detection.events).first()
+    return flagged.select(
+        F.lit(counted["n_displays"]).alias("n_displays"), F.lit(counted["n_clicks"]).alias("n_clicks"), "*"
+    ).withColumn("ctr", ratio(F.col("n_clicks") - F.col("n_invalid")))
 
 
-def report_numbers(events: DataFrame, detection: Detection) -> DataFrame:
+def report_numbers(detection: Detection) -> DataFrame:
     """The numbers of the report in one row."""
-    numbers = ctr_after_fraud(events, flagged_counts(detection))
+    numbers = ctr_after_fraud(detection)
     return numbers.withColumnRenamed("ctr", "ctr_after").withColumn("ctr_before", ratio(F.col("n_clicks")))
 
 
-def report_lines(events: DataFrame, detection: Detection) -> DataFrame:
+def report_lines(detection: Detection) -> DataFrame:
     """The report as numbered sentences."""
-    numbers = report_numbers(events, detection)
+    numbers = report_numbers(detection)
     # The sentences of the report.
     sentences = [
         F.format_string("The click-through-rate equals %s.", percent(F.col("ctr_before"))),

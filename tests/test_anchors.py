@@ -1,10 +1,13 @@
 """Row counts on the middle-sized tables, worked out separately by a sequential model."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from clicksieve.operators import detectors
 from clicksieve.operators.boundaries import window_boundaries
+from clicksieve.operators.skew import hot_keys
 from clicksieve.plans import report
+from clicksieve.session import settle
 from clicksieve.sources.tables import click_events
 
 DAY = 86400
@@ -22,7 +25,7 @@ def test_as_coded(events):
     assert (counts["n_1"], counts["n_2"], counts["n_3"], counts["n_invalid"]) == (1860, 310, 474, 1914)
     assert found.p3.select("seq").distinct().count() == 410
     assert round(report.ctr(events).first()["ctr"], 4) == 1.0121
-    assert round(report.ctr_after_fraud(events, report.flagged_counts(found)).first()["ctr"], 4) == 0.0464
+    assert round(report.ctr_after_fraud(found).first()["ctr"], 4) == 0.0464
 
 
 @pytest.mark.parametrize(
@@ -38,3 +41,21 @@ def test_grid_windows(events, window, threshold, expected):
         detectors.hyperactive_ips(events, "separate_int", **shared),
     )
     assert tuple(df.count() for df in found) == expected
+
+
+def test_keys_and_cuts_from_samples(spark):
+    """Three keys over the larger table, so that hot keys and cut points come from samples."""
+    events = click_events(spark, "/root/testdata/sf0.1")
+    for key in ("uid", "impression_id", "ip"):
+        events = events.withColumn(key, F.concat(F.lit("k"), F.pmod(F.xxhash64(key), F.lit(3)).cast("string")))
+    events = settle(events)
+    n = events.count()
+    hot = hot_keys(events, ["uid", "impression_id", "ip"], n, 2500)
+    assert {c: found.count() for c, found in hot.items()} == {"uid": 3, "impression_id": 3, "ip": 3}
+
+    def sums(group_rows):
+        found = report.detect(events, group_rows=group_rows)
+        sums = F.sum(F.xxhash64("seq", "pattern", F.coalesce("copy", F.lit(1))).cast("decimal(38,0)"))
+        return found.labelled().groupBy("pattern").agg(F.count("*"), sums).orderBy("pattern").collect()
+
+    assert sums(2500) == sums(None) and len(sums(None)) == 3

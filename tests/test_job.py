@@ -43,7 +43,7 @@ def test_job_and_report(spark, tmp_path, semantics):
         return df.where(hour_bucket() == bucket)
 
     expected = report.report_lines(
-        hour(feed.table()), report.Detection(hour(feed.table()), hour(found.p1), hour(found.p2), hour(found.p3))
+        report.Detection(hour(feed.table()), hour(found.p1), hour(found.p2), hour(found.p3))
     )
     assert job.hour_report(spark, folder, bucket).collect() == expected.collect()
 

@@ -90,9 +90,9 @@ def test_report(frame):
     assert found.union_all().count() == 6
     assert found.distinct().count() == 3
     assert report.ctr(events).first()["ctr"] == 0.4
-    after = report.ctr_after_fraud(events, report.flagged_counts(found)).first()
+    after = report.ctr_after_fraud(found).first()
     assert (after["n_invalid"], after["ctr"], after["n_1"], after["n_2"], after["n_3"]) == (3, 0.1, 2, 2, 2)
-    assert [r["text"] for r in report.report_lines(events, found).orderBy("line_no").collect()] == [
+    assert [r["text"] for r in report.report_lines(found).orderBy("line_no").collect()] == [
         "The click-through-rate equals 40.0%.",
         "3 clicks have been detected as fraudulent out of 4 clicks.",
         "The click-through-rate equals 10.0%.",
@@ -115,5 +115,5 @@ def test_events_equal_but_for_arrival_are_one(frame):
 def test_nothing_at_all(frame, spark):
     events = frame(by_uid(("click", "A", 1))).where("seq > 1")
     assert report.detect(events).union_all().count() == 0
-    after = report.ctr_after_fraud(events, report.flagged_counts(report.detect(events))).first()
+    after = report.ctr_after_fraud(report.detect(events)).first()
     assert (after["n_clicks"], after["n_invalid"], after["ctr"]) == (0, 0, None)
