@@ -37,8 +37,11 @@ CACHE_SCHEMA = T.StructType(
         T.StructField("n_tokens", T.LongType()),
     ]
 )
-# Words whose counts a task remembers at most; it starts anew beyond.
-REMEMBERED_WORDS = 300_000
+# Words whose counts a worker remembers, some 100 MB of them; further ones it
+# encodes where they occur and forgets.
+REMEMBERED_WORDS = 600_000
+# Characters of texts that are counted together.
+TOGETHER = 1 << 20
 # What byte-level tokenizers split texts by before merging (fixed value).
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -90,21 +93,30 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
     find = regex.compile(BYTE_LEVEL_PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
     known: dict[str, int] = {}
 
+    def together(texts: list[str]) -> list[int]:
+        split = [find(text) for text in texts]
+        new = list(set().union(*split) - known.keys())
+        known.update(zip(new, whole(new), strict=True))
+        counts = [sum(map(known.__getitem__, words)) for words in split]
+        if len(known) > REMEMBERED_WORDS:
+            for word in new:
+                del known[word]
+        return counts
+
     def by_words(texts: list[str]) -> list[int]:
         """The tokens of a text are those of its words; only new words are encoded."""
-        counts = []
+        counts, part, size = [], [], 0
         for text in texts:
             if holds_added.search(text):
-                counts += whole([text])
+                counts += [*together(part), *whole([text])]
+                part, size = [], 0
                 continue
-            words = find(text)
-            new = list(set(words) - known.keys())
-            if len(known) + len(new) > REMEMBERED_WORDS:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, whole(new), strict=True))
-            counts.append(sum(map(known.__getitem__, words)))
-        return counts
+            part.append(text)
+            size += len(text)
+            if size > TOGETHER:
+                counts += together(part)
+                part, size = [], 0
+        return counts + together(part)
 
     return by_words
 
