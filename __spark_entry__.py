@@ -6,6 +6,7 @@ Every query runs over the whole `events` table of the given folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -165,10 +166,11 @@ def hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return click_events(spark, sf_dir).groupBy(hour_bucket().alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def pattern_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = report.detect(click_events(spark, sf_dir)).labelled()
-    narrow = labelled.select("seq", "pattern", "event_type", F.coalesce("copy", F.lit(1)).alias("copy"))
-    return counts.running_pattern_counts(narrow)
+def pattern_running(spark: SparkSession, sf_dir: str, group_rows: int | None = None) -> DataFrame:
+    events = click_events(spark, sf_dir)
+    found = report.detect(events)
+    labelled = found.labelled().select("seq", "pattern", "event_type", F.coalesce("copy", F.lit(1)).alias("copy"))
+    return counts.running_pattern_counts(labelled, events, found.counted["n"], group_rows)
 
 
 def ctr_after_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,6 +240,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "type_totals": on_events(counts.type_totals),
         "pattern_totals": on_events(lambda ev: counts.pattern_totals(report.detect(ev).labelled())),
         "pattern_running": pattern_running,
+        "pattern_running_split": partial(pattern_running, group_rows=SPLIT_ROWS),
         "tumbling_counts": on_events(lambda ev: window_starts(counts.tumbling_counts(ev))),
         "tumbling_counts_stream": tumbling_counts_stream,
         "fraud_union_all": on_events(lambda ev: report.detect(ev).union_all()),

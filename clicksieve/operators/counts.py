@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clicksieve.functions.columns import event_time
 from clicksieve.operators.running import running_sums
-from clicksieve.operators.skew import split_hot_keys
+from clicksieve.operators.skew import split_all_keys, split_hot_keys
 from clicksieve.schema import PATTERN_1, PATTERN_2, PATTERN_3
 
 
@@ -32,12 +32,15 @@ def pattern_totals(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("event_type", "pattern").agg(F.count("*").alias("n"))
 
 
-def running_pattern_counts(labelled: DataFrame, group_rows: int | None = None) -> DataFrame:
+def running_pattern_counts(
+    labelled: DataFrame, events: DataFrame, n_events: int, group_rows: int | None = None
+) -> DataFrame:
     """For every flagged click, how many of its type its detector has flagged so far.
 
-    `labelled` is a settled frame with seq, pattern, event_type and copy.
+    `labelled` has seq, pattern, event_type and copy; `events` are those it was found in.
     """
-    split = split_hot_keys(labelled, ["pattern", "event_type"], None, group_rows)
+    # No more than two emissions from the third detector and one from each other.
+    split = split_all_keys(labelled, events, n_events, 4 * n_events, group_rows)
     counted = running_sums(
         split, ["pattern", "event_type"], {"n": F.lit(1).cast("long")}, order=("seq", "copy")
     )

@@ -84,6 +84,21 @@ def split_hot_keys(
     return Split(marked.withColumn("range", number.otherwise(WHOLE)).drop("is_hot"), ["range"])
 
 
+def split_all_keys(
+    df: DataFrame, source: DataFrame, source_rows: int, most_rows: int, group_rows: int | None = None
+) -> Split:
+    """Add a `range` column for all keys, for frames with a few keys of which any may be large.
+
+    `df` has `most_rows` rows at most and takes its order from `source`, on which
+    the cut points are found.
+    """
+    limit = group_limit(most_rows, group_rows)
+    if most_rows <= limit:
+        return Split(df)
+    cuts = cut_points(source, -(-most_rows // limit), source_rows)
+    return Split(df.withColumn("range", range_number(cuts, df.schema["seq"].dataType.simpleString())), ["range"])
+
+
 def hot_keys(
     df: DataFrame, columns: list[str], total_rows: int, group_rows: int | None = None
 ) -> dict[str, DataFrame | None]:

@@ -121,6 +121,9 @@ def oracle_sql(window: int, threshold: int, ip_window: int) -> dict[str, str]:
 select make_timestamp(("timestamp" // 1800) * 1800000000) as window_start, event_type, count(*) as n
 from ev group by 1, 2"""
     pattern_totals = f"{ALL} select event_type, pattern, count(*) as n from flagged group by 1, 2"
+    pattern_running = f"""{ALL}
+select seq, pattern, event_type, count(*) over (partition by pattern, event_type order by seq, copy
+                                                rows between unbounded preceding and current row) as n from flagged"""
     return {
         "project_event": five,
         "filter_clicks": f"with {EV} select seq, {FIVE} from ev where event_type = 'click'",
@@ -157,9 +160,8 @@ select seq, cast(sum(hit) over (partition by uid order by seq) as bigint) as seg
         "running_counts_split": RUNNING,
         "type_totals": totals,
         "pattern_totals": pattern_totals,
-        "pattern_running": f"""{ALL}
-select seq, pattern, event_type, count(*) over (partition by pattern, event_type order by seq, copy
-                                                rows between unbounded preceding and current row) as n from flagged""",
+        "pattern_running": pattern_running,
+        "pattern_running_split": pattern_running,
         "tumbling_counts": tumbling,
         "fraud_union_all": f"{ALL} select {FIVE} from flagged",
         "fraud_distinct": f"{ALL} select distinct {FIVE} from flagged",
