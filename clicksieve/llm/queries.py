@@ -21,6 +21,7 @@ from clicksieve.llm import (
     token_counts,
 )
 from clicksieve.llm.common import read_table
+from clicksieve.llm.sql import oracle_sql  # noqa: F401 - queries() and oracle_sql() are taken from here
 from clicksieve.session import new_run_folder
 
 # Texts longer than this many tokens are marked.
@@ -121,7 +122,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_classifier": op9_quality_classifier,
         "op10_html_extraction": op10_html_extraction,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

@@ -203,3 +203,17 @@ def test_odd_pages(spark):
     assert found[:3] == [(1, ""), (None, ""), (2, "no markup, at all")]
     assert found[3] == found[4] == (3, "deep text")
     assert html_extraction.extract_pages(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("name", list(queries.oracle_sql()))
+def test_queries_against_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{SF_SMALL}/documents.parquet'")
+    expected = con.sql(queries.oracle_sql()[name]).df()
+    found = queries.queries()[name](spark, SF_SMALL).toPandas()
+    columns = sorted(found.columns)
+    assert columns == sorted(expected.columns)
+    rows = [sorted(map(str, df[columns].astype(object).where(df[columns].notna(), None).values.tolist())) for df in (found, expected)]
+    assert rows[0] == rows[1]
