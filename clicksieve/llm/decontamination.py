@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -154,8 +155,9 @@ class Block:
         return out
 
 
-def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[int, str]]]:
-    """The benchmark in blocks of about `block_bytes`; dealt by hash, so repeated rows are counted among each other."""
+def blocks(benchmark: DataFrame, block_bytes: int | None = None) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark in blocks of about `block_bytes`, dealt by hash."""
+    block_bytes = block_bytes or BLOCK_BYTES
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     n = max(1, -(-total // block_bytes))
