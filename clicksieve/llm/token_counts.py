@@ -138,7 +138,10 @@ def read_cache(spark: SparkSession, cache: str, tokenizer: bytes) -> DataFrame:
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], CACHE_SCHEMA).select("digest", "n_tokens")
     stored = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer") == F.lit(tokenizer))
-    return stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # Grouped by another name of the digest: a later join on the digest then has
+    # an exchange of its own, of which Spark splits what a hot text fills.
+    named = stored.groupBy(F.hex("digest").alias("name")).agg(F.max("n_tokens").alias("n_tokens"))
+    return named.select(F.unhex("name").alias("digest"), "n_tokens")
 
 
 def default_cache(spark: SparkSession) -> str:
