@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicksieve.llm.html_extraction import extract
-from clicksieve.session import settle
+from clicksieve.session import settle, small_side
 
 BUCKETS = 1 << 15
 # A text counts as this many trigrams at most: neighbours are not independent.
@@ -164,16 +164,18 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     whole = [(totals[f"s{i}"] or 0.0) + PRIOR_ROWS / n for i in range(n)]
     overall = [x / sum(whole) for x in whole]
 
-    def by(*names: str) -> DataFrame:
-        """Rows and languages of each group, as the texts tell them."""
-        known = told.where(F.col(names[0]).isNotNull())
-        return known.groupBy(*names).agg(F.count("*").alias("n"), *sums).select(
-            *names, F.struct("n", F.array(*[f"s{i}" for i in range(n)]).alias("sums")).alias(f"of_{names[0]}")
-        )
+    def by(name: str) -> DataFrame:
+        """Rows and languages of each group, as the texts tell them; sent to all executors where it is small."""
+        table = told.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("__key")).agg(F.count("*").alias("n"), *sums)
+        return small_side(settle(table.select("__key", *[F.col(c).alias(f"{name}_{c}") for c in table.columns[1:]])))
 
     joined = told
     for name in groups:
-        joined = joined.join(by(name), name, "left")
+        # Rows without a value find no group; a key of their own spreads them over the tasks.
+        own_key = F.concat(F.lit("\0"), F.xxhash64("doc_id", "page_id").cast("string"))
+        joined = joined.withColumn("__key", F.coalesce(name, own_key)).join(by(name), "__key", "left").drop("__key")
+        found = F.struct(F.col(f"{name}_n").alias("n"), F.array(*[f"{name}_s{i}" for i in range(n)]).alias("sums"))
+        joined = joined.withColumn(f"of_{name}", F.when(F.col(f"{name}_n").isNotNull(), found))
 
     def likelihood(name: str, i: int) -> Column:
         """How likely rows of language i have this value, up to a factor shared by all languages."""
