@@ -36,15 +36,15 @@ from pyspark.sql import functions as F
 
 from clicksieve.session import new_run_folder
 
-# Words broadcast at most, and the longest that may be among them: with two
-# bytes or more to a token this is 60 MB at worst, some 15 MB as a rule.
+# Words broadcast at most, and the longest that may be among them: this is
+# 80 MB at worst, if every byte were a token, and some 20 MB as a rule.
 DICTIONARY_WORDS = 500_000
 DICTIONARY_WORD_BYTES = 32
 # Maps that the ranks are spread over.
 BUCKETS = 1 << 14
 NO_RANK = (1 << 31) - 1
 # Words handled at a time inside a task.
-SLICE_WORDS = 1 << 20
+SLICE_WORDS = 1 << 18
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -157,29 +157,28 @@ class Coder:
     """Gives the words of the dictionary their ids, and lists the others."""
 
     def __init__(self, table: pa.Table):
-        table = table.combine_chunks()
-        self.words = pa.array(table["word"].to_numpy(zero_copy_only=False), pa.string()) if len(table) else pa.array([], pa.string())
-        lists = table["ids"].chunk(0) if len(table) else pa.array([], pa.list_(pa.int32()))
+        self.words = table["word"].combine_chunks().cast(pa.string())
+        lists = table["ids"].combine_chunks()
         offsets = lists.offsets.to_numpy()
         self.starts, self.sizes = offsets[:-1].astype(np.int64), np.diff(offsets).astype(np.int64)
         self.ids = np.append(lists.values.to_numpy(zero_copy_only=False), 0).astype(np.int32)
 
     def code(self, lists: pa.ListArray) -> pa.StructArray:
-        ends = np.asarray(lists.offsets)[1:]
+        words = lists.flatten()
+        index = pc.index_in(words, value_set=self.words)  # hashes the dictionary, so once for all
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
         parts, at = [], 0
         while at < len(lists):
             # Whole documents, of about SLICE_WORDS words together.
-            first = int(np.asarray(lists.offsets)[at])
-            to = max(at + 1, int(np.searchsorted(ends, first + SLICE_WORDS, "right")))
-            parts.append(self._code(lists.slice(at, to - at)))
+            to = max(at + 1, int(np.searchsorted(offsets[1:], offsets[at] + SLICE_WORDS, "right")))
+            low, n = int(offsets[at]), int(offsets[to] - offsets[at])
+            parts.append(self._code(np.diff(offsets[at : to + 1]), words.slice(low, n), index.slice(low, n)))
             at = to
-        return pa.concat_arrays(parts) if parts else self._code(lists)
+        return pa.concat_arrays(parts) if parts else self._code(np.empty(0, np.int64), words, index)
 
-    def _code(self, lists: pa.ListArray) -> pa.StructArray:
-        words = lists.flatten()
-        per_doc = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-        index = pc.index_in(words, value_set=self.words)
-        unknown = np.asarray(index.is_null())
+    def _code(self, per_doc: np.ndarray, words: pa.Array, index: pa.Array) -> pa.StructArray:
+        unknown = index.is_null().to_numpy(zero_copy_only=False)
         index = index.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         if len(self.starts):
             sizes, starts = np.where(unknown, 1, self.sizes[index]), np.where(unknown, len(self.ids) - 1, self.starts[index])
@@ -188,20 +187,25 @@ class Coder:
         ends = np.concatenate([[0], np.cumsum(sizes)])
         out = self.ids[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
         # The unknown words of each document, each once, in the order of their codes.
-        docs = np.repeat(np.arange(len(lists)), per_doc)[unknown]
+        docs = np.repeat(np.arange(len(per_doc)), per_doc)[unknown]
         rare = words.filter(pa.array(unknown)).dictionary_encode()
         codes = np.asarray(rare.indices).astype(np.int64)
         n_codes = max(len(rare.dictionary), 1)
         pairs, inverse = np.unique(docs * n_codes + codes, return_inverse=True)
-        doc_starts = np.searchsorted(pairs, np.arange(len(lists) + 1) * n_codes)
-        out[ends[:-1][unknown]] = -1 - (inverse - doc_starts[docs])
+        doc_starts = np.searchsorted(pairs, np.arange(len(per_doc) + 1) * n_codes)
+        at = ends[:-1][unknown]
+        out[at] = -1 - (inverse - doc_starts[docs])
+        # Runs of ids end before and after such a word, and with the document.
         doc_ends = ends[np.concatenate([[0], np.cumsum(per_doc)])]
+        cuts = np.unique(np.concatenate([doc_ends, at, at + 1]))
+        runs = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(out, pa.int32()))
+        doc_runs = np.searchsorted(cuts, doc_ends)
         return pa.StructArray.from_arrays(
             [
-                pa.ListArray.from_arrays(pa.array(doc_ends, pa.int32()), pa.array(out, pa.int32())),
+                pa.ListArray.from_arrays(pa.array(doc_runs, pa.int32()), runs),
                 pa.ListArray.from_arrays(pa.array(doc_starts, pa.int32()), rare.dictionary.take(pa.array(pairs % n_codes))),
             ],
-            names=["ids", "rare"],
+            names=["runs", "rare"],
         )
 
 
@@ -210,23 +214,24 @@ def encode(docs: DataFrame, ranks: Ranks, pattern: str, text_col: str = "text",
     words = docs.select(F.explode(split(F.col(text_col), pattern)).alias("word"))
     shared = docs.sparkSession.sparkContext.broadcast(Coder(dictionary(words, ranks, most)))
 
-    @F.arrow_udf("struct<ids: array<int>, rare: array<string>>")
+    @F.arrow_udf("struct<runs: array<array<int>>, rare: array<string>>")
     def coded(lists: pa.Array) -> pa.Array:
         return shared.value.code(lists)
 
     def filled(maps: Column) -> Column:
         rare = F.transform("__coded.rare", lambda word: _fold(maps, F.hex(F.encode(word, "UTF-8"))))
-        # -1, -2, ... stand for the first, second, ... of the rare words.
+        # A run that begins with -1, -2, ... stands for the first, second, ... of the rare words.
         return _bound(
             rare,
             lambda found: F.flatten(
                 F.transform(
-                    "__coded.ids", lambda i: F.when(i >= 0, F.array(i)).otherwise(F.get(found, -1 - i))
+                    "__coded.runs",
+                    lambda run: F.when(F.get(run, 0) >= 0, run).otherwise(F.get(found, -1 - F.get(run, 0))),
                 )
             ),
         )
 
-    ids = F.when(F.size("__coded.rare") == 0, F.col("__coded.ids")).otherwise(_bound(ranks.maps, filled))
+    ids = F.when(F.size("__coded.rare") == 0, F.flatten("__coded.runs")).otherwise(_bound(ranks.maps, filled))
     return docs.withColumn("__coded", coded(split(F.col(text_col), pattern))).withColumn("ids", ids).drop("__coded")
 
 
