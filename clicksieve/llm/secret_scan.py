@@ -5,7 +5,8 @@ Beyond them, a candidate is a long run of key characters whose line names
 something sensitive shortly before it. Its novelty is what it adds to the
 compressed size when zstandard already knows the code around it and a dictionary
 of identifiers: names and prose repeat what is known and shrink, keys do not.
-Candidates that stay nearly as long as they are, are reported.
+Other copies of a candidate are no code around it and make nothing known.
+Candidates that add what random characters of their alphabet would, are reported.
 
 Results in special cases: null and empty texts have no spans; spans count code
 points; a candidate inside a base span is not reported again; spans of different
@@ -15,7 +16,10 @@ itself; an empty table gives an empty one; other columns are not looked at.
 
 from __future__ import annotations
 
+import random
 import re
+import string
+from functools import lru_cache
 
 import pandas as pd
 import zstandard
@@ -42,8 +46,12 @@ SENSITIVE = re.compile(
 REACH = 64
 # Characters on either side that prime the dictionary.
 SURROUNDING = 512
-# The least share of its length that a candidate must add.
+# The least share that a candidate must add of what random characters of its alphabet would.
 NOVELTY = 0.75
+# Random characters beyond so many add in proportion.
+DRAWN = 4096
+# Runs of characters that share as many in a row are copies of each other.
+COPIED = 16
 # Names that code is made of, known before any text is read.
 IDENTIFIERS = (
     "password passwd passphrase secret token api_key apikey access_key private_key public_key client_id client_secret "
@@ -59,13 +67,57 @@ Span = tuple[int, int, int]  # start, kind, end
 SPANS = T.ArrayType(T.StructType().add("kind", T.StringType()).add("start", T.IntegerType()).add("end", T.IntegerType()))
 
 
-def _novelty(candidate: str, around: str) -> float:
-    """The marginal compressed bytes of a candidate, as a share of its length."""
-    known = zstandard.ZstdCompressionDict(
-        (IDENTIFIERS + around).encode("utf-8", "surrogatepass"), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+def _alphabet(candidate: str) -> str:
+    """The characters that a candidate looks drawn from: whole classes of letters and digits, and its own signs."""
+    own = set(candidate)
+    signs = "".join(sorted(c for c in own if not c.isalnum()))
+    letters_and_digits = own - set(signs)
+    for known in ("0123456789", "0123456789abcdef", "0123456789ABCDEF"):
+        if letters_and_digits and letters_and_digits <= set(known):
+            return known + signs
+    classes = [c for c in (string.digits, string.ascii_lowercase, string.ascii_uppercase) if own & set(c)]
+    # A ruler of signs alone is held against all characters.
+    return "".join(classes or [string.digits, string.ascii_letters]) + signs
+
+
+def _added(candidate: str, known: str) -> int:
+    """The bytes that a candidate adds when `known` and the identifiers are known."""
+    primed = zstandard.ZstdCompressionDict(
+        (IDENTIFIERS + known).encode("utf-8", "surrogatepass"), dict_type=zstandard.DICT_TYPE_RAWCONTENT
     )
-    packer = zstandard.ZstdCompressor(level=9, dict_data=known, write_checksum=False, write_dict_id=False)
-    return (len(packer.compress(candidate.encode())) - len(packer.compress(b""))) / len(candidate)
+    packer = zstandard.ZstdCompressor(level=9, dict_data=primed, write_checksum=False, write_dict_id=False)
+    return len(packer.compress(candidate.encode())) - len(packer.compress(b""))
+
+
+@lru_cache(maxsize=10_000)
+def _random_adds(length: int, alphabet: str) -> float:
+    """The bytes that random characters add: their entropy once zstandard codes them, their number while they are few."""
+    n = min(length, DRAWN)
+    return _added("".join(random.Random(n).choices(alphabet, k=n)), "") * length / n
+
+
+def _novelty(candidate: str, around: str) -> float:
+    """The marginal compressed bytes of a candidate, as a share of those of random characters of its alphabet."""
+    return _added(candidate, around) / _random_adds(len(candidate), _alphabet(candidate))
+
+
+def _around(text: str, runs: list[tuple[int, int]], index: int) -> str:
+    """The text on both sides of a run, without the runs that are copies of it or of a part."""
+    start, end = runs[index]
+    low, high = max(0, start - SURROUNDING), min(len(text), end + SURROUNDING)
+    first, last = index, index
+    while first and runs[first - 1][1] > low:
+        first -= 1
+    while last + 1 < len(runs) and runs[last + 1][0] < high:
+        last += 1
+    parts, at = [], low
+    for s, e in runs[first : last + 1]:
+        # No more of a run than can be seen, and what decides on that.
+        near = range(max(s, low - COPIED), min(e, high + COPIED) - COPIED + 1)
+        if s == start or any(text.find(text[i : i + COPIED], start, end) >= 0 for i in near):
+            parts.append(text[at : max(s, low)])
+            at = min(e, high)
+    return "".join([*parts, text[at:high]])
 
 
 def _looks_random(candidate: str) -> bool:
@@ -80,15 +132,16 @@ def scan(text: str | None) -> list[Span]:
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = sorted(found)
-    for m in CANDIDATE.finditer(text):
+    candidates = list(CANDIDATE.finditer(text))
+    runs = [m.span() for m in candidates]
+    for k, m in enumerate(candidates):
         start, end = m.span()
         if not _looks_random(m[0]) or any(s <= start and end <= e for s, _, e in base):
             continue
         line = text.rfind("\n", 0, start) + 1
         if not SENSITIVE.search(text, max(line, start - REACH), start):
             continue
-        around = text[max(0, start - SURROUNDING) : start] + text[end : end + SURROUNDING]
-        if _novelty(m[0], around) >= NOVELTY:
+        if _novelty(m[0], _around(text, runs, k)) >= NOVELTY:
             found.append((start, 3, end))
     return sorted(found)
 
