@@ -1,8 +1,9 @@
 """Secret scan: base patterns, and novelty against primed zstandard dictionaries.
 
 The base patterns find assignments, access keys and long hexadecimal strings.
-Beyond them, a candidate is a long run of key characters whose line names
-something sensitive shortly before it. Its novelty is what it adds to the
+Beyond them, a candidate is a long run of key characters that something sensitive
+is named in or around, on either side and across lines; other runs of key
+characters in between count as no distance. Its novelty is what it adds to the
 compressed size when zstandard already knows the code around it and a dictionary
 of identifiers: names and prose repeat what is known and shrink, keys do not.
 Other copies of a candidate are no code around it and make nothing known.
@@ -19,7 +20,9 @@ from __future__ import annotations
 import random
 import re
 import string
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 import zstandard
@@ -42,9 +45,7 @@ SENSITIVE = re.compile(
     r"password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private|credential|auth|bearer|signature|salt",
     re.IGNORECASE | re.ASCII,
 )
-# Characters before a candidate in which its line must name something sensitive.
-REACH = 64
-# Characters on either side that prime the dictionary.
+# Characters on either side that prime the dictionary; something sensitive must be named in as many outside of candidates.
 SURROUNDING = 512
 # The least share that a candidate must add of what random characters of its alphabet would.
 NOVELTY = 0.75
@@ -120,9 +121,27 @@ def _around(text: str, runs: list[tuple[int, int]], index: int) -> str:
     return "".join([*parts, text[at:high]])
 
 
-def _looks_random(candidate: str) -> bool:
-    """Keys mix digits with letters."""
-    return any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate)
+def _in_context(text: str, runs: list[tuple[int, int]]) -> list[int]:
+    """The runs that something sensitive is named in or around."""
+    named = [m.span() for m in SENSITIVE.finditer(text)] if runs else []
+    if not named:
+        return []
+    # Distances leave out the characters of runs: a long key is not far from its other end.
+    starts = [s for s, _ in runs]
+    inside = [0, *accumulate(e - s for s, e in runs)]  # characters of the runs before each
+
+    def place(at: int) -> int:
+        k = bisect_right(starts, at)
+        return at - inside[k] + max(0, runs[k - 1][1] - at if k else 0)
+
+    begins, ends = [place(s) for s, _ in named], [place(e) for _, e in named]
+    found = []
+    for k, (start, _) in enumerate(runs):
+        here = start - inside[k]
+        at = bisect_left(begins, here - SURROUNDING)
+        if at < len(named) and ends[at] <= here + SURROUNDING:
+            found.append(k)
+    return found
 
 
 def scan(text: str | None) -> list[Span]:
@@ -132,16 +151,12 @@ def scan(text: str | None) -> list[Span]:
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = sorted(found)
-    candidates = list(CANDIDATE.finditer(text))
-    runs = [m.span() for m in candidates]
-    for k, m in enumerate(candidates):
-        start, end = m.span()
-        if not _looks_random(m[0]) or any(s <= start and end <= e for s, _, e in base):
-            continue
-        line = text.rfind("\n", 0, start) + 1
-        if not SENSITIVE.search(text, max(line, start - REACH), start):
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    for k in _in_context(text, runs):
+        start, end = runs[k]
+        if any(s <= start and end <= e for s, _, e in base):
             continue
-        if _novelty(m[0], _around(text, runs, k)) >= NOVELTY:
+        if _novelty(text[start:end], _around(text, runs, k)) >= NOVELTY:
             found.append((start, 3, end))
     return sorted(found)
 

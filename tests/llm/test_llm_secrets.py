@@ -39,3 +39,39 @@ def test_keys_of_any_length_are_new(n, alphabet):
 def test_runs_that_repeat_themselves_are_not_new():
     for run in ("=" * 40, "=-" * 20, "ab12" * 10, "0" * 30 + "x", "getElementByIdToString0123456789"):
         assert found(f"credentials {run}") == []
+
+
+def test_every_line_of_a_private_key_is_found():
+    lines = [key(i, 64) for i in range(60)]
+    text = "\n".join(["some words", "-----BEGIN PRIVATE KEY-----", *lines, "-----END PRIVATE KEY-----"])
+    assert found(text) == lines
+    assert secret_scan.mask(text).count("[novel]") == 60
+
+
+def test_labels_on_other_lines_and_behind():
+    k = key(1)
+    assert found(f'{{"credential":\n  "{k}"}}') == [k]
+    assert found(f"credential: >-\n    {k}\n") == [k]
+    assert found(f"{k} is the passphrase") == [k]
+    assert found(f"{k}{' word' * 60}\nthe passphrase is above") == [k]
+    assert found(f"CLIENT_CREDENTIAL={k}") == [f"CLIENT_CREDENTIAL={k}"]
+    assert found(f"{k}{' word' * 110} passphrase") == found(f"passphrase {' word' * 110}{k}") == []
+
+
+@pytest.mark.parametrize("n", [40, 300, 2000])
+def test_every_part_of_a_bearer_token_is_found(n):
+    parts = [key(1, 36), key(2, n), key(3, 43)]
+    assert found(f"Bearer {'.'.join(parts)}") == parts
+
+
+@pytest.mark.parametrize("alphabet", [string.ascii_lowercase, string.ascii_letters])
+@pytest.mark.parametrize("n", [24, 64, 300, 3000])
+def test_letters_alone_are_keys_too(n, alphabet):
+    k = key(n, n, alphabet)
+    assert found(f"credentials {k}") == [k]
+
+
+def test_digits_alone_are_keys_too():
+    for n in range(16, 24):  # longer ones are hexadecimal strings
+        k = key(n, n, string.digits)
+        assert found(f"credentials {k}") == [k]
