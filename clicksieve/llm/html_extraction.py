@@ -4,7 +4,9 @@ A page becomes a tree. Its paragraphs give points for length and commas to
 their ancestors, less to remoter ones; link density discounts what an element
 has gathered. The best container is kept, with those of its siblings that read
 like it; parts of the page that are no article (menus, adverts, comments and so
-on) are taken out before.
+on) are taken out before. A part that is called so but holds most of the points
+of the page may be a wrapper: its points are discounted instead, and it is taken
+out once the best container is found elsewhere.
 
 Results in special cases: a null or empty page, or one without text, gives the
 empty string. Of equally good containers the first in the page is taken. Markup
@@ -16,6 +18,7 @@ change nothing, and an empty table gives an empty one.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -43,7 +46,7 @@ CLOSED_BY = (
     ({"thead", "tbody", "tfoot", "tr", "td", "th", "p"}, {"thead", "tbody", "tfoot"}, {"table"}),
     ({"option"}, {"option"}, {"select", "datalist"}),
 )
-# Words in a class, id or role that mark a part as no article.
+# Words that mark a part as no article, where a class, id or role is one of them,
 OTHER_PARTS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar "
@@ -51,7 +54,17 @@ OTHER_PARTS = frozenset(
     "navigation footer header masthead comment comments disqus respond replies reply pagination pager widget widgets "
     "toolbar contentinfo complementary search skip".split()
 )
+# or made of them and of these.
+AROUND_PARTS = frozenset(
+    "site page post posts entry article articles story stories main primary secondary global local sub top bottom left right "
+    "upper lower first last fixed sticky floating float mobile desktop responsive inner outer area list box block container "
+    "wrapper wrap section group holder row column col bar slot slots unit units zone panel button buttons link links icon icons "
+    "item items form field title heading label text count reader readers user users author legal info copyright policy message "
+    "tool tools media network networks google facebook twitter email mail wp js c o m by for the".split()
+)
 WHOLE = frozenset(("article", "main"))
+# The share of its points that a part called no article keeps where it holds most of the page.
+DOUBTFUL = 0.1
 MIN_PARAGRAPH = 25
 SIBLING_SHARE = 0.2
 ARTICLE_POINTS = 25.0
@@ -127,57 +140,86 @@ def _in_order(root: Node) -> list[Node]:
     return found
 
 
-def _names(node: Node) -> set[str]:
+def _is_called_other(node: Node) -> bool:
+    """Whether a class, id or role says that an element is no article."""
     named = " ".join(node.attrs.get(k, "") for k in ("class", "id", "role"))
-    return set(re.findall(r"[a-z]+", re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", named).lower()))
+    for name in re.sub(r"([a-z0-9])([A-Z])", r"\1-\2", named).lower().split():
+        words = set(re.findall(r"[^\W\d_]+", name))
+        if words & OTHER_PARTS and words <= OTHER_PARTS | AROUND_PARTS:
+            return True
+    return False
 
 
-def _is_other_part(node: Node, has_article: set[int]) -> bool:
+def _is_never_shown(node: Node) -> bool:
     if node.tag in DROPPED:
         return True
     if node.tag in ("#root", "html", "body"):
         return False
-    if "hidden" in node.attrs or node.attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", node.attrs.get("style", "")):
-        return True
-    return id(node) not in has_article and bool(_names(node) & OTHER_PARTS)
+    return "hidden" in node.attrs or node.attrs.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", node.attrs.get("style", "")))
+
+
+def _without(root: Node, gone: Callable[[Node], bool]) -> None:
+    for node in _in_order(root):
+        node.children = [c for c in node.children if isinstance(c, str) or not gone(c)]
+
 
+def _worth(node: Node) -> tuple[float, Node]:
+    """The points that the text of an element itself gives, and the first element that gets them."""
+    holds_blocks = any(isinstance(c, Node) and c.tag in BLOCKS for c in node.children)
+    is_paragraph = node.tag in PARAGRAPHS and not holds_blocks
+    above = node.parent if is_paragraph else node
+    if node.tag not in BLOCKS:
+        return 0.0, above
+    own = " ".join(_text([c for c in node.children if isinstance(c, str) or c.tag not in BLOCKS]).split())
+    if len(own) < MIN_PARAGRAPH:
+        return 0.0, above
+    return 1.0 + own.count(",") + own.count("，") + min(len(own) / 100.0, 3.0), above
 
-def prune(root: Node) -> None:
+
+def prune(root: Node) -> set[int]:
+    """Take out the parts that are no article; returns the ids of those left in doubt."""
+    _without(root, _is_never_shown)
     nodes = _in_order(root)
-    has_article: set[int] = set()  # elements around an article are no side part, whatever they are called
-    for node in nodes:
-        if node.tag in WHOLE and not _names(node) & OTHER_PARTS:
-            above = node
-            while above is not None and id(above) not in has_article:
-                has_article.add(id(above))
+    called = {id(n) for n in nodes if n.tag not in ("#root", "html", "body") and _is_called_other(n)}
+    if not called:
+        return set()
+    for node in nodes:  # elements around an article are no side part, whatever they are called
+        if node.tag in WHOLE and id(node) not in called:
+            above = node.parent
+            while above is not None:
+                called.discard(id(above))
                 above = above.parent
-    for node in nodes:
-        node.children = [c for c in node.children if isinstance(c, str) or not _is_other_part(c, has_article)]
+    held = {id(n): _worth(n)[0] for n in nodes}
+    for node in reversed(nodes):
+        if node.parent is not None:
+            held[id(node.parent)] += held[id(node)]
+    doubtful = {i for i in called if 2 * held[i] > held[id(root)]}
+    _without(root, lambda n: id(n) in called and id(n) not in doubtful)
+    return doubtful
 
 
-def score(root: Node) -> list[Node]:
+def score(root: Node, doubtful: set[int] = frozenset()) -> list[Node]:
     """Give every element its points; returns the elements in page order."""
     nodes = _in_order(root)
+    discounted: set[int] = set()
     for node in reversed(nodes):
         own = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
         below = [c for c in node.children if isinstance(c, Node)]
         node.size = own + sum(c.size for c in below)
         node.linked = node.size if node.tag == "a" else sum(c.linked for c in below)
     for node in nodes:
-        holds_blocks = any(isinstance(c, Node) and c.tag in BLOCKS for c in node.children)
-        own = " ".join(_text([c for c in node.children if isinstance(c, str) or c.tag not in BLOCKS]).split())
-        is_paragraph = node.tag in PARAGRAPHS and not holds_blocks
-        is_bare_text = node.tag in BLOCKS and not is_paragraph
-        if not (is_paragraph or is_bare_text) or len(own) < MIN_PARAGRAPH:
+        if id(node) in doubtful or node.parent is not None and id(node.parent) in discounted:
+            discounted.add(id(node))
+        points, above = _worth(node)
+        if not points:
             continue
-        points = 1.0 + own.count(",") + own.count("，") + min(len(own) / 100.0, 3.0)
-        above, level = (node.parent if is_paragraph else node), 0
+        points, level = points * (DOUBTFUL if id(node) in discounted else 1.0), 0
         while above is not None and level < 5:
             above.points += points / (1, 2, 6, 9, 12)[level]
             above, level = above.parent, level + 1
     for node in nodes:
         if node.tag in WHOLE and node.size:
-            node.points += ARTICLE_POINTS
+            node.points += ARTICLE_POINTS * (DOUBTFUL if id(node) in discounted else 1.0)
         node.points *= 1.0 - (node.linked / node.size if node.size else 0.0)
     return nodes
 
@@ -225,8 +267,14 @@ def extract(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
-    prune(root)
-    best = _best(score(root))
+    doubtful = prune(root)
+    best = _best(score(root, doubtful))
+    if doubtful:
+        above = best
+        while above is not None:
+            doubtful.discard(id(above))
+            above = above.parent
+        _without(root, lambda n: id(n) in doubtful)
     if best.parent is None or best.tag in WHOLE or best.tag == "body":
         kept: list[Node | str] = [best]
     else:
