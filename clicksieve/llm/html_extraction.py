@@ -262,6 +262,32 @@ def _text(parts: list[Node | str]) -> str:
     return "".join(out)
 
 
+def _kept(best: Node) -> list[Node | str]:
+    """The best container with its siblings that read like it, and the text between them."""
+    if best.parent is None or best.tag == "body":
+        return [best]
+    kept: list[Node | str] = []
+    line: list[Node | str] = []  # text and inline elements in a row
+
+    def end_line() -> None:
+        size = sum(len(" ".join(c.split())) if isinstance(c, str) else c.size for c in line)
+        linked = sum(c.linked for c in line if isinstance(c, Node))
+        # Rows of links are menus; spaces keep words of kept blocks apart.
+        if 2 * linked < size or not size:
+            kept.extend(line)
+        line.clear()
+
+    for child in best.parent.children:
+        if isinstance(child, str) or child is not best and child.tag not in BLOCKS and child.points < max(3.0, SIBLING_SHARE * best.points):
+            line.append(child)
+            continue
+        end_line()
+        if child is best or _reads_alike(child, best):
+            kept.append(child)
+    end_line()
+    return kept
+
+
 def extract(html: str | None) -> str:
     """The main text of one page."""
     if not html:
@@ -275,11 +301,7 @@ def extract(html: str | None) -> str:
             doubtful.discard(id(above))
             above = above.parent
         _without(root, lambda n: id(n) in doubtful)
-    if best.parent is None or best.tag in WHOLE or best.tag == "body":
-        kept: list[Node | str] = [best]
-    else:
-        kept = [c for c in best.parent.children if c is best or isinstance(c, Node) and _reads_alike(c, best)]
-    return " ".join(_text(kept).split())
+    return " ".join(_text(_kept(best)).split())
 
 
 @F.pandas_udf(T.StringType())

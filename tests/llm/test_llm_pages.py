@@ -35,3 +35,24 @@ def test_other_parts_are_taken_out_however_long(name, times):
     assert html_extraction.extract(page) == TEXT
     page = f'<body><div id="content">{BODY}<div class="{name}">{f"<p>{SIDE}</p>" * times}</div></div></body>'
     assert html_extraction.extract(page) == TEXT
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<article><p>{LONG}</p></article><article><p>{LONG}</p><p>{LONG}</p></article>",
+        f"<article><p>{LONG}</p><p>{LONG}</p></article><div><p>{LONG}</p></div>",
+        f"<div><main><p>{LONG}</p><p>{LONG}</p></main><div>{LONG}</div></div>",
+        f"<article><p>{LONG}</p><p>{LONG}</p></article>{LONG}",
+    ],
+)
+def test_an_article_goes_on_in_siblings(page):
+    menu = '<div><a href="/">Home</a> <a href="/x">News</a></div>'
+    assert html_extraction.extract(f"<body>{menu}{page}<footer>End</footer></body>") == TEXT
+
+
+def test_text_and_inline_elements_beside_the_best_are_kept():
+    page = f"<div>Lead <b>text</b>. <div class=body>{BODY}</div> Closing <em>text</em> <a href='/'>here</a>.</div>"
+    assert html_extraction.extract(page) == f"Lead text. {TEXT} Closing text here."
+    page = f"<body><div><a href='/'>Home</a> | <a href='/x'>News</a><div class=body>{BODY}</div><span>The end.</span></div></body>"
+    assert html_extraction.extract(page) == f"{TEXT} The end."
