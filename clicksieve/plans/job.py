@@ -27,12 +27,14 @@ def run_job(
     folder: str,
     rules: Rules | None = None,
     trigger: str | None = ROLL_INTERVAL,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the query on a stream of events, or of decoded messages, and return it.
 
     With `trigger=None` it runs over what is available and has ended on return.
     Every micro-batch takes part in all outputs, so `trigger` is both how often
-    detectors run and how often files are closed.
+    detectors run and how often files are closed. With `partitions`, the number
+    of those of all topics, detectors wait until each has passed a record's time.
     """
     decoded = isinstance(source, Decoded)
     rows = source.parsed if decoded else source
@@ -49,7 +51,7 @@ def run_job(
     def totals(staged: DataFrame, flagged: dict[str, DataFrame], batch_id: int) -> None:
         add_totals(staged, flagged, f"{folder}/totals", batch_id)
 
-    writer = detect_stream(rows, f"{folder}/work", outputs, rules, save_log, also, totals, "good" if decoded else None)
+    writer = detect_stream(rows, f"{folder}/work", outputs, rules, save_log, also, totals, "good" if decoded else None, partitions)
     query = triggered(writer, trigger).start()
     if trigger is None:
         query.awaitTermination()

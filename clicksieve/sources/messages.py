@@ -73,21 +73,37 @@ def arrival_order(topics: tuple[str, ...] = TOPICS) -> Column:
     return (seq + F.col("offset").cast("decimal(18,0)")).cast("decimal(38,0)")
 
 
+def record_millis(seq: str) -> Column:
+    """The record time in a number of `arrival_order`."""
+    return F.substring(F.lpad(F.col(seq).cast("decimal(38,0)").cast("string"), 38, "0"), 1, 14).cast("long")
+
+
+def record_place(seq: str) -> Column:
+    """Topic and partition in a number of `arrival_order`."""
+    digits = F.lpad(F.col(seq).cast("decimal(38,0)").cast("string"), 38, "0")
+    return F.substring(digits, 15, 6)
+
+
 def kafka_records(
     spark: SparkSession,
     servers: str,
     topics: tuple[str, ...] = TOPICS,
     starting_offsets: str = "latest",
-    records_per_batch: int = 10_000_000,
+    records_per_batch: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """The topics as one stream of Kafka records. Needs the Kafka connector on the class path."""
+    """The topics as one stream of Kafka records. Needs the Kafka connector on the class path.
+
+    Without `records_per_batch` a backlog is one micro-batch, in order of record
+    time. With it, name the partitions to `run_job`, or results depend on it.
+    """
+    if records_per_batch is not None:
+        options["maxOffsetsPerTrigger"] = str(records_per_batch)
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", starting_offsets)
-        .option("maxOffsetsPerTrigger", records_per_batch)
         .options(**options)
         .load()
     )

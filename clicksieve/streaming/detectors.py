@@ -10,6 +10,9 @@ touched, and what is no longer needed is removed.
 
 Within a micro-batch events are taken in order of `seq`; a later micro-batch
 counts as later arrival. Large keys of a micro-batch are split as in batch runs.
+Where `partitions` says how many the source has, rows wait in a table until each
+of them has passed their record time, so that limits on micro-batches change no
+result; a partition without records holds all rows back.
 
 A micro-batch is complete once its mark is written. One that failed is repeated
 from the start: everything it writes replaces what the failed attempt left. A
@@ -42,6 +45,7 @@ from clicksieve.schema import (
     WINDOW_SECONDS,
 )
 from clicksieve.session import path_exists, remove_path
+from clicksieve.sources.messages import record_millis, record_place
 from clicksieve.streaming.sinks import save_table
 
 PATTERNS = {PATTERN_1: "uid", PATTERN_2: "impression_id", PATTERN_3: "ip"}
@@ -154,6 +158,27 @@ class Carried:
         row = (mark.begin, mark.watermark, mark.bases, mark.base_rows, mark.version_rows)
         self.spark.createDataFrame([row], MARK).coalesce(1).write.mode("overwrite").parquet(self.mark_path(batch_id))
 
+    def held_path(self, batch_id: int) -> str:
+        return f"{self.folder}/held/batch={batch_id}"
+
+    def heads_path(self, batch_id: int) -> str:
+        return f"{self.folder}/heads/batch={batch_id}"
+
+    def passed(self, events: DataFrame, batch_id: int, partitions: int) -> DataFrame:
+        """The rows, held ones included, whose record time all partitions have passed; others are held."""
+        place, millis = record_place("seq").alias("place"), record_millis("seq")
+        heads = events.groupBy(place).agg(F.max(millis).alias("millis"))
+        if batch_id > 0:
+            heads = heads.unionByName(self.spark.read.schema(heads.schema).parquet(self.heads_path(batch_id - 1)))
+            events = events.unionByName(self.spark.read.schema(events.schema).parquet(self.held_path(batch_id - 1)))
+        heads = heads.groupBy("place").agg(F.max("millis").alias("millis"))
+        heads.coalesce(1).write.mode("overwrite").parquet(self.heads_path(batch_id))
+        written = self.spark.read.schema(heads.schema).parquet(self.heads_path(batch_id))
+        seen = written.agg(F.count("*").alias("n"), F.min("millis").alias("least")).first()
+        over = millis < F.lit(seen["least"]) if seen["n"] >= partitions else F.lit(False)
+        events.where(~over).write.mode("overwrite").parquet(self.held_path(batch_id))
+        return events.where(over)
+
     def state(self, pattern: str, base: int, batch_id: int) -> DataFrame:
         """All versions from the snapshot of micro-batch `base` to before `batch_id`."""
         paths = [self.state_path(pattern, b) for b in range(base, batch_id)]
@@ -228,12 +253,15 @@ def advance(
     also: Callable[[DataFrame, int], None] | None = None,
     totals: Callable[[DataFrame, dict[str, DataFrame], int], None] | None = None,
     good: str | None = None,
+    partitions: int | None = None,
 ) -> None:
     """Take one micro-batch through the detectors of `outputs`, a folder for each pattern.
 
     `also` is called with the rows as they were written out; `totals` with the
     events and the flagged clicks of each pattern. Where `good` names a column,
-    only rows for which it holds are events.
+    only rows for which it holds are events. With `partitions`, `seq` has to be
+    that of `sources.messages.arrival_order`, and detectors take rows in record
+    time; `also` and the events of `totals` don't wait.
     """
     spark = batch.sparkSession
     kept = Carried(spark, folder)
@@ -244,7 +272,9 @@ def advance(
     staged = spark.read.schema(batch.schema).parquet(kept.staged_path(batch_id))
     if also:
         also(staged, batch_id)
-    events = (staged.where(good) if good else staged).select(*ORDERED_COLUMNS)
+    arrived = events = (staged.where(good) if good else staged).select(*ORDERED_COLUMNS)
+    if partitions:
+        events = kept.passed(arrived, batch_id, partitions)
     mark = Mark(before.begin, before.watermark, dict(before.bases), dict(before.base_rows), dict(before.version_rows))
     numbers = events.agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"), F.max("timestamp").alias("last")).first()
     if numbers["n"]:
@@ -285,13 +315,16 @@ def advance(
         else:
             mark.version_rows[pattern] = mark.version_rows.get(pattern, 0) + n
     if totals:
-        totals(events, flagged, batch_id)
+        totals(arrived, flagged, batch_id)
     for judged in judgements:
         judged.unpersist()
     kept.write_mark(batch_id, mark)
     # The mark of this micro-batch makes all this superfluous.
     remove_path(spark, kept.staged_path(batch_id))
     remove_path(spark, kept.mark_path(batch_id - 2))
+    if partitions:
+        for path in (kept.held_path, kept.heads_path):
+            remove_path(spark, path(batch_id - 2))
     for pattern in outputs:
         for b in range(before.bases.get(pattern, 0), mark.bases.get(pattern, 0)):
             remove_path(spark, kept.state_path(pattern, b))
@@ -312,15 +345,16 @@ def detect_stream(
     also: Callable[[DataFrame, int], None] | None = None,
     totals: Callable[[DataFrame, dict[str, DataFrame], int], None] | None = None,
     good: str | None = None,
+    partitions: int | None = None,
 ) -> DataStreamWriter:
     """The detectors of `outputs` (pattern: folder for its flagged clicks) on a stream of events.
 
     One query reads the stream, so all outputs cover the same events. See
-    `advance` for `also`, `totals` and `good`.
+    `advance` for `also`, `totals`, `good` and `partitions`.
     """
     rules = rules or Rules()
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        advance(batch, batch_id, f"{folder}/carried", outputs, rules, save, also, totals, good)
+        advance(batch, batch_id, f"{folder}/carried", outputs, rules, save, also, totals, good, partitions)
 
     return events.writeStream.foreachBatch(one_batch).option("checkpointLocation", f"{folder}/checkpoint")
