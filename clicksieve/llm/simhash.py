@@ -233,13 +233,21 @@ def cluster(
 def keep_first(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """One document of each component, that of the smallest doc_id, with all its columns.
 
-    Of rows that share this doc_id one is kept. Where no row of a component has
-    a doc_id, one of its rows is kept.
+    Of rows of a component that share this doc_id one is kept, whatever other
+    components have. Where no row of a component has a doc_id, one of its rows is
+    kept.
     """
     columns = docs.columns
     marked, named = _clustered(docs.select("doc_id", "text"), max_distance)
-    firsts = named.where("component_id is not null").select(F.col("component_id").alias("doc_id")).distinct()
-    with_id = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # A doc_id may stand for different texts, so the fingerprint tells which component a row is of.
+    firsts = (
+        marked.join(named.where("component_id is not null"), "node")
+        .where("doc_id = component_id")
+        .groupBy("root")
+        .agg(F.min(F.struct("doc_id", "node")).alias("first"))
+        .select("first.doc_id", F.col("first.node").alias("__node"))
+    )
+    with_id = docs.withColumn("__node", fingerprint3("text")).join(firsts, ["doc_id", "__node"], "left_semi").dropDuplicates(["doc_id", "__node"])
     nameless = named.where("component_id is null").select(F.col("node").alias("__node"), F.col("root").alias("__root"))
     without_id = (
         docs.where(F.col("doc_id").isNull())
