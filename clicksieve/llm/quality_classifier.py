@@ -204,8 +204,11 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_la
     chosen = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     texts = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     # `chosen` holds max_labelled rows of two numbers, give or take chance.
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", ngram_sets("text").alias("ngrams"))
-    found = rows.toPandas().sort_values(["doc_id", "label"], kind="stable")
+    # Copies of a row neither come to the driver nor weigh more.
+    joined = texts.join(F.broadcast(chosen), "doc_id").withColumn("digest", F.sha2("text", 256))
+    once = joined.dropDuplicates(["doc_id", "label", "digest"])
+    rows = once.select("doc_id", "label", "digest", ngram_sets("text").alias("ngrams"))
+    found = rows.toPandas().sort_values(["doc_id", "label", "digest"], kind="stable")
     return train([np.asarray(x) for x in found["ngrams"]], found["label"].to_numpy(np.int64) == 1)
 
 
