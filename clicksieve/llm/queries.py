@@ -12,15 +12,18 @@ from clicksieve.llm import (
     byte_bpe,
     decontamination,
     html_extraction,
+    hard_negatives,
     language_id,
+    line_dedup,
     quality_classifier,
     quality_rules,
     secret_scan,
     sharding,
     simhash,
+    source_audit,
     token_counts,
 )
-from clicksieve.llm.common import read_table
+from clicksieve.llm.common import read_table, utf8
 from clicksieve.llm.sql import oracle_sql  # noqa: F401 - queries() and oracle_sql() are taken from here
 from clicksieve.session import new_run_folder
 
@@ -109,6 +112,23 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    # Fixed rule: every seventh row changes its label.
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    relabelled = rows.withColumn("label", label)
+    return hard_negatives.mine(relabelled, "vec_id", "embedding", "label", is_anchor=F.col("vec_id") % 100 == 0)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(utf8(F.col("text")), 256).alias("kept_sha256"))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -121,4 +141,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_html_extraction": op10_html_extraction,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_line_dedup": op12_line_dedup,
+        "op13_source_audit": op13_source_audit,
     }

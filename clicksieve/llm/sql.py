@@ -1,7 +1,11 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from clicksieve.llm.hard_negatives import LOW_PERCENT, NEGATIVES, POSITIVES, SCALE
+from clicksieve.llm.line_dedup import MIN_CHARS, MIN_DOCUMENTS
 from clicksieve.llm.quality_rules import LENGTHS, MAX_LINE_SHARE, MAX_NGRAM_SHARE, MAX_REPEATED_PERCENT, MIN_WORDS
 from clicksieve.llm.sharding import N_SHARDS, ROW_BYTES
+from clicksieve.llm.source_audit import MIN_DOCUMENTS as AUDIT_DOCUMENTS
+from clicksieve.llm.source_audit import TOP_TERMS, UNIT
 
 # CRC-32 of each half byte.
 CRC_OF_NIBBLE = (
@@ -75,5 +79,74 @@ judged as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT
 select *, not base_failed and ngram_share <= {MAX_NGRAM_SHARE} and line_share <= {MAX_LINE_SHARE} as kept from judged"""
 
 
+# Each scored pair by the inner product of whole numbers; the windows hold whatever the order of the scores.
+HARD_NEGATIVES = f"""
+with whole as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.r as anchor, a.vec_id as anchor_id, b.r, b.vec_id, a.label = b.label as same,
+         list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::bigint as score
+  from whole a join whole b on a.r <> b.r where a.vec_id % 100 = 0),
+near as (
+  select * from (select anchor, anchor_id, r as positive, vec_id as positive_id, score as positive_score,
+                        row_number() over (partition by anchor order by score desc, vec_id, r) as place from scored where same)
+  where place <= {POSITIVES}),
+hard as (
+  select near.*, vec_id as negative_id, score as negative_score,
+         row_number() over (partition by near.anchor, positive order by score desc, vec_id, r) as rank
+  from near join scored on near.anchor = scored.anchor and not same
+    and {LOW_PERCENT} * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from hard where rank <= {NEGATIVES}"""
+
+WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+LINE_DEDUP = f"""
+with docs as (select row_number() over () as doc, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+text_lines as (select doc, doc_id, ln, pos, translate(trim(ln, {WHITE}), {LOWER}) as key
+  from (select doc, doc_id, unnest(lines) as ln, generate_subscripts(lines, 1) as pos from docs)),
+held as (select key, min(doc_id) as owner from text_lines where length(key) >= {MIN_CHARS}
+  group by key having count(distinct doc_id) >= {MIN_DOCUMENTS}),
+marked as (select text_lines.*, owner is not null and owner <> doc_id as gone from text_lines left join held using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(ln, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from marked group by doc, doc_id"""
+
+SOURCE_AUDIT = f"""
+with docs as (select row_number() over () as doc, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source from documents),
+found as (select doc, lang, source, unnest(regexp_extract_all(translate(text, {LOWER}), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from docs),
+kept as (select lang, term, count(*) as lang_n from found group by all having count(distinct doc) >= {AUDIT_DOCUMENTS}),
+sized as (select lang, count(*) as v, sum(lang_n) as lang_total from kept group by lang),
+counted as (select lang, source, term, count(*) as n from found join kept using (lang, term) group by all),
+groups as (select lang, source, coalesce(v, 0)::hugeint as v, coalesce(lang_total, 0)::hugeint as lang_total, coalesce(total, 0)::hugeint as total
+  from (select distinct lang, source from docs) left join sized using (lang)
+  left join (select lang, source, sum(n) as total from counted group by all) using (lang, source)),
+shares as (select lang, source, term, coalesce(n, 0) as n, 1 + {UNIT} * (coalesce(n, 0)::hugeint + 2) // (total + 2 * v) as p,
+    1 + {UNIT} * (lang_n::hugeint + 2) // (lang_total + 2 * v) as q
+  from groups join kept using (lang) left join counted using (lang, source, term)),
+pairs as (select a.lang, a.source, b.source as item, coalesce(value, 0) as value from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join (select x.lang, x.source as one, y.source as other, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) as value
+    from shares x join shares y on x.lang = y.lang and x.term = y.term group by all) as sums
+  on a.lang = sums.lang and one = a.source and other = b.source),
+ranked as (
+  select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from pairs
+  union all
+  select * from (
+    select lang, source, 'term' as part, term as item, (p - q) * (p - q) // (p + q) as value,
+           row_number() over (partition by lang, source order by (p - q) * (p - q) // (p + q) desc, term) as rank
+    from shares where n > 0 and p > q) where rank <= {TOP_TERMS})
+select lang, source, part, item, value::bigint as value, rank::int as rank from ranked"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": SHARDING, "op8_quality_rules": QUALITY_RULES}
+    return {
+        "op4_sharding": SHARDING,
+        "op8_quality_rules": QUALITY_RULES,
+        "op11_hard_negatives": HARD_NEGATIVES,
+        "op12_line_dedup": LINE_DEDUP,
+        "op13_source_audit": SOURCE_AUDIT,
+    }

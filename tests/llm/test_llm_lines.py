@@ -1,0 +1,111 @@
+"""Line dedup: the perfect hash, both ways to look lines up, and odd rows."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+from clicksieve.llm import line_dedup, queries
+from samples import SF_SMALL, documents, no_documents, odd_documents
+
+
+def brute(rows, min_documents=2):
+    """(doc_id, kept text, lines, dropped) of (doc_id, text) rows."""
+
+    def key(line):
+        key = re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\x0b\x0c\r"))
+        return key if len(key) >= 10 else None
+
+    last = 1 << 63
+    owners = defaultdict(set)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if key(line) is not None:
+                owners[key(line)].add(last if i is None else i)
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [
+            line
+            for line in lines
+            if len(owners.get(key(line), ())) < min_documents or min(owners[key(line)]) == (last if i is None else i)
+        ]
+        out.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return Counter(out)
+
+
+def result(df):
+    return Counter((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in df.collect())
+
+
+def test_query_against_brute_force_and_sql(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    expected = Counter((i, n, gone, hashlib.sha256(text.encode()).hexdigest()) for i, text, n, gone in brute(rows))
+    found = queries.op12_line_dedup(spark, SF_SMALL).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+    assert Counter(map(tuple, found.collect())) == expected
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{SF_SMALL}/documents.parquet'")
+    sql = con.sql(queries.oracle_sql()["op12_line_dedup"]).select("doc_id, n_lines, n_dropped, kept_sha256")
+    assert Counter(sql.fetchall()) == expected
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 63, 1000, 30_000])
+def test_every_hash_has_a_place_of_its_own(n):
+    draw = np.random.default_rng(n)
+    high, low = (draw.integers(-(1 << 63), 1 << 63, n, dtype=np.int64) for _ in range(2))
+    high[: n // 2] %= 1000  # equal halves are told apart by the other ones
+    high[n // 2 :], low[n // 2 :] = high[n // 2 :], low[n // 2 :] % 977 if n < 1000 else low[n // 2 :]
+    places = line_dedup.Places.of(high, low)
+    assert sorted(places.find(high, low).tolist()) == list(range(n))
+    shard = line_dedup.Shard.of(high, low, np.full(n, 2), np.arange(n))
+    read = line_dedup.Shard.read(shard.written())
+    assert read.dropped(high, low, np.full(n, -1), 2).all()
+    assert not read.dropped(high, low, np.arange(n), 2).any()
+    assert not read.dropped(high, low, np.full(n, -1), 3).any()
+    # What is not in the shard is told by its fingerprint.
+    assert not read.dropped(high, low ^ 1 << 40, np.full(n, -1), 2).any()
+
+
+REPEATED = "a line that many documents have"
+TEXTS = [
+    f"first\n{REPEATED}\nown words of this",
+    f"  {REPEATED.upper()}\t\nzweite Zeile, recht lang\nshort one\n{REPEATED}",
+    f"{REPEATED}\r\n\n{REPEATED} ",
+    "short one\nzweite Zeile, recht lang\n",
+    "ÄÖÜäöüÄÖÜ\nÄÖÜäöüÄÖÜß\n\x1c ten chars\x1c",
+    "ÄÖÜäöüÄÖÜ\nÄÖÜäöüÄÖÜß\näöüäöüäöüß\n\x1c ten chars\x1c",
+    *[f"{REPEATED}\nonly here {i} and nowhere else" for i in range(40)],
+    "",
+    None,
+]
+
+WAYS = [{}, {"limit": 0}, {"limit": 0, "shard_hashes": 1, "group_hashes": 7}, {"shard_hashes": 2}, {"min_documents": 3}, {"min_documents": 3, "limit": 0}]
+
+
+@pytest.mark.parametrize("way", WAYS, ids=str)
+def test_both_ways_to_look_up(spark, way):
+    rows = list(enumerate(TEXTS))[::-1]
+    found = line_dedup.drop_repeated_lines(documents(spark, TEXTS).repartition(4), **way)
+    assert result(found) == brute(rows, way.get("min_documents", 2))
+
+
+@pytest.mark.parametrize("way", [{}, {"limit": 0, "shard_hashes": 2}], ids=str)
+def test_odd_rows(spark, way):
+    docs = odd_documents(spark)
+    found = line_dedup.drop_repeated_lines(docs, **way)
+    assert result(found) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert found.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    assert line_dedup.drop_repeated_lines(no_documents(spark), **way).collect() == []
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    rows = [(7, REPEATED), (7, REPEATED), (None, "written without an id"), (None, "written without an id")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    assert result(line_dedup.drop_repeated_lines(docs)) == Counter((i, t, 1, 0) for i, t in rows)
+    rows += [(9, REPEATED), (9, "written without an id")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    for way in WAYS[:3]:
+        assert result(line_dedup.drop_repeated_lines(docs, **way)) == brute(rows)
