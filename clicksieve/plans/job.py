@@ -3,23 +3,44 @@
 One query reads the source. Each micro-batch is written out once, and the log
 of all events, the rejected messages, the detectors' logs and the totals are all
 made from that, so they cover the same events however often it is restarted.
+Readers see a micro-batch in all outputs or in none.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clicksieve.operators.counts import pattern_totals, type_totals
 from clicksieve.plans.report import Detection, report_lines
 from clicksieve.session import path_exists, remove_path
 from clicksieve.sources.messages import Decoded
-from clicksieve.sources.textlog import OUTPUTS, read_bucket
-from clicksieve.streaming.detectors import PATTERNS, Rules, detect_stream
+from clicksieve.sources.textlog import OUTPUTS
+from clicksieve.streaming.commits import last_commit, read_versions
+from clicksieve.streaming.detectors import PATTERNS, Arrival, Outputs, Rules, detect_stream, flush
+from clicksieve.streaming.logs import FILE_BYTES, compact, read_output
 from clicksieve.streaming.sinks import ROLL_INTERVAL, save_log, triggered
 
 TOTALS = "pattern string, event_type string, n long"
+REJECTED = T.StructType([T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
+
+
+def job_outputs(source: DataFrame | Decoded, folder: str) -> Outputs:
+    """The four logs, the rejected messages and the totals below a folder."""
+    decoded = isinstance(source, Decoded)
+
+    def also(staged: DataFrame, batch_id: int) -> None:
+        rejected = staged.where("not good").select("seq", "value")
+        rejected.write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch_id}")
+
+    def totals(events: DataFrame, flagged: dict[str, DataFrame], batch_id: int) -> None:
+        save_log(events, f"{folder}/{OUTPUTS['all']}", batch_id)
+        add_totals(events, flagged, f"{folder}/totals", batch_id)
+
+    logs = {pattern: f"{folder}/{OUTPUTS[pattern]}" for pattern in PATTERNS}
+    return Outputs(logs, save_log, also if decoded else None, totals, "good" if decoded else None)
 
 
 def run_job(
@@ -27,37 +48,32 @@ def run_job(
     folder: str,
     rules: Rules | None = None,
     trigger: str | None = ROLL_INTERVAL,
-    partitions: int | None = None,
+    arrival: Arrival | None = None,
 ) -> StreamingQuery:
     """Start the query on a stream of events, or of decoded messages, and return it.
 
-    With `trigger=None` it runs over what is available and has ended on return.
-    Every micro-batch takes part in all outputs, so `trigger` is both how often
-    detectors run and how often files are closed. With `partitions`, the number
-    of those of all topics, detectors wait until each has passed a record's time.
+    With `trigger=None` it runs over what is available, takes the input as ended
+    and has ended itself on return. Every micro-batch takes part in all outputs,
+    so `trigger` is both how often detectors run and how often files are closed.
+    With `arrival`, events wait until all partitions have passed their time; no
+    output but the rejected messages has them before.
     """
-    decoded = isinstance(source, Decoded)
-    rows = source.parsed if decoded else source
-    outputs = {pattern: f"{folder}/{OUTPUTS[pattern]}" for pattern in PATTERNS}
-
-    def also(staged: DataFrame, batch_id: int) -> None:
-        events = staged
-        if decoded:
-            rejected = staged.where("not good").select("seq", "value")
-            rejected.write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch_id}")
-            events = staged.where("good")
-        save_log(events, f"{folder}/{OUTPUTS['all']}", batch_id)
-
-    def totals(staged: DataFrame, flagged: dict[str, DataFrame], batch_id: int) -> None:
-        add_totals(staged, flagged, f"{folder}/totals", batch_id)
-
-    writer = detect_stream(rows, f"{folder}/work", outputs, rules, save_log, also, totals, "good" if decoded else None, partitions)
-    query = triggered(writer, trigger).start()
+    rows = source.parsed if isinstance(source, Decoded) else source
+    rules, outputs, work = rules or Rules(), job_outputs(source, folder), f"{folder}/work"
+    query = triggered(detect_stream(rows, work, outputs, rules, arrival), trigger).start()
     if trigger is None:
         query.awaitTermination()
+        if arrival:
+            like = rows.sparkSession.createDataFrame([], rows.schema)
+            flush(like, work, outputs, rules, arrival)
     return query
 
 
+def complete(spark: SparkSession, folder: str) -> int:
+    """The last micro-batch that all outputs have; readers see nothing after it."""
+    return last_commit(spark, f"{folder}/work")
+
+
 def add_totals(events: DataFrame, flagged: dict[str, DataFrame], folder: str, batch_id: int) -> None:
     """Write the totals up to and including a micro-batch; those before the last but one go."""
     spark = events.sparkSession
@@ -74,21 +90,30 @@ def add_totals(events: DataFrame, flagged: dict[str, DataFrame], folder: str, ba
 
 
 def read_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """The totals after the last micro-batch: events per type, and flagged clicks per pattern and type."""
-    root = f"{folder}/totals"
-    if not path_exists(spark, root):
-        return spark.createDataFrame([], TOTALS)
-    rows = spark.read.schema(f"{TOTALS}, batch long").parquet(root)
-    return rows.where(F.col("batch") == rows.agg(F.max("batch")).first()[0]).select("pattern", "event_type", "n")
+    """The totals so far: events per type, and flagged clicks per pattern and type."""
+    path = f"{folder}/totals/batch={complete(spark, folder)}"
+    return spark.read.schema(TOTALS).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], TOTALS)
 
 
 def read_rejected(spark: SparkSession, folder: str) -> DataFrame:
     """The messages that are no events, as they came."""
-    return spark.read.parquet(f"{folder}/rejected").select("seq", "value")
+    path = f"{folder}/rejected"
+    schema = spark.read.parquet(path).drop("batch").schema if path_exists(spark, path) else REJECTED
+    return read_versions(spark, path, schema, complete(spark, folder))
+
+
+def read_log(spark: SparkSession, folder: str, output: str, bucket: str | None = None) -> DataFrame:
+    """The events of an output (`all` or a pattern), or of one hour of it."""
+    return read_output(spark, folder, output, complete(spark, folder), bucket).events
+
+
+def compact_logs(spark: SparkSession, folder: str, before: str, file_bytes: int = FILE_BYTES) -> dict[tuple[str, str], int]:
+    """Bring the logs of the hours before bucket `before` into few files; see `streaming.logs`."""
+    return compact(spark, folder, before, complete(spark, folder), file_bytes)
 
 
 def hour_report(spark: SparkSession, folder: str, bucket: str) -> DataFrame:
-    """The report on one hour of the outputs, e.g. bucket 2021-07-08--16."""
-    events = read_bucket(spark, folder, "all", bucket).events
-    flagged = [read_bucket(spark, folder, pattern, bucket).events for pattern in PATTERNS]
+    """The report on one hour of the outputs, e.g. bucket 2021-07-08--16, as of one micro-batch for all of them."""
+    last = complete(spark, folder)
+    events, *flagged = (read_output(spark, folder, output, last, bucket).events for output in ("all", *PATTERNS))
     return report_lines(Detection(events, *flagged))

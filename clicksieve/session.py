@@ -71,6 +71,24 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(named, True)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names of what is in a folder; none where there is no folder."""
+    named, files = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(named)] if files.exists(named) else []
+
+
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """The bytes of all files below a folder."""
+    named, files = _file_system(spark, path)
+    return files.getContentSummary(named).getLength()
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, whether it is there already or not."""
+    named, files = _file_system(spark, path)
+    files.create(named, True).close()
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute `df` once into the shared folder and read it from there afterwards."""
     shared_folder(df.sparkSession)

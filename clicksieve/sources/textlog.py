@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from clicksieve.functions.columns import has_time
 from clicksieve.schema import EVENT_COLUMNS
+from clicksieve.session import names_in
 from clicksieve.sources.messages import Decoded
 
 # Fixed value: the format of a log line.
@@ -57,9 +58,16 @@ def read_log(spark: SparkSession, path: str) -> Decoded:
     return parse_lines(spark.read.text(path))
 
 
+def bucket_lines(spark: SparkSession, path: str, bucket: str | None = None) -> DataFrame:
+    """The lines below hourly folders with the folders they stand in; other hours than `bucket` are not read."""
+    # Without a single line there are no hourly folders, or none at all.
+    folders = [name for name in names_in(spark, path) if name.startswith("bucket=")]
+    if not folders:
+        return spark.createDataFrame([], "value string, bucket string, batch long")
+    lines = spark.read.schema("value string, bucket string, batch long").text(path)
+    return lines if bucket is None else lines.where(F.col("bucket") == bucket)
+
+
 def read_bucket(spark: SparkSession, root: str, output: str, bucket: str) -> Decoded:
     """The events of one output in one hour, e.g. bucket 2021-07-08--16; other hours are not read."""
-    lines = spark.read.text(f"{root}/{OUTPUTS[output]}")
-    # An output without a single line has no hourly folders.
-    in_hour = F.col("bucket") == bucket if "bucket" in lines.columns else F.lit(False)
-    return parse_lines(lines.where(in_hour))
+    return parse_lines(bucket_lines(spark, f"{root}/{OUTPUTS[output]}", bucket))

@@ -1,7 +1,11 @@
-"""The detectors on streams, with state carried from micro-batch to micro-batch in tables.
+"""The detectors on streams: one query reads the source and feeds all outputs.
 
-Every micro-batch is written out once and then judged by the code of the batch
-detectors: what a key brings along (running numbers of its windows, and whether
+The documented rules run on Spark's own state, see `stateful`. The window of
+`as_coded` is shared by all keys and opened by an event, which no state of a key
+can tell; its state is carried from micro-batch to micro-batch in tables.
+
+There, every micro-batch is written out once and then judged by the code of the
+batch detectors: what a key brings along (running numbers of its windows, and whether
 it is suspicious for good) goes in front of its events as a row of its own. What
 the micro-batch has changed is appended to a state table; readers take the
 latest version of each key. When the appended versions outgrow the last
@@ -10,19 +14,23 @@ touched, and what is no longer needed is removed.
 
 Within a micro-batch events are taken in order of `seq`; a later micro-batch
 counts as later arrival. Large keys of a micro-batch are split as in batch runs.
-Where `partitions` says how many the source has, rows wait in a table until each
-of them has passed their record time, so that limits on micro-batches change no
-result; a partition without records holds all rows back.
-
-A micro-batch is complete once its mark is written. One that failed is repeated
-from the start: everything it writes replaces what the failed attempt left. A
-micro-batch whose predecessor has no mark raises, as its state is unknown.
+Where `Arrival` says how many partitions the source has, rows wait in a table
+until each of them has passed their record time, so that limits on micro-batches
+change no result. A partition that has brought nothing for some time is waited
+for no longer, and `flush` takes all rows that still wait when input has ended.
+
+What waits no longer is a step of its own; steps and not the micro-batches of the
+source are numbered in outputs. A step is complete once its mark is written, and
+readers see it once it is committed. One that failed is repeated from the start: everything it writes
+replaces what the failed attempt left. A micro-batch whose predecessor has no
+mark raises, as its state is unknown.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +43,7 @@ from clicksieve.operators.detectors import emissions, judge_hyperactive, judge_p
 from clicksieve.operators.skew import Split, split_hot_keys
 from clicksieve.schema import (
     DISPLAY,
+    EVENT_SCHEMA,
     MIN_CLICKS,
     MIN_CTR,
     ORDERED_COLUMNS,
@@ -44,11 +53,13 @@ from clicksieve.schema import (
     QUICK_SECONDS,
     WINDOW_SECONDS,
 )
-from clicksieve.session import path_exists, remove_path
+from clicksieve.session import names_in, path_exists, remove_path, touch
 from clicksieve.sources.messages import record_millis, record_place
+from clicksieve.streaming.commits import commit, last_commit, read_versions
 from clicksieve.streaming.sinks import save_table
+from clicksieve.streaming.stateful import KEYS as PATTERNS
+from clicksieve.streaming.stateful import judge_stream
 
-PATTERNS = {PATTERN_1: "uid", PATTERN_2: "impression_id", PATTERN_3: "ip"}
 READINGS = {PATTERN_1: ("as_coded", "documented"), PATTERN_2: ("as_coded", "documented"), PATTERN_3: ("as_coded", "documented", "separate_int")}
 
 # The window of the row that says its key is suspicious for good.
@@ -57,6 +68,8 @@ KNOWN = -(1 << 62)
 # the last snapshot and this many.
 VERSIONS = 32
 VERSION_ROWS = 1_000_000
+# How long a partition may bring nothing and still be waited for.
+IDLE_SECONDS = 300.0
 
 STATE = T.StructType(
     [
@@ -68,7 +81,8 @@ STATE = T.StructType(
     ]
 )
 VERSIONED = T.StructType([*STATE.fields, T.StructField("batch", T.IntegerType())])
-MARK = "begin long, watermark long, bases map<string, long>, base_rows map<string, long>, version_rows map<string, long>"
+HEADS = "place string, millis long, seen double"
+MARK = "source_batch long, begin long, watermark long, bases map<string, long>, base_rows map<string, long>, version_rows map<string, long>"
 
 Save = Callable[[DataFrame, str, int], None]
 
@@ -83,13 +97,16 @@ class Rules:
     min_clicks: int = MIN_CLICKS
     min_ctr: float = MIN_CTR
     # Seconds after which the windows of `documented` are forgotten; events of
-    # forgotten windows are not judged. None: never.
+    # forgotten windows are late: kept aside, not judged. None: never.
     delay_seconds: int | None = None
     group_rows: int | None = None
 
-    def judge(self, pattern: str, split: Split) -> DataFrame:
+    def check(self, pattern: str) -> None:
         if self.semantics not in READINGS[pattern]:
             raise ValueError(f"semantics must be one of {READINGS[pattern]}, not {self.semantics!r}")
+
+    def judge(self, pattern: str, split: Split) -> DataFrame:
+        self.check(pattern)
         if pattern == PATTERN_1:
             return judge_pending(split, self.semantics)
         if pattern == PATTERN_2:
@@ -115,10 +132,24 @@ class Rules:
         return (F.col("seen"), none) if self.semantics == "as_coded" else (F.col("clicks"), F.col("displays"))
 
 
+@dataclass
+class Arrival:
+    """How records arrive at a source of several partitions."""
+
+    # Of all topics together.
+    partitions: int
+    # Seconds without records after which a partition is not waited for. None: it always is.
+    idle_seconds: float | None = IDLE_SECONDS
+    # The time now, in seconds.
+    clock: Callable[[], float] = time.time
+
+
 @dataclass
 class Mark:
-    """What a complete micro-batch hands on."""
+    """What a complete step hands on."""
 
+    # The last micro-batch of the source that it covers.
+    source_batch: int = -1
     # When the last window opened; 0 before the first one did.
     begin: int = 0
     watermark: int = 0
@@ -143,19 +174,19 @@ class Carried:
     def state_path(self, pattern: str, batch_id: int) -> str:
         return f"{self.folder}/state/{pattern.replace(' ', '_')}/batch={batch_id}"
 
-    def complete(self, batch_id: int) -> bool:
-        return path_exists(self.spark, f"{self.mark_path(batch_id)}/_SUCCESS")
+    def last(self) -> int:
+        """The last complete step, -1 before there is one."""
+        steps = [int(name.removeprefix("batch=")) for name in names_in(self.spark, f"{self.folder}/marks")]
+        return max((step for step in steps if path_exists(self.spark, f"{self.mark_path(step)}/_SUCCESS")), default=-1)
 
     def mark(self, batch_id: int) -> Mark:
         if batch_id < 0:
             return Mark()
-        if not self.complete(batch_id):
-            raise RuntimeError(f"micro-batch {batch_id} has not been completed in {self.folder}")
         row = self.spark.read.schema(MARK).parquet(self.mark_path(batch_id)).first()
         return Mark(**row.asDict())
 
     def write_mark(self, batch_id: int, mark: Mark) -> None:
-        row = (mark.begin, mark.watermark, mark.bases, mark.base_rows, mark.version_rows)
+        row = (mark.source_batch, mark.begin, mark.watermark, mark.bases, mark.base_rows, mark.version_rows)
         self.spark.createDataFrame([row], MARK).coalesce(1).write.mode("overwrite").parquet(self.mark_path(batch_id))
 
     def held_path(self, batch_id: int) -> str:
@@ -164,19 +195,32 @@ class Carried:
     def heads_path(self, batch_id: int) -> str:
         return f"{self.folder}/heads/batch={batch_id}"
 
-    def passed(self, events: DataFrame, batch_id: int, partitions: int) -> DataFrame:
-        """The rows, held ones included, whose record time all partitions have passed; others are held."""
+    @property
+    def flush_path(self) -> str:
+        """There while rows that wait are taken in spite of it."""
+        return f"{self.folder}/flushing"
+
+    def passed(self, events: DataFrame, step: int, arrival: Arrival, flush: bool) -> DataFrame:
+        """The rows, held ones included, that need not wait; others are held."""
+        now = arrival.clock()
         place, millis = record_place("seq").alias("place"), record_millis("seq")
-        heads = events.groupBy(place).agg(F.max(millis).alias("millis"))
-        if batch_id > 0:
-            heads = heads.unionByName(self.spark.read.schema(heads.schema).parquet(self.heads_path(batch_id - 1)))
-            events = events.unionByName(self.spark.read.schema(events.schema).parquet(self.held_path(batch_id - 1)))
-        heads = heads.groupBy("place").agg(F.max("millis").alias("millis"))
-        heads.coalesce(1).write.mode("overwrite").parquet(self.heads_path(batch_id))
-        written = self.spark.read.schema(heads.schema).parquet(self.heads_path(batch_id))
-        seen = written.agg(F.count("*").alias("n"), F.min("millis").alias("least")).first()
-        over = millis < F.lit(seen["least"]) if seen["n"] >= partitions else F.lit(False)
-        events.where(~over).write.mode("overwrite").parquet(self.held_path(batch_id))
+        # The source itself is a place without records, seen when it began.
+        before = self.spark.createDataFrame([("", None, now)], HEADS)
+        heads = events.groupBy(place).agg(F.max(millis).alias("millis"), F.lit(now).alias("seen"))
+        if step > 0:
+            before = self.spark.read.schema(HEADS).parquet(self.heads_path(step - 1))
+            events = events.unionByName(self.spark.read.schema(events.schema).parquet(self.held_path(step - 1)))
+        heads = heads.unionByName(before).groupBy("place").agg(
+            F.max("millis").alias("millis"), F.when(F.col("place") == "", F.min("seen")).otherwise(F.max("seen")).alias("seen")
+        )
+        heads.coalesce(1).write.mode("overwrite").parquet(self.heads_path(step))
+        # One row for each partition.
+        places = {r["place"]: r for r in self.spark.read.schema(HEADS).parquet(self.heads_path(step)).collect()}
+        since = now - arrival.idle_seconds if arrival.idle_seconds is not None else float("-inf")
+        unseen = arrival.partitions > len(places) - 1 and places.pop("")["seen"] >= since
+        waited = [r["millis"] for name, r in places.items() if name and r["seen"] >= since]
+        over = F.lit(flush) if flush or unseen else millis < F.lit(min(waited)) if waited else F.lit(True)
+        events.where(~over).write.mode("overwrite").parquet(self.held_path(step))
         return events.where(over)
 
     def state(self, pattern: str, base: int, batch_id: int) -> DataFrame:
@@ -243,39 +287,83 @@ def changes(rules: Rules, pattern: str, judged: DataFrame) -> DataFrame:
     return numbers.unionByName(suspicious)
 
 
+@dataclass
+class Outputs:
+    """Where the results of a stream go."""
+
+    # For each pattern the folder of its flagged clicks.
+    flagged: dict[str, str]
+    save: Save = save_table
+    # Called with the rows as they arrived.
+    also: Callable[[DataFrame, int], None] | None = None
+    # Called with the events and the flagged clicks of each pattern.
+    totals: Callable[[DataFrame, dict[str, DataFrame], int], None] | None = None
+    # Where it names a column, only rows for which it holds are events.
+    good: str | None = None
+
+    def events(self, rows: DataFrame) -> DataFrame:
+        return (rows.where(self.good) if self.good else rows).select(*ORDERED_COLUMNS)
+
+
 def advance(
-    batch: DataFrame,
-    batch_id: int,
-    folder: str,
-    outputs: dict[str, str],
-    rules: Rules,
-    save: Save,
-    also: Callable[[DataFrame, int], None] | None = None,
-    totals: Callable[[DataFrame, dict[str, DataFrame], int], None] | None = None,
-    good: str | None = None,
-    partitions: int | None = None,
+    batch: DataFrame, batch_id: int, folder: str, outputs: Outputs, rules: Rules, arrival: Arrival | None = None
 ) -> None:
-    """Take one micro-batch through the detectors of `outputs`, a folder for each pattern.
+    """Take one micro-batch through the detectors.
 
-    `also` is called with the rows as they were written out; `totals` with the
-    events and the flagged clicks of each pattern. Where `good` names a column,
-    only rows for which it holds are events. With `partitions`, `seq` has to be
-    that of `sources.messages.arrival_order`, and detectors take rows in record
-    time; `also` and the events of `totals` don't wait.
+    With `arrival`, `seq` has to be that of `sources.messages.arrival_order`; rows
+    then wait for all outputs but `also`.
     """
     spark = batch.sparkSession
-    kept = Carried(spark, folder)
-    if kept.complete(batch_id):
+    kept = Carried(spark, f"{folder}/carried")
+    if arrival and path_exists(spark, kept.flush_path):
+        # A flush that failed goes first; the rows it takes are still there.
+        flush(batch, folder, outputs, rules, arrival)
+    last = kept.last()
+    before = kept.mark(last)
+    if not arrival and path_exists(spark, kept.held_path(last)):
+        raise RuntimeError(f"rows wait in {folder} for the partitions of the source, which have to be named")
+    if before.source_batch < batch_id - 1:
+        raise RuntimeError(f"micro-batch {batch_id - 1} has not been completed in {folder}")
+    if before.source_batch < batch_id:
+        last += 1
+        take_step(kept, batch, last, replace(before, source_batch=batch_id), folder, outputs, rules, arrival)
+    commit(spark, folder, last)
+
+
+def flush(like: DataFrame, folder: str, outputs: Outputs, rules: Rules, arrival: Arrival) -> None:
+    """Take the rows that still wait through the detectors, as at the end of the input; `like` has the columns of a micro-batch."""
+    spark = like.sparkSession
+    kept = Carried(spark, f"{folder}/carried")
+    last = kept.last()
+    if last < 0 or spark.read.parquet(kept.held_path(last)).isEmpty():
         return
-    before = kept.mark(batch_id - 1)
-    batch.write.mode("overwrite").parquet(kept.staged_path(batch_id))
-    staged = spark.read.schema(batch.schema).parquet(kept.staged_path(batch_id))
-    if also:
-        also(staged, batch_id)
-    arrived = events = (staged.where(good) if good else staged).select(*ORDERED_COLUMNS)
-    if partitions:
-        events = kept.passed(arrived, batch_id, partitions)
-    mark = Mark(before.begin, before.watermark, dict(before.bases), dict(before.base_rows), dict(before.version_rows))
+    touch(spark, kept.flush_path)
+    nothing = spark.createDataFrame([], like.schema)
+    take_step(kept, nothing, last + 1, kept.mark(last), folder, outputs, rules, arrival, flushing=True)
+    remove_path(spark, kept.flush_path)
+    commit(spark, folder, last + 1)
+
+
+def take_step(
+    kept: Carried,
+    batch: DataFrame,
+    step: int,
+    before: Mark,
+    folder: str,
+    outputs: Outputs,
+    rules: Rules,
+    arrival: Arrival | None,
+    flushing: bool = False,
+) -> None:
+    spark = batch.sparkSession
+    batch.write.mode("overwrite").parquet(kept.staged_path(step))
+    staged = spark.read.schema(batch.schema).parquet(kept.staged_path(step))
+    if outputs.also:
+        outputs.also(staged, step)
+    events = outputs.events(staged)
+    if arrival:
+        events = kept.passed(events, step, arrival, flushing)
+    mark = replace(before, bases=dict(before.bases), base_rows=dict(before.base_rows), version_rows=dict(before.version_rows))
     numbers = events.agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"), F.max("timestamp").alias("last")).first()
     if numbers["n"]:
         if rules.semantics == "as_coded":
@@ -288,44 +376,47 @@ def advance(
         else:
             bounded = events.withColumns({"boundary": F.lit(False), "window": grid_window(rules.window_seconds)})
             if rules.delay_seconds is not None:
-                bounded = bounded.where((F.col("window") + 1) * rules.window_seconds > before.watermark)
+                over = (F.col("window") + 1) * rules.window_seconds <= before.watermark
+                labels = F.explode(F.array(*[F.lit(p) for p in outputs.flagged])).alias("pattern")
+                save_late(bounded.where(over).select(*ORDERED_COLUMNS, labels), folder, step)
+                bounded = bounded.where(~over)
                 mark.watermark = max(before.watermark, numbers["last"] - rules.delay_seconds)
     flagged, judgements = {}, []
-    for pattern, output in outputs.items():
-        state = kept.state(pattern, before.bases.get(pattern, 0), batch_id)
-        path = kept.state_path(pattern, batch_id)
+    for pattern, output in outputs.flagged.items():
+        state = kept.state(pattern, before.bases.get(pattern, 0), step)
+        path = kept.state_path(pattern, step)
         if not numbers["n"]:
             spark.createDataFrame([], STATE).write.mode("overwrite").parquet(path)
             continue
         judged = judge_batch(rules, pattern, bounded, state, numbers["n"], numbers["first_seq"]).persist()
         judgements.append(judged)
         flagged[pattern] = rules.flagged(pattern, judged)
-        save(flagged[pattern], output, batch_id)
+        outputs.save(flagged[pattern], output, step)
         changed = changes(rules, pattern, judged)
-        snapshot = snapshot_due(mark, pattern, batch_id)
+        snapshot = snapshot_due(mark, pattern, step)
         if snapshot:
             # The changes are the last version of all.
-            whole = latest(state.unionByName(changed.withColumn("batch", F.lit(batch_id))))
+            whole = latest(state.unionByName(changed.withColumn("batch", F.lit(step))))
             over = (F.col("window") != KNOWN) & ((F.col("window") + 1) * rules.window_seconds <= mark.watermark)
             changed = whole.where(~over) if rules.semantics != "as_coded" else whole
         changed.write.mode("overwrite").parquet(path)
         n = spark.read.schema(STATE).parquet(path).count()
         if snapshot:
-            mark.bases[pattern], mark.base_rows[pattern], mark.version_rows[pattern] = batch_id, n, 0
+            mark.bases[pattern], mark.base_rows[pattern], mark.version_rows[pattern] = step, n, 0
         else:
             mark.version_rows[pattern] = mark.version_rows.get(pattern, 0) + n
-    if totals:
-        totals(arrived, flagged, batch_id)
+    if outputs.totals:
+        outputs.totals(events, flagged, step)
     for judged in judgements:
         judged.unpersist()
-    kept.write_mark(batch_id, mark)
-    # The mark of this micro-batch makes all this superfluous.
-    remove_path(spark, kept.staged_path(batch_id))
-    remove_path(spark, kept.mark_path(batch_id - 2))
-    if partitions:
+    kept.write_mark(step, mark)
+    # The mark of this step makes all this superfluous.
+    remove_path(spark, kept.staged_path(step))
+    remove_path(spark, kept.mark_path(step - 2))
+    if arrival:
         for path in (kept.held_path, kept.heads_path):
-            remove_path(spark, path(batch_id - 2))
-    for pattern in outputs:
+            remove_path(spark, path(step - 2))
+    for pattern in outputs.flagged:
         for b in range(before.bases.get(pattern, 0), mark.bases.get(pattern, 0)):
             remove_path(spark, kept.state_path(pattern, b))
 
@@ -336,25 +427,73 @@ def snapshot_due(mark: Mark, pattern: str, batch_id: int) -> bool:
     return versions >= VERSIONS or outgrown
 
 
+LATE, ROWS = "late", "rows"
+
+
+def save_late(rows: DataFrame, folder: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").parquet(f"{folder}/late/batch={batch_id}")
+
+
+def read_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The events, by pattern, that came after their window had been forgotten; `folder` is that of `detect_stream`."""
+    schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField("pattern", T.StringType())])
+    path = f"{folder}/late"
+    if path_exists(spark, path):
+        schema = spark.read.parquet(path).drop("batch").schema
+    return read_versions(spark, path, schema, last_commit(spark, folder))
+
+
+def judge_on_state(rows: DataFrame, folder: str, outputs: Outputs, rules: Rules) -> DataStreamWriter:
+    """The documented detectors. The rows themselves go along with what is found in them where an output needs them."""
+    spark = rows.sparkSession
+    found = judge_stream(outputs.events(rows), rules, tuple(outputs.flagged))
+    found = found.withColumn("part", F.when(F.col("late"), LATE).otherwise(F.col("pattern"))).drop("late")
+    if outputs.also or outputs.totals:
+        found = found.unionByName(rows.withColumn("part", F.lit(ROWS)), allowMissingColumns=True)
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= last_commit(spark, folder):
+            return
+        staged_path = f"{folder}/staged/batch={batch_id}"
+        batch.write.mode("overwrite").partitionBy("part").parquet(staged_path)
+        staged = spark.read.schema(batch.schema).parquet(staged_path)
+
+        def part(name: str, columns: list[str]) -> DataFrame:
+            return staged.where(F.col("part") == name).select(*columns)
+
+        arrived = part(ROWS, rows.columns)
+        if outputs.also:
+            outputs.also(arrived, batch_id)
+        flagged = {pattern: part(pattern, ORDERED_COLUMNS) for pattern in outputs.flagged}
+        for pattern, output in outputs.flagged.items():
+            outputs.save(flagged[pattern], output, batch_id)
+        if rules.delay_seconds is not None:
+            save_late(part(LATE, [*ORDERED_COLUMNS, "pattern"]), folder, batch_id)
+        if outputs.totals:
+            outputs.totals(outputs.events(arrived), flagged, batch_id)
+        commit(spark, folder, batch_id)
+        remove_path(spark, staged_path)
+
+    return found.writeStream.foreachBatch(one_batch).option("checkpointLocation", f"{folder}/checkpoint")
+
+
 def detect_stream(
-    events: DataFrame,
-    folder: str,
-    outputs: dict[str, str],
-    rules: Rules | None = None,
-    save: Save = save_table,
-    also: Callable[[DataFrame, int], None] | None = None,
-    totals: Callable[[DataFrame, dict[str, DataFrame], int], None] | None = None,
-    good: str | None = None,
-    partitions: int | None = None,
+    events: DataFrame, folder: str, outputs: Outputs | dict[str, str], rules: Rules | None = None, arrival: Arrival | None = None
 ) -> DataStreamWriter:
-    """The detectors of `outputs` (pattern: folder for its flagged clicks) on a stream of events.
+    """The detectors on a stream of events, or of rows of which `outputs.good` says which are events.
 
-    One query reads the stream, so all outputs cover the same events. See
-    `advance` for `also`, `totals`, `good` and `partitions`.
+    One query reads the stream, so all outputs cover the same events. With
+    `arrival` rows wait for the partitions of the source, see `advance`, and state
+    is carried in tables under all rules.
     """
     rules = rules or Rules()
+    outputs = outputs if isinstance(outputs, Outputs) else Outputs(outputs)
+    for pattern in outputs.flagged:
+        rules.check(pattern)
+    if rules.semantics != "as_coded" and arrival is None:
+        return judge_on_state(events, folder, outputs, rules)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        advance(batch, batch_id, f"{folder}/carried", outputs, rules, save, also, totals, good, partitions)
+        advance(batch, batch_id, folder, outputs, rules, arrival)
 
     return events.writeStream.foreachBatch(one_batch).option("checkpointLocation", f"{folder}/checkpoint")

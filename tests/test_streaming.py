@@ -10,7 +10,8 @@ from clicksieve.plans import report
 from clicksieve.schema import EVENT_COLUMNS, EVENT_SCHEMA, ORDERED_COLUMNS, PATTERN_1, PATTERN_2, PATTERN_3
 from clicksieve.sources import messages, textlog
 from clicksieve.streaming import sinks
-from clicksieve.streaming.detectors import Carried, Rules, advance, detect_stream
+from clicksieve.streaming import stateful
+from clicksieve.streaming.detectors import Carried, Outputs, Rules, advance, detect_stream, read_late
 from conftest import seqs
 from test_random import trace
 
@@ -56,7 +57,7 @@ def flagged(spark, folder):
 
 def detect(feed, tmp_path, rules, patterns=tuple(BATCH), **more):
     outputs = {pattern: str(tmp_path / pattern[-1]) for pattern in patterns}
-    run(detect_stream(feed.stream(), str(tmp_path / "work"), outputs, rules, **more).trigger(availableNow=True))
+    run(detect_stream(feed.stream(), str(tmp_path / "work"), Outputs(outputs, **more), rules).trigger(availableNow=True))
     return outputs
 
 
@@ -85,6 +86,10 @@ def test_detectors(spark, feed, tmp_path, name, monkeypatch):
         for pattern, folder in outputs.items():
             assert seqs(flagged(spark, folder)) == seqs(judged(pattern, feed.table(), rules)), pattern
     assert all(seqs(judged(pattern, feed.table(), rules)) for pattern in outputs)
+    if rules.semantics != "as_coded":
+        assert not (tmp_path / "work" / "carried").exists()
+        assert not any((tmp_path / "work" / "staged").iterdir())
+        return
     # What has been consumed is gone; so are versions before the last snapshot.
     kept = tmp_path / "work" / "carried"
     assert not any((kept / "staged").iterdir())
@@ -109,9 +114,10 @@ def feed_of(feed, n):
     return other
 
 
-def test_failures_are_made_good(spark, feed, tmp_path):
+@pytest.mark.parametrize("name", ["as_coded", "documented"])
+def test_failures_are_made_good(spark, feed, tmp_path, name):
     """A run that breaks among the detectors is repeated without loss or repetition."""
-    rules = RULES["as_coded"]
+    rules = RULES[name]
     for broken in (PATTERN_1, PATTERN_3):
 
         def breaking(found, output, batch_id):
@@ -130,15 +136,14 @@ def test_failures_are_made_good(spark, feed, tmp_path):
 def test_a_lost_predecessor_raises(spark, feed, tmp_path):
     feed.send(40)
     with pytest.raises(RuntimeError, match="micro-batch 4 has not been completed"):
-        advance(feed.table(), 5, str(tmp_path / "work"), {}, Rules(), sinks.save_table)
-    advance(feed.table(), 0, str(tmp_path / "work"), {}, Rules(), sinks.save_table)
-    assert Carried(spark, str(tmp_path / "work")).mark(0).begin > 0
+        advance(feed.table(), 5, str(tmp_path / "work"), Outputs({}), Rules())
+    advance(feed.table(), 0, str(tmp_path / "work"), Outputs({}), Rules())
+    assert Carried(spark, str(tmp_path / "work" / "carried")).mark(0).begin > 0
     # A micro-batch that is complete is left alone.
-    advance(feed.table().limit(0), 0, str(tmp_path / "work"), {}, Rules(), sinks.save_table)
+    advance(feed.table().limit(0), 0, str(tmp_path / "work"), Outputs({}), Rules())
 
 
-def test_windows_behind_the_watermark_are_forgotten(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("clicksieve.streaming.detectors.VERSIONS", 1)
+def test_windows_behind_the_watermark_are_forgotten(spark, tmp_path):
     rows = [("display", "A", 1000 + i, "ip", "x") for i in range(3)]
     rows += [("display", "A", 100_000, "ip", "x"), ("click", "A", 100_001, "ip", "x"), ("click", "A", 100_002, "ip", "x")]
     rows += [("click", "A", 1001, "ip", "x")]  # of a forgotten window: not judged
@@ -146,10 +151,23 @@ def test_windows_behind_the_watermark_are_forgotten(spark, tmp_path, monkeypatch
     rules = Rules("documented", WINDOW, delay_seconds=600)
     for n in (3, 1, 2, 1):
         feed.send(n)
-        outputs = detect(feed, tmp_path, rules, (PATTERN_1,))
+        outputs = detect(feed, tmp_path, rules, (PATTERN_1, PATTERN_2))
     assert seqs(flagged(spark, outputs[PATTERN_1])) == [6]
-    windows = spark.read.parquet(str(tmp_path / "work/carried/state/Pattern_1")).where("window >= 0")
-    assert [r[0] for r in windows.select("window").distinct().collect()] == [100_000 // WINDOW]
+    late = read_late(spark, str(tmp_path / "work")).select("seq", "pattern").collect()
+    assert sorted(map(tuple, late)) == [(7, PATTERN_1), (7, PATTERN_2)]
+    state = spark.read.format("statestore").option("stateVarName", stateful.WINDOWS).load(str(tmp_path / "work" / "checkpoint"))
+    assert {r[0] for r in state.select("user_map_key.window").collect()} == {100_000 // WINDOW}
+
+
+def test_blacklist_of_a_checkpoint(spark, feed, tmp_path):
+    rules = RULES["documented"]
+    for n in (60, 90):
+        feed.send(n)
+        outputs = detect(feed, tmp_path, rules)
+    for pattern, key in ((PATTERN_1, "uid"), (PATTERN_3, "ip")):
+        found = stateful.blacklist(spark, str(tmp_path / "work" / "checkpoint"), pattern)
+        expected = detectors.first_flagged(judged(pattern, feed.table(), rules), key)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect())) != []
 
 
 def test_running_totals_in_update_mode(spark, feed, tmp_path):
