@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +17,17 @@ from clicksieve.functions.columns import event_json, event_line, hour_bucket, ro
 from clicksieve.operators import counts, detectors
 from clicksieve.operators.boundaries import window_boundaries
 from clicksieve.plans import job, report
-from clicksieve.schema import CLICK, DISPLAY, ORDERED_COLUMNS, PATTERN_1, PATTERN_2, PATTERN_3
+from clicksieve.schema import CLICK, DISPLAY, EVENT_COLUMNS, ORDERED_COLUMNS, PATTERN_1, PATTERN_2, PATTERN_3
 from clicksieve.session import new_run_folder
 from clicksieve.sources import messages
 from clicksieve.sources.messages import decode
 from clicksieve.sources.tables import click_events
 from clicksieve.sources.textlog import parse_lines, read_bucket, read_log
-from clicksieve.streaming import sinks
-from clicksieve.streaming.replay import finish, in_pieces, replay
+from clicksieve.streaming import sinks, stateful
+from clicksieve.streaming.commits import commit
+from clicksieve.streaming.detectors import Arrival, Outputs, Rules, detect_stream, flush, read_late
+from clicksieve.streaming.replay import even_cuts, finish, flagged_table, in_pieces, replay
+from clicksieve.streaming.windows import read_counts, write_counts
 
 # The text operators may be left out as a whole; anything else missing is an error.
 try:
@@ -45,6 +49,8 @@ WINDOW = 7 * 86400
 THRESHOLD = 12 * 3600
 # The window at which the two readings of pattern 3 differ.
 IP_WINDOW = 30 * 86400
+# How late events of a stream may come, where windows are closed.
+DELAY = 5 * 86400
 # A limit so low that keys of the test events are split.
 SPLIT_ROWS = 20
 
@@ -144,6 +150,79 @@ def tumbling_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_starts(rows.agg(F.max_by("n", "batch").alias("n")))
 
 
+def blacklist_stream(pattern: str, window_seconds: int) -> Callable[[SparkSession, str], DataFrame]:
+    """Who is suspicious for good, read from the state that a stream has left in its checkpoint."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_run_folder(spark, "blacklist")
+        outputs = Outputs({pattern: f"{folder}/out"}, sinks.save_batch)
+        for stream in in_pieces(click_events(spark, sf_dir), f"{folder}/in"):
+            finish(detect_stream(stream, folder, outputs, Rules("documented", window_seconds)))
+        found = stateful.blacklist(spark, f"{folder}/checkpoint", pattern)
+        return found.withColumnRenamed("key", stateful.KEYS[pattern])
+
+    return query
+
+
+def late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern 1 on a stream that forgets windows: what it flags, and what came too late to be judged."""
+    folder, events = new_run_folder(spark, "late"), click_events(spark, sf_dir)
+    outputs = Outputs({PATTERN_1: f"{folder}/out"}, sinks.save_batch)
+    for stream in in_pieces(events, f"{folder}/in", cuts=even_cuts(events)):
+        finish(detect_stream(stream, folder, outputs, Rules("documented", WINDOW, delay_seconds=DELAY)))
+    flagged = flagged_table(spark, f"{folder}/out").select("seq", F.lit("flagged").alias("verdict"))
+    return flagged.unionByName(read_late(spark, folder).select("seq", F.lit("late").alias("verdict")))
+
+
+def tumbling_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windowed counts of a stream, and of its late events."""
+    folder, events = new_run_folder(spark, "windows"), click_events(spark, sf_dir)
+    for stream in in_pieces(events, f"{folder}/in", cuts=even_cuts(events)):
+        finish(write_counts(stream, folder, DELAY))
+    return read_counts(spark, folder).withColumn("window_start", utc_time(F.col("window_start")))
+
+
+def totals_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running totals of a stream, from the table that the session can query."""
+    folder = new_run_folder(spark, "totals")
+    name = f"totals_{folder.rsplit('-', 1)[-1]}"
+    for stream in in_pieces(click_events(spark, sf_dir), f"{folder}/in"):
+        finish(sinks.keep_counts(counts.type_totals(stream), name, f"{folder}/checkpoint"))
+    return spark.table(name)
+
+
+def log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of several micro-batches after compaction of its hours, the last micro-batch not being complete."""
+    folder, events = new_run_folder(spark, "compacted"), click_events(spark, sf_dir)
+    cuts, seq = even_cuts(events), F.col("seq")
+    pieces = [events.where((seq >= low) & (seq < high)) for low, high in pairwise([0, *cuts, 1 << 62])]
+    for batch_id, piece in enumerate([*pieces, events]):
+        sinks.save_log(piece, f"{folder}/all", batch_id, 0)
+        if batch_id < len(pieces):
+            commit(spark, f"{folder}/work", batch_id)
+    job.compact_logs(spark, folder, before=events.agg(F.max(hour_bucket())).first()[0] or "")
+    return job.read_log(spark, folder, "all")
+
+
+def held_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern 1 on records of eight partitions of which half run ahead of the others until the input ends."""
+    folder, arrival = new_run_folder(spark, "held"), Arrival(8, None)
+    # The broker's time is the order of arrival.
+    records = kafka_records(click_events(spark, sf_dir)).withColumn("timestamp", F.timestamp_millis("offset"))
+    span = records.agg(F.min("offset").alias("low"), F.max("offset").alias("high")).first()
+    third = F.floor(3 * (F.col("offset") - (span["low"] or 0)) / ((span["high"] or 0) - (span["low"] or 0) + 1))
+    piece = third + F.col("partition") % 2
+    outputs, rules = Outputs({PATTERN_1: f"{folder}/out"}, sinks.save_batch, good="good"), Rules()
+    for i in range(4):
+        records.where(piece == i).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(records.schema).parquet(f"{folder}/in")
+        parsed = messages.record_events(stream).parsed
+        finish(detect_stream(parsed, folder, outputs, rules, arrival))
+    flush(spark.createDataFrame([], parsed.schema), folder, outputs, rules, arrival)
+    found = spark.read.parquet(f"{folder}/out")
+    return found.select((F.col("seq") % 10**18).cast("long").alias("seq"), *EVENT_COLUMNS)
+
+
 def job_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The totals of the whole application, run over all messages in three micro-batches."""
     folder = new_run_folder(spark, "job")
@@ -262,6 +341,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "log_sink": log_sink,
         "raw_to_files": raw_to_files,
         "job_totals": job_totals,
+        "blacklist_uid_stream": blacklist_stream(PATTERN_1, WINDOW),
+        "blacklist_ip_stream": blacklist_stream(PATTERN_3, IP_WINDOW),
+        "p1_late_stream": late_stream,
+        "tumbling_late_stream": tumbling_late_stream,
+        "totals_table": totals_table,
+        "log_compacted": log_compacted,
+        "p1_held_stream": held_stream,
         "report_numbers": report_numbers,
     }
     if llm:
@@ -272,7 +358,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = oracle.oracle_sql(WINDOW, THRESHOLD, IP_WINDOW)
+    found = oracle.oracle_sql(WINDOW, THRESHOLD, IP_WINDOW, DELAY)
     if llm:
         found |= llm.oracle_sql()
     if corpus_pipeline and corpus_pipeline.ORACLE_SQL:

@@ -35,8 +35,8 @@ def job_outputs(source: DataFrame | Decoded, folder: str) -> Outputs:
         rejected = staged.where("not good").select("seq", "value")
         rejected.write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch_id}")
 
-    def totals(events: DataFrame, flagged: dict[str, DataFrame], batch_id: int) -> None:
-        save_log(events, f"{folder}/{OUTPUTS['all']}", batch_id)
+    def totals(events: DataFrame, flagged: dict[str, DataFrame], batch_id: int, most_rows: int) -> None:
+        save_log(events, f"{folder}/{OUTPUTS['all']}", batch_id, most_rows)
         add_totals(events, flagged, f"{folder}/totals", batch_id)
 
     logs = {pattern: f"{folder}/{OUTPUTS[pattern]}" for pattern in PATTERNS}

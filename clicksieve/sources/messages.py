@@ -14,6 +14,8 @@ from clicksieve.schema import EVENT_COLUMNS, JSON_FIELDS, JSON_SCHEMA
 TOPICS = ("clicks", "displays")
 FRAUD_TOPIC = "fraud_clicks"
 
+UNSAID = object()
+
 
 @dataclass
 class Decoded:
@@ -90,14 +92,20 @@ def kafka_records(
     topics: tuple[str, ...] = TOPICS,
     starting_offsets: str = "latest",
     records_per_batch: int | None = None,
+    waits: object = UNSAID,
     **options: str,
 ) -> DataFrame:
     """The topics as one stream of Kafka records. Needs the Kafka connector on the class path.
 
     Without `records_per_batch` a backlog is one micro-batch, in order of record
-    time. With it, name the partitions to `run_job`, or results depend on it.
+    time. With it, micro-batches are not, and what is flagged depends on it unless
+    rows wait for all partitions. So `waits` has to be given with it: the
+    `streaming.detectors.Arrival` that the job is run with, or None where
+    the order does not matter.
     """
     if records_per_batch is not None:
+        if waits is UNSAID:
+            raise ValueError("records_per_batch needs `waits`, the Arrival that the job is run with, or None")
         options["maxOffsetsPerTrigger"] = str(records_per_batch)
     return (
         spark.readStream.format("kafka")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clicksieve.functions.columns import has_time
 from clicksieve.schema import EVENT_COLUMNS
-from clicksieve.session import names_in
+from clicksieve.session import path_exists
 from clicksieve.sources.messages import Decoded
 
 # Fixed value: the format of a log line.
@@ -60,12 +60,14 @@ def read_log(spark: SparkSession, path: str) -> Decoded:
 
 def bucket_lines(spark: SparkSession, path: str, bucket: str | None = None) -> DataFrame:
     """The lines below hourly folders with the folders they stand in; other hours than `bucket` are not read."""
-    # Without a single line there are no hourly folders, or none at all.
-    folders = [name for name in names_in(spark, path) if name.startswith("bucket=")]
-    if not folders:
-        return spark.createDataFrame([], "value string, bucket string, batch long")
-    lines = spark.read.schema("value string, bucket string, batch long").text(path)
-    return lines if bucket is None else lines.where(F.col("bucket") == bucket)
+    only = f"{path}/bucket={bucket}"
+    if path_exists(spark, path if bucket is None else only):
+        # Other hours are not even listed.
+        lines = spark.read.option("basePath", path).text(path if bucket is None else only)
+        # Folders without a file have no such columns.
+        if "batch" in lines.columns:
+            return lines
+    return spark.createDataFrame([], "value string, bucket string, batch int")
 
 
 def read_bucket(spark: SparkSession, root: str, output: str, bucket: str) -> Decoded:

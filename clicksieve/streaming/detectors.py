@@ -30,8 +30,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,6 +64,8 @@ from clicksieve.streaming.stateful import judge_stream
 
 READINGS = {PATTERN_1: ("as_coded", "documented"), PATTERN_2: ("as_coded", "documented"), PATTERN_3: ("as_coded", "documented", "separate_int")}
 
+# Rows that a click can be emitted as.
+MOST_EMISSIONS = 2
 # The window of the row that says its key is suspicious for good.
 KNOWN = -(1 << 62)
 # A snapshot is due after this many versions, or once they hold more rows than
@@ -84,7 +88,8 @@ VERSIONED = T.StructType([*STATE.fields, T.StructField("batch", T.IntegerType())
 HEADS = "place string, millis long, seen double"
 MARK = "source_batch long, begin long, watermark long, bases map<string, long>, base_rows map<string, long>, version_rows map<string, long>"
 
-Save = Callable[[DataFrame, str, int], None]
+# Takes rows, a folder, the number of the step, and the most rows that there can be.
+Save = Callable[[DataFrame, str, int, int], None]
 
 
 @dataclass
@@ -296,8 +301,8 @@ class Outputs:
     save: Save = save_table
     # Called with the rows as they arrived.
     also: Callable[[DataFrame, int], None] | None = None
-    # Called with the events and the flagged clicks of each pattern.
-    totals: Callable[[DataFrame, dict[str, DataFrame], int], None] | None = None
+    # Called with the events, the flagged clicks of each pattern, the number of the step and that of the events.
+    totals: Callable[[DataFrame, dict[str, DataFrame], int, int], None] | None = None
     # Where it names a column, only rows for which it holds are events.
     good: str | None = None
 
@@ -381,17 +386,13 @@ def take_step(
                 save_late(bounded.where(over).select(*ORDERED_COLUMNS, labels), folder, step)
                 bounded = bounded.where(~over)
                 mark.watermark = max(before.watermark, numbers["last"] - rules.delay_seconds)
-    flagged, judgements = {}, []
-    for pattern, output in outputs.flagged.items():
+
+    def judge(pattern: str) -> tuple[DataFrame, DataFrame, int, bool]:
+        """The judged rows, the flagged ones, and how many state rows were written, as a snapshot or not."""
         state = kept.state(pattern, before.bases.get(pattern, 0), step)
-        path = kept.state_path(pattern, step)
-        if not numbers["n"]:
-            spark.createDataFrame([], STATE).write.mode("overwrite").parquet(path)
-            continue
         judged = judge_batch(rules, pattern, bounded, state, numbers["n"], numbers["first_seq"]).persist()
-        judgements.append(judged)
-        flagged[pattern] = rules.flagged(pattern, judged)
-        outputs.save(flagged[pattern], output, step)
+        flagged = rules.flagged(pattern, judged)
+        outputs.save(flagged, outputs.flagged[pattern], step, MOST_EMISSIONS * numbers["n"])
         changed = changes(rules, pattern, judged)
         snapshot = snapshot_due(mark, pattern, step)
         if snapshot:
@@ -399,15 +400,26 @@ def take_step(
             whole = latest(state.unionByName(changed.withColumn("batch", F.lit(step))))
             over = (F.col("window") != KNOWN) & ((F.col("window") + 1) * rules.window_seconds <= mark.watermark)
             changed = whole.where(~over) if rules.semantics != "as_coded" else whole
+        path = kept.state_path(pattern, step)
         changed.write.mode("overwrite").parquet(path)
-        n = spark.read.schema(STATE).parquet(path).count()
+        return judged, flagged, spark.read.schema(STATE).parquet(path).count(), snapshot
+
+    if numbers["n"] and outputs.flagged:
+        # The patterns share nothing; their jobs run side by side.
+        with ThreadPoolExecutor(len(outputs.flagged)) as pool:
+            done = dict(zip(outputs.flagged, pool.map(inheritable_thread_target(spark)(judge), outputs.flagged), strict=True))
+    else:
+        done = {}
+        for pattern in outputs.flagged:
+            spark.createDataFrame([], STATE).write.mode("overwrite").parquet(kept.state_path(pattern, step))
+    for pattern, (*_, n, snapshot) in done.items():
         if snapshot:
             mark.bases[pattern], mark.base_rows[pattern], mark.version_rows[pattern] = step, n, 0
         else:
             mark.version_rows[pattern] = mark.version_rows.get(pattern, 0) + n
     if outputs.totals:
-        outputs.totals(events, flagged, step)
-    for judged in judgements:
+        outputs.totals(events, {pattern: flagged for pattern, (_, flagged, *_) in done.items()}, step, numbers["n"])
+    for judged, *_ in done.values():
         judged.unpersist()
     kept.write_mark(step, mark)
     # The mark of this step makes all this superfluous.
@@ -461,16 +473,17 @@ def judge_on_state(rows: DataFrame, folder: str, outputs: Outputs, rules: Rules)
         def part(name: str, columns: list[str]) -> DataFrame:
             return staged.where(F.col("part") == name).select(*columns)
 
+        sizes = {r["part"]: r["count"] for r in staged.groupBy("part").count().collect()}
         arrived = part(ROWS, rows.columns)
         if outputs.also:
             outputs.also(arrived, batch_id)
         flagged = {pattern: part(pattern, ORDERED_COLUMNS) for pattern in outputs.flagged}
         for pattern, output in outputs.flagged.items():
-            outputs.save(flagged[pattern], output, batch_id)
+            outputs.save(flagged[pattern], output, batch_id, sizes.get(pattern, 0))
         if rules.delay_seconds is not None:
             save_late(part(LATE, [*ORDERED_COLUMNS, "pattern"]), folder, batch_id)
         if outputs.totals:
-            outputs.totals(outputs.events(arrived), flagged, batch_id)
+            outputs.totals(outputs.events(arrived), flagged, batch_id, sizes.get(ROWS, 0))
         commit(spark, folder, batch_id)
         remove_path(spark, staged_path)
 

@@ -1,13 +1,16 @@
 """The hourly logs of a running job: consistent reads, and files of a good size.
 
-Micro-batches leave a small file each in an hour. `compact` writes the lines of a
-closed hour anew into as many files as their bytes need, in a folder that counts
-once Spark has marked it complete; from then on readers take it in place of the
-micro-batches it covers. These are removed by the next call only, so readers
-that have started still find them, and whatever breaks in between loses nothing.
+Micro-batches leave a small file each in an hour. `compact` writes the lines of
+closed hours anew into as many files as their bytes need, in a folder that counts
+once Spark has marked it complete; from then on readers take its hours in place
+of the micro-batches it covers. These are removed by the next call only, so
+readers that have started still find them, and whatever breaks in between loses
+nothing.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from itertools import accumulate
+
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from clicksieve.session import bytes_below, names_in, path_exists, remove_path
@@ -22,19 +25,22 @@ def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:
     return sorted(int(n.removeprefix(f"{name}=")) for n in names_in(spark, folder) if n.startswith(f"{name}="))
 
 
+def _hours(spark: SparkSession, folder: str) -> list[str]:
+    return [n.removeprefix("bucket=") for n in names_in(spark, folder) if n.startswith("bucket=")]
+
+
 def _compacted(root: str, output: str) -> str:
     return f"{root}/compacted/{OUTPUTS[output]}"
 
 
 def covered(spark: SparkSession, root: str, output: str, last: int, bucket: str | None = None) -> dict[str, int]:
     """For each compacted hour the micro-batch up to which the newest complete folder covers it."""
-    folder = _compacted(root, output)
-    buckets = [bucket] if bucket else [n.removeprefix("bucket=") for n in names_in(spark, folder)]
-    found = {}
-    for hour in buckets:
-        for upto in _numbers(spark, f"{folder}/bucket={hour}", "upto"):
-            if upto <= last and path_exists(spark, f"{folder}/bucket={hour}/upto={upto}/_SUCCESS"):
-                found[hour] = upto
+    folder, found = _compacted(root, output), {}
+    for upto in _numbers(spark, folder, "upto"):
+        at = f"{folder}/upto={upto}"
+        if upto <= last and path_exists(spark, f"{at}/_SUCCESS"):
+            hours = _hours(spark, at) if bucket is None else [bucket] * path_exists(spark, f"{at}/bucket={bucket}")
+            found |= dict.fromkeys(hours, upto)
     return found
 
 
@@ -47,36 +53,55 @@ def read_output(spark: SparkSession, root: str, output: str, last: int, bucket:
     # One row for each compacted hour.
     replaced = F.broadcast(spark.createDataFrame(list(upto.items()), "bucket string, upto long"))
     newer = lines.join(replaced, "bucket", "left").where(F.coalesce(F.col("batch") > F.col("upto"), F.lit(True)))
-    folders = [f"{_compacted(root, output)}/bucket={hour}/upto={n}" for hour, n in upto.items()]
-    return parse_lines(newer.select("value").union(spark.read.text(folders)))
+    folders = [f"{_compacted(root, output)}/upto={n}/bucket={hour}" for hour, n in upto.items()]
+    return parse_lines(newer.select("value").union(spark.read.schema("value string").text(folders)))
 
 
 def compact(spark: SparkSession, root: str, before: str, last: int, file_bytes: int = FILE_BYTES) -> dict[tuple[str, str], int]:
-    """Bring the lines of the hours before bucket `before` into files of up to about `file_bytes`.
+    """Bring the lines of the hours before bucket `before` into files of about `file_bytes` at most.
 
-    Covers micro-batches up to `last`. Returns the number of files written for each (output, hour).
+    Covers micro-batches up to `last`. Returns the number of files for each (output, hour) written anew.
     """
     written = {}
     for output, name in OUTPUTS.items():
-        for folder in names_in(spark, f"{root}/{name}"):
-            hour = folder.removeprefix("bucket=")
-            if not folder.startswith("bucket=") or hour >= before:
-                continue
-            place, target = f"{root}/{name}/bucket={hour}", f"{_compacted(root, output)}/bucket={hour}"
-            done = covered(spark, root, output, last, hour).get(hour, -1)
-            for old in _numbers(spark, target, "upto"):
-                if old < done:
-                    remove_path(spark, f"{target}/upto={old}")
-            for old in _numbers(spark, place, "batch"):
-                if old <= done:
-                    remove_path(spark, f"{place}/batch={old}")
-            sources = [f"{place}/batch={n}" for n in _numbers(spark, place, "batch") if n <= last]
-            if not sources:
-                continue
-            if done >= 0:
-                sources.append(f"{target}/upto={done}")
-            files = max(1, -(-sum(bytes_below(spark, source) for source in sources) // file_bytes))
-            lines: DataFrame = spark.read.text(sources)
-            lines.repartition(files).write.mode("overwrite").text(f"{target}/upto={last}")
-            written[output, hour] = files
+        place, target = f"{root}/{name}", _compacted(root, output)
+        done = covered(spark, root, output, last)
+        remove_superseded(spark, place, target, done)
+        # One entry for each closed hour with anything new.
+        files, sources = {}, []
+        for hour in _hours(spark, place):
+            new = [f"{place}/bucket={hour}/batch={n}" for n in _numbers(spark, f"{place}/bucket={hour}", "batch") if n <= last]
+            if new and hour < before:
+                if hour in done:
+                    new.append(f"{target}/upto={done[hour]}/bucket={hour}")
+                files[hour] = -(-sum(bytes_below(spark, path) for path in new) // file_bytes) or 1
+                sources += new
+        if files:
+            write_compacted(spark, sources, files, f"{target}/upto={last}")
+            written |= {(output, hour): n for hour, n in files.items()}
     return written
+
+
+def write_compacted(spark: SparkSession, sources: list[str], files: dict[str, int], folder: str) -> None:
+    """The lines of the source folders into as many files for each hour as `files` says, one task for each file."""
+    lines = spark.read.schema("value string").text(sources)
+    hour = F.regexp_extract("_metadata.file_path", r"/bucket=([^/]+)/", 1)
+    first = dict(zip(files, accumulate(files.values(), initial=0), strict=False))
+    # One row for each hour.
+    wanted = F.broadcast(spark.createDataFrame([(h, first[h], n) for h, n in files.items()], "bucket string, first long, files long"))
+    task = F.col("first") + F.pmod(F.monotonically_increasing_id(), F.col("files"))
+    dealt = lines.select("value", hour.alias("bucket")).join(wanted, "bucket").select("value", "bucket", task.cast("int").alias("task"))
+    named = dealt.repartitionById(sum(files.values()), "task").drop("task")
+    named.write.partitionBy("bucket").mode("overwrite").text(folder)
+
+
+def remove_superseded(spark: SparkSession, place: str, target: str, done: dict[str, int]) -> None:
+    """What an earlier call has replaced; readers that started before that have ended by now."""
+    for hour, upto in done.items():
+        for n in _numbers(spark, f"{place}/bucket={hour}", "batch"):
+            if n <= upto:
+                remove_path(spark, f"{place}/bucket={hour}/batch={n}")
+    for n in _numbers(spark, target, "upto"):
+        for hour in _hours(spark, f"{target}/upto={n}"):
+            if done.get(hour, -1) > n:
+                remove_path(spark, f"{target}/upto={n}/bucket={hour}")

@@ -32,12 +32,16 @@ def log_lines(events: DataFrame) -> DataFrame:
     return events.select(event_line().alias("value"), hour_bucket().alias("bucket"))
 
 
-def save_by_hour(rows: DataFrame, folder: str, batch_id: int, form: str) -> None:
+def save_by_hour(rows: DataFrame, folder: str, batch_id: int, form: str, most_rows: int | None = None) -> None:
     """Rows with a `bucket` into hourly folders; a second call for a batch replaces the first."""
-    (
-        rows.withColumn("batch", F.lit(batch_id))
+    if most_rows is not None and most_rows <= FILE_ROWS:
+        # No hour is too large for a task; as many tasks as there is room for share the hours.
+        dealt = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "bucket")
+    else:
         # Adaptive execution splits an hour that is too large for a task and joins small ones.
-        .hint("rebalance", F.col("bucket"))
+        dealt = rows.hint("rebalance", F.col("bucket"))
+    (
+        dealt.withColumn("batch", F.lit(batch_id))
         .write.format(form)
         .partitionBy("bucket", "batch")
         .option("partitionOverwriteMode", "dynamic")
@@ -47,14 +51,19 @@ def save_by_hour(rows: DataFrame, folder: str, batch_id: int, form: str) -> None
     )
 
 
-def save_log(events: DataFrame, folder: str, batch_id: int = 0) -> None:
-    """A batch of events into hourly folders of log lines."""
-    save_by_hour(log_lines(events), folder, batch_id, "text")
+def save_log(events: DataFrame, folder: str, batch_id: int = 0, most_rows: int | None = None) -> None:
+    """A batch of events into hourly folders of log lines; of no more than `most_rows`, where that is known."""
+    save_by_hour(log_lines(events), folder, batch_id, "text", most_rows)
 
 
-def save_table(events: DataFrame, folder: str, batch_id: int = 0) -> None:
+def save_table(events: DataFrame, folder: str, batch_id: int = 0, most_rows: int | None = None) -> None:
     """A batch of events into hourly folders of Parquet."""
-    save_by_hour(events.withColumn("bucket", hour_bucket()), folder, batch_id, "parquet")
+    save_by_hour(events.withColumn("bucket", hour_bucket()), folder, batch_id, "parquet", most_rows)
+
+
+def save_batch(events: DataFrame, folder: str, batch_id: int = 0, most_rows: int | None = None) -> None:
+    """A batch of events into one folder of Parquet of its own."""
+    events.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
 
 def save_stream(events: DataFrame, save, folder: str, checkpoint: str, trigger: str | None) -> DataStreamWriter:
@@ -79,10 +88,16 @@ def write_strings(strings: DataFrame, folder: str, checkpoint: str, trigger: str
     return triggered(writer, trigger)
 
 
+def keep_counts(totals: DataFrame, name: str, checkpoint: str, trigger: str | None = None) -> DataStreamWriter:
+    """Totals as a table `name` of the session, whole after every micro-batch. They have to fit the driver."""
+    writer = totals.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", checkpoint)
+    return triggered(writer, trigger)
+
+
 def print_counts(
-    totals: DataFrame, checkpoint: str, trigger: str | None = None, rows: int = 100_000
+    totals: DataFrame, checkpoint: str, trigger: str | None = None, rows: int = 2**31 - 1
 ) -> DataStreamWriter:
-    """Changed totals on the console after every micro-batch, `rows` of them at most."""
+    """Changed totals on the console after every micro-batch, all of them unless `rows` says otherwise."""
     writer = (
         totals.writeStream.outputMode("update")
         .format("console")

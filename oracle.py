@@ -66,13 +66,15 @@ def grid(window_seconds: int) -> str:
 g as (select *, "timestamp" // {window_seconds} as w from ev)"""
 
 
-def p1_documented(w: int) -> str:
-    return f"""{grid(w)},
-a as (select *, sum(case when event_type = 'display' then 1 else -1 end)
-        over (partition by uid, w order by seq) as bal from g),
+def p1_grid(rows: str = "g") -> str:
+    return f"""a as (select *, sum(case when event_type = 'display' then 1 else -1 end)
+        over (partition by uid, w order by seq) as bal from {rows}),
 b as (select *, max(case when event_type <> 'display' and bal < 0 then 1 else 0 end)
-        over (partition by uid order by seq) as bad from a)
-select seq, {FIVE} from b where event_type <> 'display' and bad = 1"""
+        over (partition by uid order by seq) as bad from a)"""
+
+
+def p1_documented(w: int) -> str:
+    return f"{grid(w)}, {p1_grid()} select seq, {FIVE} from b where event_type <> 'display' and bad = 1"
 
 
 def p2_documented(w: int, threshold: int) -> str:
@@ -107,7 +109,17 @@ per as (select count(*) filter (pattern = 'Pattern 1') as n_1, count(*) filter (
                count(*) filter (pattern = 'Pattern 3') as n_3 from flagged)"""
 
 
-def oracle_sql(window: int, threshold: int, ip_window: int) -> dict[str, str]:
+def late(window: int, delay: int) -> str:
+    """Events with their window, and whether it was over for the stream, of three pieces, when they came."""
+    return f"""span as (select min(seq) as low, max(seq) as high from ev),
+cut as (select ev.*, "timestamp" // {window} as w,
+        (seq >= low + (high - low) // 3)::int + (seq >= low + (high - low) * 2 // 3)::int as piece from ev, span),
+latest as (select piece, max("timestamp") as last from cut group by piece),
+marks as (select a.piece, max(b.last) - {delay} as mark from latest a join latest b on b.piece < a.piece group by a.piece),
+g as (select cut.*, coalesce((w + 1) * {window} <= mark, false) as late from cut left join marks using (piece))"""
+
+
+def oracle_sql(window: int, threshold: int, ip_window: int, delay: int) -> dict[str, str]:
     p1 = f"with recursive {MARKED}, {P1} select seq, {FIVE} from p1"
     p2 = f"with recursive {MARKED}, {P2} select seq, {FIVE} from p2"
     p3 = f"with recursive {MARKED}, {P3} select seq, {FIVE} from p3"
@@ -192,6 +204,18 @@ from (select distinct seq, {FIVE} from flagged)""",
         "p3_documented_stream": p3_doc,
         "as_coded_stream": f"{ALL} select pattern, seq, {FIVE} from flagged",
         "tumbling_counts_stream": tumbling,
+        "blacklist_uid_stream": f"""{grid(window)}, {p1_grid()}
+select uid, min(seq) as first_seq from b where event_type <> 'display' and bad = 1 group by 1""",
+        "blacklist_ip_stream": f"select ip, min(seq) as first_seq from ({p3_doc}) group by 1",
+        "p1_late_stream": f"""with {EV}, {late(window, delay)}, {p1_grid("g where not late")}
+select seq, 'flagged' as verdict from b where event_type <> 'display' and bad = 1
+union all select seq, 'late' from g where late""",
+        "tumbling_late_stream": f"""with {EV}, {late(1800, delay)}
+select make_timestamp(w * 1800000000) as window_start, event_type, count(*) filter (not late) as n,
+       count(*) filter (late) as n_late from g group by 1, 2""",
+        "totals_table": totals,
+        "log_compacted": f"with {EV} select {FIVE} from ev",
+        "p1_held_stream": p1,
         "kafka_frame": f"""with {EV}
 select cast("timestamp"::hugeint * 1000 * {10**24}::hugeint
             + (case when event_type = 'display' then 2 else 1 end)::hugeint * {10**23}::hugeint

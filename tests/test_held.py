@@ -45,7 +45,7 @@ def test_two_limits_give_one_result(spark, tmp_path, semantics):
     for name, limits in (("all", {1: 99, 2: 99}), ("ahead", {1: 25, 2: 11})):
         found, sent, batch_id, arrival = [], dict.fromkeys(parts, 0), 0, Arrival(4, None)
 
-        def save(rows, output, batch_id, found=found):
+        def save(rows, output, batch_id, most_rows, found=found):
             found.extend(seqs(rows))
 
         outputs, folder = Outputs({PATTERN_1: "out"}, save), str(tmp_path / name)
@@ -80,7 +80,7 @@ def clicks(spark, *rows):
 
 def test_an_idle_partition_is_not_waited_for(spark, tmp_path):
     now, found = [1000.0], []
-    outputs = Outputs({PATTERN_1: "out"}, lambda rows, output, batch_id: found.append([int(s) // 10**27 for s in seqs(rows)]))
+    outputs = Outputs({PATTERN_1: "out"}, lambda rows, output, batch_id, most_rows: found.append([int(s) // 10**27 for s in seqs(rows)]))
     arrival = Arrival(3, 60, lambda: now[0])
     steps = [
         # (seconds later, records, seconds of the clicks judged)
@@ -105,7 +105,7 @@ def test_an_idle_partition_is_not_waited_for(spark, tmp_path):
 def test_a_flush_that_breaks_is_made_good(spark, tmp_path):
     found, broken = [], [False]
 
-    def save(rows, output, batch_id):
+    def save(rows, output, batch_id, most_rows):
         if broken[0]:
             raise RuntimeError("lost")
         found.extend(int(s) // 10**27 for s in seqs(rows))

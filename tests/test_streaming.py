@@ -120,8 +120,8 @@ def test_failures_are_made_good(spark, feed, tmp_path, name):
     rules = RULES[name]
     for broken in (PATTERN_1, PATTERN_3):
 
-        def breaking(found, output, batch_id):
-            sinks.save_table(found, output, batch_id)
+        def breaking(found, output, batch_id, most_rows):
+            sinks.save_table(found, output, batch_id, most_rows)
             if output.endswith(broken[-1]):
                 raise RuntimeError("lost")
 
