@@ -10,8 +10,9 @@ precedes in arrival order; there both `seq` and `timestamp` increase, and the ne
 boundary is simply the first row at or after `begin + window_seconds`. That chain
 is followed in parallel over long stretches of time: each stretch first works out
 where a chain that enters it would leave it, for the few rows at which one can
-enter; a short pass over these picks the true entries; then each stretch lists
-its boundaries. No task ever sees more than one stretch of seconds.
+enter; passes over these pick the true entries, block of stretches by block where
+there are many; then each stretch lists its boundaries. No task ever sees more
+than one stretch of seconds or the entries of one block.
 """
 
 import sys
@@ -33,6 +34,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # have to fit, as a chain can enter at any second of the first one.
 STRETCH_SECONDS = 1 << 18
 STRETCH_WINDOWS = 32
+# Stretches whose entries one task follows at most.
+BLOCK_STRETCHES = 64
 
 
 def first_per_second(events: DataFrame, stretch_seconds: int) -> DataFrame:
@@ -72,6 +75,7 @@ def window_boundaries(
     window_seconds: int = WINDOW_SECONDS,
     begin: int | None = None,
     stretch_seconds: int | None = None,
+    block_stretches: int = BLOCK_STRETCHES,
 ) -> DataFrame:
     """The boundary events as (seq, timestamp).
 
@@ -85,31 +89,37 @@ def window_boundaries(
         events = events.where(F.col("timestamp") >= begin + window_seconds)
     leading = leading_overall(settle(leading_in_stretch(first_per_second(events, stretch_seconds))))
 
-    def exits(rows: pd.DataFrame) -> pd.DataFrame:
-        ts = np.sort(rows["timestamp"].to_numpy())
-        n = len(ts)
-        following = np.searchsorted(ts, ts + window_seconds)
-        last = np.where(following < n, following, np.arange(n))
-        while True:
-            further = last[last]
-            if np.array_equal(further, last):
-                break
-            last = further
-        start = int(rows["stretch"].iloc[0]) * stretch_seconds
-        enterable = np.append(True, ts[:-1] < start + window_seconds)
-        return pd.DataFrame(
-            {"stretch": rows["stretch"].iloc[0], "entry": ts[enterable], "resume": ts[last[enterable]] + window_seconds}
-        )
+    def exits(width: int):
+        """For the rows at which a chain can enter a stretch, or `width` of them: where it resumes after its end."""
+
+        def run(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values("entry", ignore_index=True)
+            entry, resume = rows["entry"].to_numpy(), rows["resume"].to_numpy()
+            n = len(entry)
+            following = np.searchsorted(entry, resume)
+            last = np.where(following < n, following, np.arange(n))
+            while True:
+                further = last[last]
+                if np.array_equal(further, last):
+                    break
+                last = further
+            start = int(rows["stretch"].iloc[0]) // width * width * stretch_seconds
+            enterable = np.append(True, entry[:-1] < start + window_seconds)
+            return pd.DataFrame({"stretch": rows["stretch"].iloc[0] // width, "entry": entry[enterable], "resume": resume[last[enterable]]})
+
+        return run
 
     def entries(rows: pd.DataFrame) -> pd.DataFrame:
+        """Where the chain enters stretches, from where it enters the first one or enters their block."""
         rows = rows.sort_values("entry", ignore_index=True)
         entry, resume = rows["entry"].to_numpy(), rows["resume"].to_numpy()
         taken = []
-        i = 0
+        i = int(np.searchsorted(entry, rows["enters"].iloc[0]))
         while i < len(entry):
             taken.append(i)
             i = int(np.searchsorted(entry, resume[i]))
-        return rows.loc[taken, ["stretch", "entry"]].assign(opens=[i == 0 for i in taken])
+        opens = bool(rows["opens"].iloc[0])
+        return rows.loc[taken, ["stretch", "entry"]].assign(opens=[opens and i == taken[0] for i in taken])
 
     def walk(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("timestamp", ignore_index=True)
@@ -124,15 +134,26 @@ def window_boundaries(
         return rows.loc[taken, ["seq", "timestamp"]]
 
     result = T.StructType([T.StructField("seq", order), T.StructField("timestamp", T.LongType())])
-    # At most window_seconds + 1 rows per stretch reach the one-group pass.
-    chosen = (
-        leading.select("stretch", "timestamp")
-        .groupBy("stretch")
-        .applyInPandas(exits, "stretch long, entry long, resume long")
-        .groupBy()
-        .applyInPandas(entries, "stretch long, entry long, opens boolean")
-    )
-    return leading.join(chosen, "stretch").groupBy("stretch").applyInPandas(walk, result)
+    # At most window_seconds + 1 rows of a stretch, or of a block of them, go on.
+    passing, chosen = "stretch long, entry long, resume long", "stretch long, entry long, opens boolean"
+    own = leading.select("stretch", F.col("timestamp").alias("entry"), (F.col("timestamp") + window_seconds).alias("resume"))
+    maps = [own.groupBy("stretch").applyInPandas(exits(1), passing)]
+    span = leading.agg(F.min("stretch").alias("low"), F.max("stretch").alias("high")).first()
+    low, high = span["low"] or 0, span["high"] or 0
+    block = F.floor(F.col("stretch") / F.lit(block_stretches)).cast("long").alias("block")
+    while high - low >= block_stretches:
+        # Too many for one group: blocks of stretches are passed as single stretches are.
+        maps[-1] = settle(maps[-1])
+        width = block_stretches ** len(maps)
+        lower = maps[-1].select(block, (F.col("stretch") * (width // block_stretches)).alias("stretch"), "entry", "resume")
+        maps.append(lower.groupBy("block").applyInPandas(exits(width), passing))
+        low, high = low // block_stretches, high // block_stretches
+    top = maps.pop().select("*", F.lit(-(1 << 62)).alias("enters"), F.lit(True).alias("opens"))
+    entered = top.groupBy().applyInPandas(entries, chosen)
+    while maps:
+        enters = entered.select(F.col("stretch").alias("block"), F.col("entry").alias("enters"), "opens")
+        entered = maps.pop().withColumn("block", block).join(enters, "block").groupBy("block").applyInPandas(entries, chosen)
+    return leading.join(entered, "stretch").groupBy("stretch").applyInPandas(walk, result)
 
 
 def boundary_lookup(events: DataFrame, window_seconds: int = WINDOW_SECONDS, begin: int | None = None) -> DataFrame:

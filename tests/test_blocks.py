@@ -1,0 +1,47 @@
+"""Boundaries followed block of stretches by block."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicksieve.operators.boundaries import window_boundaries
+
+
+def chain(rows, window, begin=None):
+    """The boundary events of (seq, timestamp) rows, one after the other."""
+    found = []
+    for seq, timestamp in sorted(rows):
+        if begin is None:
+            begin = timestamp
+        elif timestamp - begin >= window:
+            found.append((seq, timestamp))
+            begin = timestamp
+    return found
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_many_stretches(spark, seed):
+    draw = random.Random(seed)
+    at, rows = 1, []
+    for seq in range(600):
+        # Dense spells, gaps over whole blocks, and events that come late.
+        at += draw.choice([0, 1, 1, 2, 3, 7, 10, 11, draw.choice([25, 100, 1000])])
+        rows.append((seq, max(1, at - draw.choice([0, 0, 0, 5, 50]))))
+    frame = spark.createDataFrame(rows, "seq long, timestamp long").repartition(3)
+    expected = chain(rows, 10)
+    for stretch, block in ((40, 2), (25, 3), (40, 1000)):
+        found = window_boundaries(frame, 10, stretch_seconds=stretch, block_stretches=block)
+        assert sorted(map(tuple, found.collect())) == expected
+    begin = rows[100][1]
+    later = window_boundaries(frame.where("seq > 100"), 10, begin, 40, 2)
+    assert sorted(map(tuple, later.collect())) == chain(rows[101:], 10, begin)
+
+
+def test_a_long_span(spark):
+    """One event a second for 400,000 seconds, in 200 stretches and blocks of eight of them."""
+    events = spark.range(1, 400_001).select((F.col("id") * 3).alias("seq"), F.col("id").alias("timestamp"))
+    found = window_boundaries(events, 60, stretch_seconds=2000, block_stretches=8)
+    times = [r["timestamp"] for r in found.select("timestamp").collect()]
+    assert sorted(times) == list(range(61, 400_001, 60))
+    assert window_boundaries(events.limit(0), 60, block_stretches=1).collect() == []
