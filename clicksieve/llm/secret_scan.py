@@ -42,7 +42,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{16,}")
 SENSITIVE = re.compile(
-    r"password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private|credential|auth|bearer|signature|salt",
+    # Neither authors nor what is salty or secretarial.
+    r"password|passwd|passphrase|pwd|secret(?!ar)|token|api[_-]?key|access[_-]?key|private|credential|auth(?!or(?!i))|bearer|signature|"
+    r"(?<![a-z])salt(?![a-z])",
     re.IGNORECASE | re.ASCII,
 )
 # Characters on either side that prime the dictionary; something sensitive must be named in as many outside of candidates.
@@ -196,6 +198,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
-    """The documents with their secrets masked, and n_chars counted anew; texts without any stay as they are."""
+    """The documents with their secrets masked, and n_chars, if there, counted anew; texts without any stay as they are."""
     out = docs.withColumn("text", masked("text"))
-    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)

@@ -75,3 +75,20 @@ def test_digits_alone_are_keys_too():
     for n in range(16, 24):  # longer ones are hexadecimal strings
         k = key(n, n, string.digits)
         assert found(f"credentials {k}") == [k]
+
+
+def test_authors_are_not_sensitive():
+    draw = random.Random(5)
+    words = "user config value default response handler session builder report total count index file path load store parse".split()
+    for _ in range(300):
+        name = draw.choice(["_", "-", "/"]).join(draw.choices(words, k=4))
+        for before in ("# author: jane", "The authority on", "a salty secretary and", "basalt, authored by"):
+            assert found(f"{before} def {name}(self)") == []
+    k = key(3)
+    for before in ("authorization", "Authorise", "oauth", "AUTH_ID", "mySecret", "salt", "client-secret"):
+        assert found(f"{before} {k}") == [k]
+
+
+def test_masking_without_counted_characters(spark):
+    docs = spark.createDataFrame([(1, "secret: abcdefgh"), (2, None)], "doc_id long, text string")
+    assert [r["text"] for r in secret_scan.mask_secrets(docs).orderBy("doc_id").collect()] == ["[assign]", None]
