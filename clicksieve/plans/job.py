@@ -20,7 +20,7 @@ from clicksieve.sources.messages import Decoded
 from clicksieve.sources.textlog import OUTPUTS
 from clicksieve.streaming.commits import last_commit, read_versions
 from clicksieve.streaming.detectors import PATTERNS, Arrival, Outputs, Rules, detect_stream, flush
-from clicksieve.streaming.logs import FILE_BYTES, compact, read_output
+from clicksieve.streaming.logs import FILE_BYTES, IDLE_SECONDS, compact, read_output
 from clicksieve.streaming.sinks import ROLL_INTERVAL, save_log, triggered
 
 TOTALS = "pattern string, event_type string, n long"
@@ -107,9 +107,11 @@ def read_log(spark: SparkSession, folder: str, output: str, bucket: str | None =
     return read_output(spark, folder, output, complete(spark, folder), bucket).events
 
 
-def compact_logs(spark: SparkSession, folder: str, before: str, file_bytes: int = FILE_BYTES) -> dict[tuple[str, str], int]:
-    """Bring the logs of the hours before bucket `before` into few files; see `streaming.logs`."""
-    return compact(spark, folder, before, complete(spark, folder), file_bytes)
+def compact_logs(
+    spark: SparkSession, folder: str, before: str | None = None, file_bytes: int = FILE_BYTES, idle_seconds: float = IDLE_SECONDS
+) -> dict[tuple[str, str], int]:
+    """Bring the logs of closed hours, those before bucket `before` or idle ones, into few files; see `streaming.logs`."""
+    return compact(spark, folder, before, complete(spark, folder), file_bytes, idle_seconds)
 
 
 def hour_report(spark: SparkSession, folder: str, bucket: str) -> DataFrame:

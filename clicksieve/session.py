@@ -77,6 +77,13 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(named)] if files.exists(named) else []
 
 
+def last_change(spark: SparkSession, path: str) -> float:
+    """When something was last put into a folder, in seconds since the epoch."""
+    named, files = _file_system(spark, path)
+    times = [status.getModificationTime() for status in files.listStatus(named)] + [files.getFileStatus(named).getModificationTime()]
+    return max(times) / 1000
+
+
 def bytes_below(spark: SparkSession, path: str) -> int:
     """The bytes of all files below a folder."""
     named, files = _file_system(spark, path)

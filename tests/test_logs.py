@@ -1,5 +1,7 @@
 """What readers of a running job see, and compaction of its logs."""
 
+import time
+
 import pytest
 
 from clicksieve.functions.columns import hour_bucket
@@ -84,7 +86,7 @@ def test_compaction_by_size(spark, tmp_path, monkeypatch):
 
     def breaking(spark, sources, wanted, target):
         write(spark, sources[:1], dict(list(wanted.items())[:1]), target)
-        (tmp_path / "compacted" / "all" / "upto=4" / "_SUCCESS").unlink()
+        (tmp_path / "compacted" / "all" / "upto=4-0" / "_SUCCESS").unlink()
         raise RuntimeError("lost")
 
     monkeypatch.setattr(logs, "write_compacted", breaking)
@@ -97,7 +99,7 @@ def test_compaction_by_size(spark, tmp_path, monkeypatch):
     written = job.compact_logs(spark, folder, before, 3000)
     assert written == {("all", hour.removeprefix("bucket=")): -(-sizes[hour] // 3000) for hour in hours[:-1]}
     for (_, hour), n in written.items():
-        made = files(tmp_path / "compacted" / "all" / "upto=4" / f"bucket={hour}")
+        made = files(tmp_path / "compacted" / "all" / "upto=4-0" / f"bucket={hour}")
         assert len(made) == n
         # Lines are dealt evenly.
         assert sum(f.stat().st_size for f in made) == sizes[f"bucket={hour}"]
@@ -108,6 +110,10 @@ def test_compaction_by_size(spark, tmp_path, monkeypatch):
     hour = hours[0].removeprefix("bucket=")
     assert rows(job.read_log(spark, folder, "all", hour)) == rows(feed.table().where(hour_bucket() == hour).exceptAll(pieces[5]))
 
+    # Another hour closes before the next micro-batch.
+    assert set(job.compact_logs(spark, folder, "9999")) == {("all", hours[-1].removeprefix("bucket="))}
+    assert rows(job.read_log(spark, folder, "all")) == expected
+
     # The next call removes what has been replaced, and takes late lines in.
     commit(spark, f"{folder}/work", 5)
     everything = rows(feed.table())
@@ -120,3 +126,14 @@ def test_compaction_by_size(spark, tmp_path, monkeypatch):
     assert not any(files(tmp_path / "all" / h / f"batch={n}") for h in hours for n in range(6))
     assert len([f for h in hours for f in (tmp_path / "compacted" / "all").glob(f"upto=*/{h}/*.txt")]) == len(hours)
     assert job.compact_logs(spark, folder, "9999") == {}
+
+
+def test_idle_hours_are_closed(spark, tmp_path):
+    feed, folder = Feed(spark, tmp_path / "in", trace(13, 40)), str(tmp_path)
+    feed.send(40)
+    sinks.save_log(feed.table(), f"{folder}/all", 0)
+    commit(spark, f"{folder}/work", 0)
+    assert job.compact_logs(spark, folder) == {}
+    later = logs.compact(spark, folder, None, 0, clock=lambda: time.time() + logs.IDLE_SECONDS + 1)
+    assert {hour for _, hour in later} == {r[0] for r in feed.table().select(hour_bucket()).distinct().collect()}
+    assert rows(job.read_log(spark, folder, "all")) == rows(feed.table())
