@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,7 +76,7 @@ def ngrams(text: str | None) -> np.ndarray:
     """The buckets of a text's n-grams, each once."""
     words = (text or "").split()
     if not words:
-        return np.array([_EMPTY >> 46], np.int64)
+        return np.array([_EMPTY >> 46], np.int32)
     pairs = np.array([_word(w) for w in words], np.uint64)
     names, shapes = pairs[:, 0], pairs[:, 1].copy()
     shapes[1:] += (names[1:] == names[:-1]).astype(np.uint64) * np.uint64(7)
@@ -86,7 +87,7 @@ def ngrams(text: str | None) -> np.ndarray:
         runs = (runs[:-1] * _MIX) ^ (shapes[n - 1 :] + np.uint64(n))
         found.append(runs)
     mixed = np.concatenate(found) * _MIX
-    return np.unique(mixed >> np.uint64(46)).astype(np.int64)
+    return np.unique(mixed >> np.uint64(46)).astype(np.int32)
 
 
 @dataclass(frozen=True)
@@ -187,7 +188,7 @@ def part(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % PARTS, F.lit(-1))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def ngram_sets(texts: pd.Series) -> pd.Series:
     return pd.Series([ngrams(text) for text in texts])
 
@@ -208,8 +209,12 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_la
     joined = texts.join(F.broadcast(chosen), "doc_id").withColumn("digest", F.sha2("text", 256))
     once = joined.dropDuplicates(["doc_id", "label", "digest"])
     rows = once.select("doc_id", "label", "digest", ngram_sets("text").alias("ngrams"))
-    found = rows.toPandas().sort_values(["doc_id", "label", "digest"], kind="stable")
-    return train([np.asarray(x) for x in found["ngrams"]], found["label"].to_numpy(np.int64) == 1)
+    found = rows.toArrow()
+    order = pc.sort_indices(found.drop(["ngrams"]), [(k, "ascending") for k in ("doc_id", "label", "digest")])
+    sets = found["ngrams"]
+    # Views of what came, without copies.
+    buckets = [sets[i].values.to_numpy() for i in order.to_pylist()]
+    return train(buckets, found["label"].take(order).to_numpy().astype(np.int64) == 1)
 
 
 def score(docs: DataFrame, model: Model, text: Column) -> Column:
