@@ -11,8 +11,8 @@ Every different word would be folded once; a corpus has more of them than can be
 sent anywhere, and joining words to their places would shuffle several times the
 text. So the words that occur most, DICTIONARY_WORDS at most, are counted over
 the whole corpus, folded once each and broadcast; the others are folded where
-they stand, once for each document, and put into their places by arrays.
-Documents are not shuffled. Decoding concatenates the binary pieces of the ids.
+they stand, once for each document. Documents are not shuffled. Decoding joins
+the bytes of the ids.
 
 Results in special cases: null and empty texts have no ids and decode to no
 bytes; null ids decode to null; an id that the vocabulary doesn't have decodes
@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +64,7 @@ def _bound(value: Column, use) -> Column:
 
 
 class Ranks:
-    """A vocabulary: ranks as a literal, pieces as an array."""
+    """The literals that hold a vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int]):
         maps = [{} for _ in range(BUCKETS)]
@@ -73,11 +72,10 @@ class Ranks:
             name = piece.hex().upper()
             maps[xxhash.xxh64_intdigest(name.encode(), 42) & (BUCKETS - 1)][name] = rank
         self.maps = F.from_json(F.lit(json.dumps(maps)), "array<map<string, int>>")
-        # The bytes of every id; the last ones, none, are those of unknown ids.
-        pieces = [b""] * (max(ranks.values(), default=-1) + 2)
+        pieces = [None] * (max(ranks.values(), default=-1) + 1)
         for piece, rank in ranks.items():
-            pieces[rank] = piece
-        self.pieces = pa.array(pieces, pa.binary())
+            pieces[rank] = piece.hex().upper()
+        self.pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
 
 
 def _rank(maps: Column, piece: Column) -> Column:
@@ -159,21 +157,6 @@ def dictionary(words: DataFrame, ranks: Ranks, most: int = DICTIONARY_WORDS) ->
     return chosen.select("word", fold(ranks, F.col("word")).alias("ids")).toArrow()
 
 
-def _offsets(lists: pa.ListArray) -> np.ndarray:
-    """Where the lists begin, and the last one ends, among all their values."""
-    sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-
-
-def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Whole documents, from and to, of about SLICE_WORDS values together."""
-    at, n = 0, len(offsets) - 1
-    while at < n:
-        to = max(at + 1, int(np.searchsorted(offsets[1:], offsets[at] + SLICE_WORDS, "right")))
-        yield at, to
-        at = to
-
-
 class Coder:
     """Gives the words of the dictionary their ids, and lists the others."""
 
@@ -187,11 +170,15 @@ class Coder:
     def code(self, lists: pa.ListArray) -> pa.StructArray:
         words = lists.flatten()
         index = pc.index_in(words, value_set=self.words)  # hashes the dictionary, so once for all
-        offsets = _offsets(lists)
-        parts = []
-        for at, to in _slices(offsets):
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        parts, at = [], 0
+        while at < len(lists):
+            # Whole documents, of about SLICE_WORDS words together.
+            to = max(at + 1, int(np.searchsorted(offsets[1:], offsets[at] + SLICE_WORDS, "right")))
             low, n = int(offsets[at]), int(offsets[to] - offsets[at])
             parts.append(self._code(np.diff(offsets[at : to + 1]), words.slice(low, n), index.slice(low, n)))
+            at = to
         return pa.concat_arrays(parts) if parts else self._code(np.empty(0, np.int64), words, index)
 
     def _code(self, per_doc: np.ndarray, words: pa.Array, index: pa.Array) -> pa.StructArray:
@@ -212,70 +199,49 @@ class Coder:
         doc_starts = np.searchsorted(pairs, np.arange(len(per_doc) + 1) * n_codes)
         at = ends[:-1][unknown]
         out[at] = -1 - (inverse - doc_starts[docs])
+        # Runs of ids end before and after such a word, and with the document.
         doc_ends = ends[np.concatenate([[0], np.cumsum(per_doc)])]
+        cuts = np.unique(np.concatenate([doc_ends, at, at + 1]))
+        runs = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(out, pa.int32()))
+        doc_runs = np.searchsorted(cuts, doc_ends)
         return pa.StructArray.from_arrays(
             [
-                pa.ListArray.from_arrays(pa.array(doc_ends, pa.int32()), pa.array(out, pa.int32())),
+                pa.ListArray.from_arrays(pa.array(doc_runs, pa.int32()), runs),
                 pa.ListArray.from_arrays(pa.array(doc_starts, pa.int32()), rare.dictionary.take(pa.array(pairs % n_codes))),
             ],
-            names=["ids", "rare"],
+            names=["runs", "rare"],
         )
 
 
-def _put_in(ids: pa.ListArray, found: pa.ListArray) -> pa.ListArray:
-    """The ids with -1, -2, ... replaced by the first, second, ... list that was found for the document."""
-    flat = ids.flatten().to_numpy(zero_copy_only=False)
-    words = found.flatten()
-    doc_ends, doc_words, word_ends = _offsets(ids), _offsets(found), _offsets(words)
-    places = np.flatnonzero(flat < 0)
-    docs = np.searchsorted(doc_ends, places, "right") - 1
-    chosen = doc_words[docs] - 1 - flat[places]
-    sizes, starts = np.ones(len(flat), np.int64), np.arange(len(flat))
-    sizes[places] = np.diff(word_ends)[chosen]
-    starts[places] = len(flat) + word_ends[chosen]
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    both = np.concatenate([flat, words.flatten().to_numpy(zero_copy_only=False)])
-    out = both[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
-    return pa.ListArray.from_arrays(pa.array(ends[doc_ends], pa.int32()), pa.array(out, pa.int32()))
-
-
 def encode(docs: DataFrame, ranks: Ranks, pattern: str, text_col: str = "text", most: int = DICTIONARY_WORDS) -> DataFrame:
     """The documents with a column `ids`."""
     words = docs.select(F.explode(split(F.col(text_col), pattern)).alias("word"))
     shared = docs.sparkSession.sparkContext.broadcast(Coder(dictionary(words, ranks, most)))
 
-    @F.arrow_udf("struct<ids: array<int>, rare: array<string>>")
+    @F.arrow_udf("struct<runs: array<array<int>>, rare: array<string>>")
     def coded(lists: pa.Array) -> pa.Array:
         return shared.value.code(lists)
 
-    @F.arrow_udf("array<int>")
-    def whole(ids: pa.Array, found: pa.Array) -> pa.Array:
-        parts = [_put_in(ids.slice(at, to - at), found.slice(at, to - at)) for at, to in _slices(_offsets(ids))]
-        return pa.concat_arrays(parts) if parts else ids
+    def filled(maps: Column) -> Column:
+        rare = F.transform("__coded.rare", lambda word: _fold(maps, F.hex(F.encode(word, "UTF-8"))))
+        # A run that begins with -1, -2, ... stands for the first, second, ... of the rare words.
+        return _bound(
+            rare,
+            lambda found: F.flatten(
+                F.transform(
+                    "__coded.runs",
+                    lambda run: F.when(F.get(run, 0) >= 0, run).otherwise(F.get(found, -1 - F.get(run, 0))),
+                )
+            ),
+        )
 
-    found = _bound(
-        ranks.maps,
-        lambda maps: F.transform("__coded.rare", lambda word: _fold(maps, F.hex(F.encode(word, "UTF-8")))),
-    )
-    # Exploding an array of one keeps the fold a column of its own, which a Python function can be given.
-    return (
-        docs.withColumn("__coded", coded(split(F.col(text_col), pattern)))
-        .withColumn("__found", F.explode(F.array(found)))
-        .withColumn("ids", whole("__coded.ids", "__found"))
-        .drop("__coded", "__found")
-    )
+    ids = F.when(F.size("__coded.rare") == 0, F.flatten("__coded.runs")).otherwise(_bound(ranks.maps, filled))
+    return docs.withColumn("__coded", coded(split(F.col(text_col), pattern))).withColumn("ids", ids).drop("__coded")
 
 
 def decode(ids: Column, ranks: Ranks) -> Column:
     """The bytes of a column of ids."""
-    pieces = ranks.pieces
-
-    @F.arrow_udf("binary")
-    def joined(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-        known = (flat >= 0) & (flat < len(pieces) - 1)
-        parts = pieces.take(pa.array(np.where(known, flat, len(pieces) - 1)))
-        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(_offsets(lists), pa.int32()), parts), b"")
-        return pc.if_else(lists.is_null(), pa.scalar(None, pa.binary()), texts)
-
-    return joined(ids)
+    joined = _bound(
+        ranks.pieces, lambda pieces: F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")
+    )
+    return F.when(ids.isNotNull(), F.unhex(joined))
