@@ -32,10 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir, which all executors can reach.
 
     Where the setting is absent a temporary folder is made, but only if driver
-    and executors are one process; a cluster has to name its folder.
+    and executors are one process; a cluster has to name its folder. Its file
+    system may be local if all executors are on the driver's machine.
     """
     context = spark.sparkContext
     one_process = context.master.startswith("local") and not context.master.startswith("local-cluster")
+    one_machine = re.match(r"local\b|spark://(localhost|127\.[\d.]+)(:|$)", context.master)
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not one_process:
@@ -43,8 +45,11 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="clicksieve-")
     if not one_process and "://" not in folder and not re.match(r"\w+:/", folder):
         default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
-        if default.startswith("file:"):
+        if default.startswith("file:") and not one_machine:
             raise RuntimeError(f"spark.checkpoint.dir is {folder}, which is local to each machine; name its file system")
+        # Processes work in folders of their own, so the path has to be whole.
+        named, files = _file_system(spark, folder)
+        folder = files.makeQualified(named).toString()
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

@@ -40,3 +40,28 @@ def test_a_cluster_has_to_name_a_shared_file_system(folder):
     local = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: folder))
     with pytest.raises(RuntimeError, match="local to each machine"):
         session.shared_folder(local)
+
+
+@pytest.mark.parametrize("master", ["local-cluster[3,2,1800]", "spark://localhost:7077", "spark://127.0.0.1:7077"])
+@pytest.mark.parametrize("folder", ["/tmp/shared", "relative"])
+def test_processes_of_one_machine_share_a_local_folder(spark, tmp_path, monkeypatch, master, folder):
+    monkeypatch.chdir(tmp_path)
+    context = SimpleNamespace(
+        master=master, getCheckpointDir=lambda: "set", _jsc=spark.sparkContext._jsc
+    )
+    cluster = SimpleNamespace(
+        sparkContext=context, _jsc=spark._jsc, _jvm=spark._jvm, conf=SimpleNamespace(get=lambda key, default: folder)
+    )
+    found = session.shared_folder(cluster)
+    assert found.startswith("file:/") and found.endswith(folder)
+
+
+def test_another_host_is_another_machine():
+    hadoop = SimpleNamespace(get=lambda key: "file:///")
+    for master in ("spark://localhost.example.org:7077", "spark://127a:7077", "yarn", "k8s://host"):
+        context = SimpleNamespace(
+            master=master, getCheckpointDir=lambda: None, _jsc=SimpleNamespace(hadoopConfiguration=lambda: hadoop)
+        )
+        local = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: "/tmp/shared"))
+        with pytest.raises(RuntimeError, match="local to each machine"):
+            session.shared_folder(local)
