@@ -42,8 +42,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{16,}")
 SENSITIVE = re.compile(
-    # Neither authors nor what is salty or secretarial.
-    r"password|passwd|passphrase|pwd|secret(?!ar)|token|api[_-]?key|access[_-]?key|private|credential|auth(?!or(?!i))|bearer|signature|"
+    # Neither authors and authorities nor what is salty or secretarial.
+    r"password|passwd|passphrase|pwd|secret(?!ar)|token|api[_-]?key|access[_-]?key|private|credential|auth(?!or(?!i)|orit)|bearer|signature|"
     r"(?<![a-z])salt(?![a-z])",
     re.IGNORECASE | re.ASCII,
 )

@@ -210,7 +210,8 @@ def test_queries_against_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    con.sql(f"create view documents as select * from '{SF_SMALL}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.sql(f"create view {table} as select * from '{SF_SMALL}/{table}.parquet'")
     expected = con.sql(queries.oracle_sql()[name]).df()
     found = queries.queries()[name](spark, SF_SMALL).toPandas()
     columns = sorted(found.columns)
