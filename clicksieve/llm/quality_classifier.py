@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,10 +161,13 @@ def train(rows: list[np.ndarray], good: np.ndarray) -> Model:
 
     def fit(chosen: np.ndarray) -> Model:
         ratio = log_count_ratio([rows[i] for i in chosen], good[chosen])
-        scaled = []
-        for i in chosen:
-            values = ratio[rows[i]]
-            scaled.append((rows[i], values / max(np.sqrt(values @ values), 1e-9)))
+        # One large array, which goes back to the system afterwards; many small ones would not.
+        ends = np.cumsum([len(rows[i]) for i in chosen])
+        scaled, every = [], np.split(np.empty(ends[-1]), ends[:-1])
+        for i, values in zip(chosen, every, strict=True):
+            np.take(ratio, rows[i], out=values)
+            values /= max(np.sqrt(values @ values), 1e-9)
+            scaled.append((rows[i], values))
         # Rows of the rarer class weigh more, so that both classes count alike.
         share = good[chosen].mean()
         costs = COST * np.where(good[chosen], 0.5 / share, 0.5 / (1 - share))
@@ -187,9 +191,9 @@ def part(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % PARTS, F.lit(-1))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def ngram_sets(texts: pd.Series) -> pd.Series:
-    return pd.Series([ngrams(text) for text in texts])
+    return pd.Series([ngrams(text).astype(np.int32) for text in texts])
 
 
 def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> Model:
@@ -208,8 +212,14 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_la
     joined = texts.join(F.broadcast(chosen), "doc_id").withColumn("digest", F.sha2("text", 256))
     once = joined.dropDuplicates(["doc_id", "label", "digest"])
     rows = once.select("doc_id", "label", "digest", ngram_sets("text").alias("ngrams"))
-    found = rows.toPandas().sort_values(["doc_id", "label", "digest"], kind="stable")
-    return train([np.asarray(x) for x in found["ngrams"]], found["label"].to_numpy(np.int64) == 1)
+    found = rows.toArrow()
+    order = pc.sort_indices(found, [(name, "ascending") for name in ("doc_id", "label", "digest")]).to_numpy()
+    # The sets stay views of one array: as rows of pandas they took several times the room.
+    sets = found["ngrams"].combine_chunks()
+    buckets, offsets = sets.values.to_numpy(), sets.offsets.to_numpy()
+    good = found["label"].to_numpy().astype(np.int64) == 1
+    del found, sets
+    return train([buckets[offsets[i] : offsets[i + 1]] for i in order], good[order])
 
 
 def score(docs: DataFrame, model: Model, text: Column) -> Column:

@@ -1,5 +1,6 @@
 """Classifier, language and decontamination: accuracy, brute force and odd rows."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -207,3 +208,20 @@ def test_leaks_of_odd_rows(spark):
     assert decontamination.drop_leaks(odd, benchmark).columns == odd.columns
     assert decontamination.find_leaks(odd, benchmark.limit(0)).collect() == []
     assert decontamination.find_leaks(no_documents(spark), benchmark).collect() == []
+
+
+def test_the_sample_stays_one_array_on_the_driver(spark, monkeypatch):
+    rows = [(i, prose(30, i)) for i in range(8)] + [(3, None), (3, "")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    taken = []
+    monkeypatch.setattr(quality_classifier, "train", lambda sets, good: taken.append((sets, good)))
+    quality_classifier.learn(docs, labels)
+    sets, good = taken[0]
+    assert all(len(s) == 0 or np.shares_memory(s.base, sets[0].base) for s in sets)
+    # By id, then label, then digest, rows without a text last.
+    learned = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    digest = {t: (t is None, hashlib.sha256((t or "").encode()).hexdigest()) for _, t in learned}
+    learned.sort(key=lambda row: (row[0], digest[row[1]]))
+    assert [s.tolist() for s in sets] == [quality_classifier.ngrams(t).tolist() for _, t in learned]
+    assert good.tolist() == [i % 2 == 1 for i, _ in learned]
