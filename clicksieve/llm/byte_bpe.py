@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicksieve.session import new_run_folder
+from clicksieve.session import new_run_folder, settle
 
 # Words broadcast at most, and the longest that may be among them: this is
 # 80 MB at worst, if every byte were a token, and some 20 MB as a rule.
@@ -153,7 +153,8 @@ def dictionary(words: DataFrame, ranks: Ranks, most: int = DICTIONARY_WORDS) ->
         if n_words + of_this > most:
             break
         least, n_words = n, n_words + of_this
-    chosen = counted.where(F.col("n") >= least).repartition(4 * spark.sparkContext.defaultParallelism, "word")
+    # Settled first: a plan without an exchange is described once, and the description spells out the literals.
+    chosen = settle(counted.where(F.col("n") >= least).select("word").repartition(4 * spark.sparkContext.defaultParallelism, "word"))
     return chosen.select("word", fold(ranks, F.col("word")).alias("ids")).toArrow()
 
 

@@ -38,6 +38,19 @@ def random_texts():
     return ["".join(draw.choices(alphabet, k=draw.randint(0, 80))) for _ in range(150)] + ["aaaaaaaaaaaaaaaaaaaaaaaaaaa", "=" * 300]
 
 
+def test_words_are_folded_in_a_plan_without_an_exchange(spark, monkeypatch):
+    # With one, Spark describes the plan anew for each stage, all literals of the vocabulary spelled out.
+    plans, frame = [], type(spark.range(0))
+    collect = frame.toArrow
+    monkeypatch.setattr(
+        frame, "toArrow", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df)
+    )
+    words = spark.createDataFrame([("of",), ("of",), ("qzx",), ("qzx",), ("once",)], "word string")
+    table = byte_bpe.dictionary(words, byte_bpe.Ranks(RANKS)).to_pylist()
+    assert {r["word"]: r["ids"] for r in table} == {w: LIBRARY.encode_ordinary(w) for w in ("of", "qzx")}
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+
+
 @pytest.mark.parametrize("most", [byte_bpe.DICTIONARY_WORDS, 20, 0])
 def test_bpe_of_random_texts(spark, most):
     texts = random_texts() + random_texts()[:40]
